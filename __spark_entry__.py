@@ -466,7 +466,7 @@ def oracle_sql() -> dict[str, str]:
 
     # skills
     sql["gazetteer_dedupe"] = with_clause("v_part_entries") + """
-        SELECT skill, lower(skill) AS skill_key, len(regexp_extract_all(skill, '[A-Za-z]+')) AS n_tokens
+        SELECT skill, lower(skill) AS skill_key, CAST(len(regexp_extract_all(skill, '[A-Za-z]+')) AS INTEGER) AS n_tokens
         FROM (SELECT trim(skill) AS skill,
                      row_number() OVER (PARTITION BY lower(trim(skill)) ORDER BY pos, trim(skill)) AS nth
               FROM v_part_entries WHERE trim(skill) <> '') WHERE nth = 1"""

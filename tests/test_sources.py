@@ -1,0 +1,159 @@
+import argparse
+from datetime import date
+
+import pytest
+from fixtures import POSTINGS, as_set, rows, write_postings_csv, write_skills_csv
+
+from hirelens import __main__ as cli, schemas
+from hirelens.plans import refresh
+from hirelens.sources.csv import read_gazetteer, read_jobs_csv, seed_postings
+from hirelens.sources.default_skills import DEFAULT_SKILLS, default_gazetteer
+from hirelens.sources.tables import TableStore, append_jobs
+
+HEADER = "url,title_raw,description_raw,company,source,post_date,location_raw,salary_raw,extra\n"
+
+
+def write(path, body):
+    path.write_text(HEADER + body, encoding="utf-8")
+    return str(path)
+
+
+def test_csv_edges(spark, tmp_path):
+    path = write(tmp_path / "a.csv", (
+        'u1,"Say ""hi""","two\nlines, one field",NA,s,2025-09-28,"A, B",N/A,x\n'
+        "u2,T,,NULL,s,2025-13-40,,nan,y\n"
+        'u3,T,"",Native,s,not a date,c, ,z\n'
+        "u4,T,d,c,s,,l,1,\n"
+    ))
+    got = rows(read_jobs_csv(spark, path).orderBy("url"))
+    assert got == [
+        ('Say "hi"', "two\nlines, one field", None, "s", date(2025, 9, 28), "A, B", None, "u1"),
+        ("T", None, None, "s", None, None, None, "u2"),
+        ("T", None, "Native", "s", None, "c", " ", "u3"),
+        ("T", "d", "c", "s", None, "l", "1", "u4"),
+    ]
+
+
+def test_more_date_formats(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "u1,T,d,c,s,28.09.2025,l,1,\nu2,T,d,c,s,2025-09-29,l,1,\n")
+    got = read_jobs_csv(spark, path, formats=("yyyy-MM-dd", "dd.MM.yyyy"))
+    assert as_set(got, "post_date") == {(date(2025, 9, 28),), (date(2025, 9, 29),)}
+
+
+def test_missing_columns_are_listed(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("title_raw,company,source,post_date,location_raw,url\nx,x,x,x,x,x\n")
+    with pytest.raises(ValueError, match=r"\['description_raw', 'salary_raw'\]"):
+        read_jobs_csv(spark, str(path))
+    with pytest.raises(ValueError, match="skill"):
+        read_gazetteer(spark, str(path))
+
+
+def test_gazetteer_csv(spark, tmp_path):
+    got = as_set(read_gazetteer(spark, write_skills_csv(tmp_path / "s.csv")), "skill")
+    assert ("Python",) in got and ("python",) not in got and len(got) == 19
+
+
+def test_default_dictionary(spark):
+    got = as_set(default_gazetteer(spark))
+    assert len(got) == len(DEFAULT_SKILLS) == 59
+    assert {n for _, _, n in got} == {1, 2, 3}
+
+
+def test_append_gives_consecutive_ids_and_never_merges(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    append_jobs(store, seed_postings(spark).coalesce(1))
+    append_jobs(store, read_jobs_csv(spark, write_postings_csv(tmp_path / "p.csv")))
+    jobs = store.read("jobs")
+    assert jobs.columns == schemas.JOBS.fieldNames()
+    assert [r["job_id"] for r in jobs.orderBy("job_id").collect()] == list(range(1, 14))
+    assert [r["title_raw"] for r in jobs.orderBy("job_id").collect()][3:] == [p[0] for p in POSTINGS]
+    assert jobs.filter("collected_at IS NULL").count() == 0
+
+
+def test_load_without_title_is_refused_as_a_whole(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="1 postings without title_raw"):
+        append_jobs(store, read_jobs_csv(spark, write(tmp_path / "a.csv", "u,T,d,c,s,,l,1,\nu,,d,c,s,,l,1,\n")))
+    assert not store.exists("jobs")
+
+
+def test_replace_keeps_the_previous_version_readable(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    first = store.replace("marts/m", spark.range(3))
+    second = store.replace("marts/m", first.filter("id > 0"))
+    assert (first.count(), second.count()) == (3, 2)
+    store.replace("marts/m", spark.range(1))
+    assert store._versions("marts/m") == [2, 3]
+
+
+def test_unfinished_version_is_ignored(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    store.replace("marts/m", spark.range(3))
+    (tmp_path / "t" / "marts" / "m" / "v000002").mkdir()
+    assert store.read("marts/m").count() == 3
+    assert store.replace("marts/m", spark.range(4)).count() == 4
+
+
+def test_empty_store_reads_as_declared(spark, tmp_path):
+    t = TableStore(spark, str(tmp_path / "t")).tables()
+    assert {name: df.columns for name, df in t.items()} == {n: s.fieldNames() for n, s in schemas.TABLES.items()}
+    assert all(df.count() == 0 for df in t.values())
+
+
+def test_refresh_twice_changes_nothing(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
+    skills = write_skills_csv(tmp_path / "s.csv")
+    places = spark.createDataFrame([("Remote, Us", 1.0, 2.0)], "place string, lat double, lon double")
+
+    def snapshot():
+        marts = refresh.refresh_all(store, skills, places)
+        assert sorted(marts) == sorted(refresh.MARTS)
+        tables = {n: df.drop("created_at", "collected_at") for n, df in store.tables().items()}
+        return {n: as_set(df) for n, df in {**tables, **marts}.items()}
+
+    before = snapshot()
+    assert len(before["jobs_skills"]) == 21 and len(before["skills"]) == 15
+    assert (2, "Remote", "Us", None, 1.0, 2.0, 0.7) in before["locations"]
+    assert (1, "New York", "Ny", "Usa", None, None, 0.6) in before["locations"]
+    assert snapshot() == before
+
+
+def test_new_postings_extend_the_tables(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    skills = write_skills_csv(tmp_path / "s.csv")
+    append_jobs(store, seed_postings(spark).coalesce(1))
+    refresh.refresh_all(store, skills)
+    ids = as_set(store.read("skills"), "skill_id", "skill_norm")
+    refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
+    refresh.refresh_all(store, skills)
+    assert ids < as_set(store.read("skills"), "skill_id", "skill_norm")
+    assert store.read("skills").count() == 15
+    assert store.read("jobs_skills").count() == 12 + 21
+
+
+def test_text_that_becomes_empty_keeps_its_old_row(spark):
+    from hirelens.plans.enrich import enrich_compensation, enrich_locations
+
+    jobs = spark.createDataFrame([(1, "", ""), (2, "5k", "Paris | France")], "job_id long, salary_raw string, location_raw string")
+    pay = spark.createDataFrame([(1, 1.0, 2.0, "EUR", "year", 0.8)], schemas.COMPENSATION)
+    assert as_set(enrich_compensation(jobs, pay)) == {
+        (1, 1.0, 2.0, "EUR", "year", 0.8), (2, 5000.0, 5000.0, None, None, 0.6)
+    }
+    where = spark.createDataFrame([(1, "A", "B", "C", None, None, 0.6)], schemas.LOCATIONS)
+    assert as_set(enrich_locations(jobs, where), "job_id", "city") == {(1, "A"), (2, "Paris")}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    root = ["--root", str(tmp_path / "t")]
+    csv, skills = write_postings_csv(tmp_path / "p.csv"), write_skills_csv(tmp_path / "s.csv")
+    parser = cli.parser()
+    assert isinstance(parser, argparse.ArgumentParser)
+    for command in (["seed"], ["load", csv], ["extract-skills", "--skills", skills], ["enrich-salary"],
+                    ["enrich-locations"], ["analytics-refresh"], ["refresh-all"]):
+        cli.run(spark, parser.parse_args(root + command))
+    capsys.readouterr()
+    for name in cli.REPORTS:
+        cli.run(spark, parser.parse_args(root + [name]))
+        assert "+--" in capsys.readouterr().out
