@@ -37,12 +37,13 @@ def parse_location(df: DataFrame, col: str = "location_raw") -> DataFrame:
     found = F.coalesce("city", "state", "country").isNotNull()
     empty = F.coalesce(F.col(col), F.lit("")) == ""
     return (
-        df.withColumn("_core", F.regexp_replace(F.col(col), _EDGES, ""))
+        # Cased before the split: a part begins after a separator, where a new run of letters begins anyway.
+        df.withColumn("_core", title_case(F.regexp_replace(F.col(col), _EDGES, "")))
         .withColumn("_parts", F.when(F.col("_core") != "", F.split("_core", _GAP)).otherwise(F.array()))
         .withColumns({
-            "city": title_case(city),
-            "state": title_case(state),
-            "country": title_case(country),
+            "city": city,
+            "state": state,
+            "country": country,
             "is_remote": F.coalesce(F.col(col).rlike(REMOTE), F.lit(False)),
         })
         .withColumn(

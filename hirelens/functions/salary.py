@@ -40,13 +40,9 @@ def _one_of(words) -> str:
 
 
 def _lookup(key: Column, table: dict[str, str]) -> Column:
-    result = F.lit(None).cast("string")
-    by_value: dict[str, list[str]] = {}
-    for word, value in table.items():
-        by_value.setdefault(value, []).append(word)
-    for value, words in by_value.items():
-        result = F.when(key.isin(words), value).otherwise(result)
-    return result
+    """Value of ``key``, NULL when it is not in the table; ``key`` is computed once."""
+    entries = F.create_map(*[F.lit(x) for entry in table.items() for x in entry])
+    return F.try_element_at(entries, key)
 
 
 def currency_of(text: Column) -> Column:

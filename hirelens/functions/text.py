@@ -26,14 +26,11 @@ def squash_ws(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Upper-case the first letter of every run of letters, lower the rest.
 
-    Unlike ``initcap`` a run also starts after an apostrophe, a digit or any
+    Unlike plain ``initcap`` a run also starts after an apostrophe, a digit or any
     other non-letter: ``o'fallon`` gives ``O'Fallon``.
     """
-    runs = F.split(text, rf"(?<![{_CASED}])(?=[{_CASED}])")
-    capped = F.transform(
-        runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(r.substr(F.lit(2), F.length(r))))
-    )
-    return F.array_join(capped, "")
+    runs = F.regexp_extract_all(text, F.lit(rf"[{_CASED}]+[^{_CASED}]*|[^{_CASED}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
 
 
 def place_name(city: Column, state: Column, country: Column) -> Column:

@@ -10,6 +10,9 @@ from .upsert import absent_rows
 # Fixed value: written to every skill row made here.
 EXTRACTOR_VERSION = "rule_v1"
 
+# Up to this many different first tokens, runs are filtered by them before they are built.
+PREFILTER_TOKENS = 1000
+
 
 def skill_key(name: Column) -> Column:
     """Names that differ only in case and white space are one skill."""
@@ -31,17 +34,33 @@ def dedupe_gazetteer(entries: DataFrame, skill_col: str = "skill", pos_col: str
     )
 
 
-def _runs(first: str, following: str, n: int) -> Column:
-    """Text of every run of ``n`` neighbouring tokens, in order.
+def _first_tokens(gazetteer: DataFrame) -> list[str] | None:
+    """Lower-cased first tokens of all phrases, or None when there are many."""
+    first = gazetteer.select(F.lower(F.regexp_extract("skill", BARE_TOKEN, 0)).alias("first")).distinct()
+    found = [r["first"] for r in first.limit(PREFILTER_TOKENS + 1).collect()]
+    return found if len(found) <= PREFILTER_TOKENS else None
+
+
+def _runs(texts: DataFrame, id_col: str, lengths: list[int], firsts: list[str] | None) -> DataFrame:
+    """One row per text and distinct run of neighbouring tokens, of the given lengths.
 
-    ``first`` holds the tokens without, ``following`` with their leading white
-    space.  The last runs, which the text cuts short, are NULL.
+    A run is its first token without, and the others with their leading white space.
+    With ``firsts`` only runs that begin with one of these tokens are built; the
+    others are NULL from their first token on and cost no string work.
     """
-    runs = F.col(first)
-    for k in range(1, n):
-        rest = F.slice(following, F.lit(k + 1), F.greatest(F.size(following) - k, F.lit(0)))
-        runs = F.zip_with(runs, rest, lambda run, token: F.concat(run, token))
-    return runs
+    cut = texts.withColumns({
+        "_run1": F.regexp_extract_all("_text", F.lit(BARE_TOKEN), F.lit(0)),
+        "_tokens": F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0)),
+    })
+    if firsts is not None:
+        cut = cut.withColumn("_run1", F.transform("_run1", lambda t: F.when(F.lower(t).isin(firsts), t)))
+    for n in range(2, max(lengths) + 1):
+        nth = F.slice("_tokens", n, F.greatest(F.size("_tokens") - (n - 1), F.lit(0)))
+        cut = cut.withColumn(f"_run{n}", F.zip_with(f"_run{n - 1}", nth, lambda run, token: F.concat(run, token)))
+    runs = F.array_distinct(F.array_compact(F.concat(*[F.col(f"_run{n}") for n in lengths])))
+    # Exploded as an expression: for a column Spark would add a filter on its size
+    # and push it to the scan, where every text would be cut a second time.
+    return cut.select(id_col, F.explode(runs).alias("surface"))
 
 
 def extract_skills(
@@ -61,30 +80,28 @@ def extract_skills(
     small.  ``spread`` repartitions the texts first, for inputs of few large
     unsplittable files.
     """
-    phrases = gazetteer.select("skill_key", "n_tokens")
-    rows, size, lengths = phrases.agg(
+    rows, size, lengths = gazetteer.agg(
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.octet_length("skill_key") + 32), F.lit(0)),
         F.sort_array(F.collect_set("n_tokens")),
     ).first()
     small = rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    # Stored under one name with single blanks; differs from the key only for entries with odd white space.
+    phrases = gazetteer.select("skill_key", skill_key(F.col("skill")).alias("_name"))
 
     texts = df.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.col("_text") != "")
     if spread:
         texts = texts.repartition(spread)
-    cut = texts.select(
-        id_col,
-        F.regexp_extract_all("_text", F.lit(BARE_TOKEN), F.lit(0)).alias("_bare"),
-        F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0)).alias("_spaced"),
-    )
-    runs = [_runs("_bare", "_spaced", n) for n in lengths if n]
-    every = F.concat(*runs) if runs else F.array().cast("array<string>")
     # Distinct inside one text, so no shuffle is needed to make the result distinct.
-    surfaces = cut.select(id_col, F.explode(F.array_distinct(every)).alias("surface"))
-    keyed = surfaces.withColumn("skill_key", F.lower("surface"))
-    found = lookup_join(keyed, phrases.select("skill_key"), "skill_key", spread_by=[id_col], small=small)
-    return found.select(id_col, squash_ws(F.col("surface")).alias("surface")).withColumn(
-        "skill_key", F.lower("surface")
+    surfaces = _runs(texts, id_col, lengths or [1], _first_tokens(gazetteer))
+    # Never NULL, so that the join adds no filter that would lower every run twice.
+    keyed = surfaces.withColumn("skill_key", F.coalesce(F.lower("surface"), F.lit("")))
+    found = lookup_join(keyed, phrases, "skill_key", spread_by=[id_col], small=small)
+    plain = F.col("_name") == F.col("skill_key")
+    return found.select(
+        id_col,
+        F.when(plain, F.col("surface")).otherwise(squash_ws(F.col("surface"))).alias("surface"),
+        F.col("_name").alias("skill_key"),
     )
 
 

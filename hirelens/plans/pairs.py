@@ -14,8 +14,9 @@ def pair_counts(jobs_skills: DataFrame, skills: DataFrame, array_skills: int = A
     The number of stored skills, counted first, bounds the skills of one posting
     and so decides between two exact plans.
     """
-    if skills.limit(array_skills + 1).count() <= array_skills:
-        return by_skill_sets(jobs_skills)
+    known = skills.select("skill_id")
+    if known.limit(array_skills + 1).count() <= array_skills:
+        return by_skill_sets(jobs_skills.join(F.broadcast(known), "skill_id", "left_semi"))
     return by_blocks(jobs_skills)
 
 
@@ -23,9 +24,12 @@ def by_skill_sets(jobs_skills: DataFrame) -> DataFrame:
     """For bounded dictionaries: count equal skill sets first, then pair within the distinct sets.
 
     Copies of a posting, and postings that name the same skills, collapse to one
-    row with a weight before any pair is made.
+    row with a weight before any pair is made.  The links travel once, as plain
+    rows: a posting has at most one per skill, and sets gathered before the
+    shuffle would hold one or two ids each and cost a second sort.
     """
-    sets = jobs_skills.groupBy("job_id").agg(F.sort_array(F.collect_list("skill_id")).alias("ids"))
+    together = jobs_skills.repartition("job_id")
+    sets = together.groupBy("job_id").agg(F.sort_array(F.collect_set("skill_id")).alias("ids"))
     weighted = sets.filter(F.size("ids") > 1).groupBy("ids").agg(F.count(F.lit(1)).alias("weight"))
     firsts = weighted.select("ids", "weight", F.posexplode("ids").alias("at", "skill_id_a"))
     later = F.slice("ids", F.col("at") + 2, F.size("ids"))

@@ -87,12 +87,19 @@ def test_equals_naive_scan_and_both_joins_agree(spark, monkeypatch):
     assert {k.count(' ') for _, _, k in expected} == {0, 1, 2}
     df, words = texts(spark, items), gazetteer(spark, phrases)
     assert as_set(extract_skills(df, words)) == expected
+    monkeypatch.setattr(skills, "PREFILTER_TOKENS", 2)
+    assert as_set(extract_skills(df, words)) == expected
     monkeypatch.setattr(skills, "BROADCAST_ROWS", 2)
     salted = extract_skills(df, words, spread=3)
     assert "BroadcastHashJoin" not in salted._jdf.queryExecution().sparkPlan().toString()
     assert as_set(salted) == expected
 
 
+def test_entry_with_odd_white_space_is_stored_under_its_plain_name(spark):
+    found = extract_skills(texts(spark, [(1, "Power  BI, power bi")]), gazetteer(spark, ["power  bi"]))
+    assert as_set(found) == {(1, "Power BI", "power bi")}
+
+
 def test_empty_dictionary(spark):
     assert rows(extract_skills(postings(spark), gazetteer(spark, [" "]))) == []
 
