@@ -23,6 +23,7 @@ from hirelens.functions.location import parse_location  # noqa: E402
 from hirelens.functions.salary import parse_salary  # noqa: E402
 from hirelens.operators import geo, quality, skills, upsert  # noqa: E402
 from hirelens.operators.ids import dense_ids  # noqa: E402
+from hirelens.operators.staging import stage  # noqa: E402
 from hirelens.plans import enrich, marts, reports  # noqa: E402
 
 SKILL_TABLES = ("v_jobs", "v_skills", "v_jobs_skills")
@@ -46,7 +47,8 @@ def phrase_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skills.dedupe_gazetteer(phrase_entries(spark, sf_dir))
+    """The dictionary as a stored table: it is measured, listed and joined in separate jobs."""
+    return stage(skills.dedupe_gazetteer(phrase_entries(spark, sf_dir)), "gazetteer")
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +178,7 @@ def _skill_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _skill_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matches = enrich.stage(_matches(spark, sf_dir), "matches")
+    matches = stage(_matches(spark, sf_dir), "matches")
     made = skills.new_skills(matches, _no_skills(spark))
     return skills.new_links(matches, made, spark.createDataFrame([], schemas.JOBS_SKILLS))
 

@@ -32,7 +32,7 @@ def _places(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    store = TableStore(spark, args.root)
+    store = TableStore(spark, args.root, args.buckets)
     if args.command in REPORTS:
         REPORTS[args.command](store).show(1000, truncate=False)
     elif args.command == "seed":
@@ -54,6 +54,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="hirelens", description=__doc__)
     top.add_argument("--root", default="warehouse", help="directory of the stored tables")
+    top.add_argument("--buckets", type=int, help="bucket the tables by posting into this many buckets")
     commands = top.add_subparsers(dest="command", required=True)
     load = commands.add_parser("load", help="append postings from a CSV file")
     load.add_argument("csv")

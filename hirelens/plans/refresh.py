@@ -113,7 +113,8 @@ def load_mart(store: TableStore, name: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, path: str | None) -> DataFrame:
-    return read_gazetteer(spark, path) if path else default_gazetteer(spark)
+    """The dictionary from a CSV or the default one, staged: it is read by several jobs."""
+    return stage(read_gazetteer(spark, path) if path else default_gazetteer(spark), "gazetteer")
 
 
 def refresh_all(

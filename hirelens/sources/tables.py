@@ -4,62 +4,104 @@ A table is a directory of versions ``v000001``, ``v000002``, ...; the current on
 the highest that carries the ``_SUCCESS`` mark of a finished write.  A replaced table
 is written to a new version, so a path that is being read is never overwritten, and
 a failed write leaves the old version current.  One writer at a time.
+
+With ``buckets`` the tables that have a ``job_id`` are bucketed by it (the version is
+named ``v000001-b512``).  Postings, links, pay and places then join without a shuffle.
 """
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ids import dense_ids
 from ..operators.quality import not_null_violations
-from ..schemas import JOBS, TABLES
+from ..schemas import TABLES
+
+BUCKET_KEY = "job_id"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
-    def _versions(self, name: str) -> list[int]:
+    def _hadoop(self, path: str):
         sc = self.spark.sparkContext
-        marks = sc._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/v*/_SUCCESS")
-        found = marks.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(marks)
-        return sorted(int(s.getPath().getParent().getName()[1:]) for s in found or [])
-
-    def _path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v{version:06d}"
-
-    def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
+        found = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
+    def versions(self, name: str) -> list[str]:
+        """Directory names of all finished versions, oldest first."""
+        fs, marks = self._hadoop(f"{self.root}/{name}/v*/_SUCCESS")
+        return sorted(mark.getPath().getParent().getName() for mark in fs.globStatus(marks) or [])
+
+    def _next_version(self, name: str) -> str:
+        last = (self.versions(name) or ["v000000"])[-1]
+        bucketed = f"-b{self.buckets}" if self.buckets and BUCKET_KEY in _columns(name) else ""
+        return f"v{int(last[1:7]) + 1:06d}{bucketed}"
+
+    def _catalog_name(self, name: str, version: str) -> str:
+        place = zlib.crc32(self.root.encode())
+        return f"hirelens_{place:08x}_{name}_{version.replace('-', '_')}"
+
+    def _write(self, name: str, version: str, df: DataFrame, mode: str) -> None:
+        path = f"{self.root}/{name}/{version}"
+        if "-b" not in version:
+            df.write.mode(mode).parquet(path)
+            return
+        buckets = int(version.split("-b")[1])
+        clustered = df.repartition(buckets, BUCKET_KEY).write.mode(mode).format("parquet").option("path", path)
+        clustered.bucketBy(buckets, BUCKET_KEY).saveAsTable(self._catalog_name(name, version))
+
+    def _read(self, name: str, version: str) -> DataFrame:
+        path = f"{self.root}/{name}/{version}"
+        if "-b" not in version:
+            reader = self.spark.read
+            return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(path)
+        table = self._catalog_name(name, version)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[name].fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CLUSTERED BY ({BUCKET_KEY}) INTO {version.split('-b')[1]} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(table)
 
     def read(self, name: str) -> DataFrame:
         """The current version; a declared table without one is empty."""
-        versions = self._versions(name)
+        versions = self.versions(name)
         if not versions:
             return self.spark.createDataFrame([], _nullable(TABLES[name]))
-        reader = self.spark.read
-        if name in TABLES:
-            reader = reader.schema(TABLES[name])
-        return reader.parquet(self._path(name, versions[-1]))
+        return self._read(name, versions[-1])
 
     def replace(self, name: str, df: DataFrame, keep: int = 2) -> DataFrame:
         """Write ``df`` as the new current version; drop versions older than the last ``keep``."""
-        versions = self._versions(name)
-        df.write.mode("overwrite").parquet(self._path(name, (versions or [0])[-1] + 1))
-        sc = self.spark.sparkContext
-        for old in versions[: -(keep - 1)] if keep > 1 else versions:
-            path = sc._jvm.org.apache.hadoop.fs.Path(self._path(name, old))
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        if name in TABLES:
+            df = df.select(*_columns(name))
+        self._write(name, self._next_version(name), df, "overwrite")
+        for old in self.versions(name)[:-keep]:
+            if "-b" in old:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(name, old)}")
+            fs, path = self._hadoop(f"{self.root}/{name}/{old}")
+            fs.delete(path, True)
         return self.read(name)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
         """Add rows to the current version."""
-        version = (self._versions(name) or [1])[-1]
-        df.select(*TABLES[name].fieldNames()).write.mode("append").parquet(self._path(name, version))
+        versions = self.versions(name)
+        if versions:
+            self._read(name, versions[-1])
+        self._write(name, versions[-1] if versions else self._next_version(name), df.select(*_columns(name)), "append")
         return self.read(name)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
 
 
+def _columns(name: str) -> list[str]:
+    return TABLES[name].fieldNames() if name in TABLES else []
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
@@ -75,4 +117,4 @@ def append_jobs(store: TableStore, postings: DataFrame) -> DataFrame:
     refused = not_null_violations({"jobs": numbered}).first()
     if refused:
         raise ValueError(f"{refused['n']} postings without {refused['column']}")
-    return store.append("jobs", numbered.select(*JOBS.fieldNames()))
+    return store.append("jobs", numbered)

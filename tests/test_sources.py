@@ -75,7 +75,7 @@ def test_load_without_title_is_refused_as_a_whole(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
     with pytest.raises(ValueError, match="1 postings without title_raw"):
         append_jobs(store, read_jobs_csv(spark, write(tmp_path / "a.csv", "u,T,d,c,s,,l,1,\nu,,d,c,s,,l,1,\n")))
-    assert not store.exists("jobs")
+    assert not store.versions("jobs")
 
 
 def test_replace_keeps_the_previous_version_readable(spark, tmp_path):
@@ -84,7 +84,7 @@ def test_replace_keeps_the_previous_version_readable(spark, tmp_path):
     second = store.replace("marts/m", first.filter("id > 0"))
     assert (first.count(), second.count()) == (3, 2)
     store.replace("marts/m", spark.range(1))
-    assert store._versions("marts/m") == [2, 3]
+    assert store.versions("marts/m") == ["v000002", "v000003"]
 
 
 def test_unfinished_version_is_ignored(spark, tmp_path):
@@ -101,8 +101,9 @@ def test_empty_store_reads_as_declared(spark, tmp_path):
     assert all(df.count() == 0 for df in t.values())
 
 
-def test_refresh_twice_changes_nothing(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "t"))
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_refresh_twice_changes_nothing(spark, tmp_path, buckets):
+    store = TableStore(spark, str(tmp_path / "t"), buckets)
     refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
     skills = write_skills_csv(tmp_path / "s.csv")
     places = spark.createDataFrame([("Remote, Us", 1.0, 2.0)], "place string, lat double, lon double")
@@ -120,8 +121,29 @@ def test_refresh_twice_changes_nothing(spark, tmp_path):
     assert snapshot() == before
 
 
-def test_new_postings_extend_the_tables(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "t"))
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "t"), buckets=3)
+    refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
+    refresh.refresh_all(store, write_skills_csv(tmp_path / "s.csv"))
+    assert store.versions("jobs") == ["v000001-b3"] and store.versions("skills") == ["v000001"]
+    for name in ("jobs", "jobs_skills", "compensation"):
+        spark.sql(f"DROP TABLE {store._catalog_name(name, store.versions(name)[-1])}")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        facts = refresh.skill_facts(TableStore(spark, str(tmp_path / "t")).tables())
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert sum(r["n"] for r in facts.collect()) == 21
+    finally:
+        spark.conf.set(threshold, before)
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_new_postings_extend_the_tables(spark, tmp_path, buckets):
+    store = TableStore(spark, str(tmp_path / "t"), buckets)
     skills = write_skills_csv(tmp_path / "s.csv")
     append_jobs(store, seed_postings(spark).coalesce(1))
     refresh.refresh_all(store, skills)
