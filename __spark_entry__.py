@@ -57,8 +57,8 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _known_skills(entries: DataFrame) -> DataFrame:
-    """A skills table that already holds the single-word entries with an even length."""
-    words = entries.filter(F.col("skill").rlike(r"^\p{L}+$") & (F.length("skill") % 2 == 0))
+    """A skills table that already holds the capitalized single-word entries."""
+    words = entries.filter(F.col("skill").rlike(r"^\p{Lu}\p{L}*$"))
     first = words.groupBy(F.lower("skill").alias("skill_norm")).agg(F.min("pos").alias("pos"))
     return dense_ids(first, "skill_id", order_by=["pos", "skill_norm"]).select(
         "skill_id", F.col("skill_norm").alias("skill_raw"), "skill_norm"
@@ -314,7 +314,7 @@ _DICTIONARY = """
 _KNOWN = r"""
     known AS (SELECT key, row_number() OVER (ORDER BY pos, key) AS skill_id
               FROM (SELECT lower(skill) AS key, min(pos) AS pos FROM entries
-                    WHERE regexp_full_match(skill, '\p{L}+') AND length(skill) % 2 = 0 GROUP BY 1))"""
+                    WHERE regexp_full_match(skill, '\p{Lu}\p{L}*') GROUP BY 1))"""
 
 _CURRENCY_WORD = r"(?:^|[^A-Za-z0-9_])(usd|dollars?|eur|euros?|gbp|inr)(?:$|[^A-Za-z0-9_])"
 _PERIOD_WORD = r"\b(?:per)?(year|yr|annum|month|mo|hour|hr)\b"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import strip
+from .text import ascii_digits, strip
 
 # ---- fixed values: they decide the results, so they are stated as they must be ----
 CURRENCY_SIGNS = {"$": "USD", "£": "GBP", "€": "EUR", "₹": "INR"}
@@ -85,7 +85,7 @@ def parse_salary(df: DataFrame, col: str = "salary_raw", thousands: bool = False
     )
     return (
         df.withColumn("_text", strip(F.col(col)))
-        .withColumn("_numbers", F.regexp_extract_all(text, F.lit(number), F.lit(0)))
+        .withColumn("_numbers", F.regexp_extract_all(ascii_digits(text), F.lit(number), F.lit(0)))
         .withColumns({
             "_first": _amount(F.get(F.col("_numbers"), F.lit(0))),
             "_second": _amount(F.get(F.col("_numbers"), F.lit(1))),

@@ -1,5 +1,8 @@
 """Text expressions shared by the parsers."""
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 # Unicode white space as the inside of a character class.
@@ -13,6 +16,17 @@ TOKEN = rf"[{WS}]*(?:{BARE_TOKEN})"
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
+# Decimal digits of all other scripts, and the ASCII digit of each.
+_DIGITS = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.decimal(c, None) is not None]
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of any script as ASCII digits."""
+    turned = F.translate(text, "".join(_DIGITS), _ASCII_DIGITS)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), turned).otherwise(text)
+
+
 def strip(text: Column) -> Column:
     """Remove white space (not only blanks) at both ends."""
     return F.regexp_replace(text, rf"^[{WS}]+|[{WS}]+$", "")

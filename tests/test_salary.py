@@ -21,6 +21,7 @@ GOLDEN = [
     ("100 peryear", 100.0, 100.0, None, "year", 0.6),
     ("₹900 or 5 EUR a day", 5.0, 900.0, "INR", None, 0.8),
     ("10 euros 20 usd", 10.0, 20.0, "EUR", None, 0.8),
+    ("₹१२k – ٣٤k", 12000.0, 34000.0, "INR", None, 0.8),
     ("1.5.2", 1.5, 2.0, None, None, 0.8),
     ("competitive", None, None, None, None, 0.2),
     ("eur per hr", None, None, "EUR", "hour", 0.2),
