@@ -55,43 +55,48 @@ SQL = {
         FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey""",
     "v_salary_raw": """
         SELECT o_orderkey AS job_id,
-               CASE concat(o_orderstatus, substr(o_orderpriority, 1, 1))
-                 WHEN 'F1' THEN concat('$', CAST(CAST(floor(o_totalprice / 1000) AS INT) AS STRING), 'k-$',
-                                       CAST(CAST(floor(o_totalprice / 1000) AS INT) + 20 AS STRING), 'k/yr')
-                 WHEN 'F2' THEN 'USD 70-90/hour'
-                 WHEN 'F3' THEN concat(CAST(CAST(floor(o_totalprice) AS INT) AS STRING), ' to 75k')
-                 WHEN 'F4' THEN '$55,000-$75,000'
-                 WHEN 'F5' THEN concat('£', CAST(CAST(floor(o_totalprice / 100) AS INT) AS STRING), 'k per month')
-                 WHEN 'O1' THEN 'competitive'
-                 WHEN 'O2' THEN ''
-                 WHEN 'O3' THEN NULL
-                 WHEN 'O4' THEN concat(CAST(CAST(floor(o_totalprice) AS INT) AS STRING), ' k')
-                 WHEN 'O5' THEN concat('€', CAST(CAST(floor(o_totalprice) AS INT) AS STRING), '.5k')
-                 WHEN 'P1' THEN '120000 dollars per annum'
-                 WHEN 'P2' THEN '401k plus $100k-$120k yearly'
-                 WHEN 'P3' THEN '70 to 90 mo'
-                 WHEN 'P4' THEN '   '
-                 ELSE concat('up to ', CAST(CAST(floor(o_totalprice) AS INT) AS STRING), ' Euro, 13 k bonus')
+               CASE o_orderstatus
+                 WHEN 'F' THEN CASE o_orderpriority
+                   WHEN '1-URGENT' THEN concat('$', price, 'k-$', price, '.5k/yr')
+                   WHEN '2-HIGH' THEN 'USD 70-90/hour'
+                   WHEN '3-MEDIUM' THEN concat(price, ' to 75k')
+                   WHEN '4-NOT SPECIFIED' THEN '$55,000-$75,000'
+                   ELSE concat('£', price, 'k per month') END
+                 WHEN 'O' THEN CASE o_orderpriority
+                   WHEN '1-URGENT' THEN 'competitive'
+                   WHEN '2-HIGH' THEN ''
+                   WHEN '3-MEDIUM' THEN NULL
+                   WHEN '4-NOT SPECIFIED' THEN concat(price, ' k')
+                   ELSE concat('€', price, '.5k') END
+                 ELSE CASE o_orderpriority
+                   WHEN '1-URGENT' THEN '120000 dollars per annum'
+                   WHEN '2-HIGH' THEN '401k plus $100k-$120k yearly'
+                   WHEN '3-MEDIUM' THEN '70 to 90 mo'
+                   WHEN '4-NOT SPECIFIED' THEN '   '
+                   ELSE concat('up to ', price, ' Euro, 13 k bonus') END
                END AS salary_raw
-        FROM {orders}""",
+        FROM (SELECT *, CAST(CAST(floor(o_totalprice) AS INT) AS STRING) AS price FROM {orders}) AS priced""",
     "v_location_raw": """
         SELECT o_orderkey AS job_id,
-               CASE concat(o_orderstatus, substr(o_orderpriority, 1, 1))
-                 WHEN 'F1' THEN concat('new city ', CAST(c_custkey AS STRING), ', NY, ', n_name)
-                 WHEN 'F2' THEN 'Remote - US'
-                 WHEN 'F3' THEN n_name
-                 WHEN 'F4' THEN 'ny'
-                 WHEN 'F5' THEN 'winston-salem, NC'
-                 WHEN 'O1' THEN concat('o''fallon ', lower(c_mktsegment), ' | uk')
-                 WHEN 'O2' THEN ' , '
-                 WHEN 'O3' THEN ''
-                 WHEN 'O4' THEN NULL
-                 WHEN 'O5' THEN 'X'
-                 WHEN 'P1' THEN concat(c_mktsegment, ' | ', n_name)
-                 WHEN 'P2' THEN 'London, UK/Remote'
-                 WHEN 'P3' THEN concat('  ', lower(n_name), ' / DE ')
-                 WHEN 'P4' THEN '42'
-                 ELSE concat(lower(c_mktsegment), ' park, remotely, ', n_name, ', extra')
+               CASE o_orderstatus
+                 WHEN 'F' THEN CASE o_orderpriority
+                   WHEN '1-URGENT' THEN concat('new city ', CAST(c_custkey AS STRING), ', NY, ', n_name)
+                   WHEN '2-HIGH' THEN 'Remote - US'
+                   WHEN '3-MEDIUM' THEN n_name
+                   WHEN '4-NOT SPECIFIED' THEN 'ny'
+                   ELSE 'winston-salem, NC' END
+                 WHEN 'O' THEN CASE o_orderpriority
+                   WHEN '1-URGENT' THEN concat('o''fallon ', lower(c_mktsegment), ' | uk')
+                   WHEN '2-HIGH' THEN ' , '
+                   WHEN '3-MEDIUM' THEN ''
+                   WHEN '4-NOT SPECIFIED' THEN NULL
+                   ELSE 'X' END
+                 ELSE CASE o_orderpriority
+                   WHEN '1-URGENT' THEN concat(c_mktsegment, ' | ', n_name)
+                   WHEN '2-HIGH' THEN 'London, UK/Remote'
+                   WHEN '3-MEDIUM' THEN concat('  ', lower(n_name), ' / DE ')
+                   WHEN '4-NOT SPECIFIED' THEN '42'
+                   ELSE concat(lower(c_mktsegment), ' park, remotely, ', n_name, ', extra') END
                END AS location_raw
         FROM {orders} JOIN {customer} ON c_custkey = o_custkey JOIN {nation} ON n_nationkey = c_nationkey""",
     "v_dates_raw": """

@@ -57,7 +57,8 @@ def _runs(texts: DataFrame, id_col: str, lengths: list[int], firsts: list[str] |
     for n in range(2, max(lengths) + 1):
         nth = F.slice("_tokens", n, F.greatest(F.size("_tokens") - (n - 1), F.lit(0)))
         cut = cut.withColumn(f"_run{n}", F.zip_with(f"_run{n - 1}", nth, lambda run, token: F.concat(run, token)))
-    runs = F.array_distinct(F.array_compact(F.concat(*[F.col(f"_run{n}") for n in lengths])))
+    # All missing runs of a text become one NULL, which matches nothing.
+    runs = F.array_distinct(F.concat(*[F.col(f"_run{n}") for n in lengths]))
     # Exploded as an expression: for a column Spark would add a filter on its size
     # and push it to the scan, where every text would be cut a second time.
     return cut.select(id_col, F.explode(runs).alias("surface"))
