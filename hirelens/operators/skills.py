@@ -34,9 +34,13 @@ def dedupe_gazetteer(entries: DataFrame, skill_col: str = "skill", pos_col: str
     )
 
 
+def _first_token() -> Column:
+    return F.lower(F.regexp_extract("skill", BARE_TOKEN, 0))
+
+
 def _first_tokens(gazetteer: DataFrame) -> list[str] | None:
     """Lower-cased first tokens of all phrases, or None when there are many."""
-    first = gazetteer.select(F.lower(F.regexp_extract("skill", BARE_TOKEN, 0)).alias("first")).distinct()
+    first = gazetteer.select(_first_token().alias("first")).distinct()
     found = [r["first"] for r in first.limit(PREFILTER_TOKENS + 1).collect()]
     return found if len(found) <= PREFILTER_TOKENS else None
 
@@ -81,10 +85,11 @@ def extract_skills(
     small.  ``spread`` repartitions the texts first, for inputs of few large
     unsplittable files.
     """
-    rows, size, lengths = gazetteer.agg(
+    rows, size, lengths, openings = gazetteer.agg(
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.octet_length("skill_key") + 32), F.lit(0)),
         F.sort_array(F.collect_set("n_tokens")),
+        F.approx_count_distinct(_first_token()),
     ).first()
     small = rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
     # Stored under one name with single blanks; differs from the key only for entries with odd white space.
@@ -93,8 +98,10 @@ def extract_skills(
     texts = df.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.col("_text") != "")
     if spread:
         texts = texts.repartition(spread)
+    # The estimate only saves listing them when there are far too many.
+    firsts = _first_tokens(gazetteer) if openings <= 2 * PREFILTER_TOKENS else None
     # Distinct inside one text, so no shuffle is needed to make the result distinct.
-    surfaces = _runs(texts, id_col, lengths or [1], _first_tokens(gazetteer))
+    surfaces = _runs(texts, id_col, lengths or [1], firsts)
     # Never NULL, so that the join adds no filter that would lower every run twice.
     keyed = surfaces.withColumn("skill_key", F.coalesce(F.lower("surface"), F.lit("")))
     found = lookup_join(keyed, phrases, "skill_key", spread_by=[id_col], small=small)

@@ -6,6 +6,8 @@ column; nothing is kept in a machine-local folder on a cluster.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[list[str]] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when the block ends, that is after its results are stored."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        sc = spark.sparkContext
+        for staged in _scopes.pop():
+            path = sc._jvm.org.apache.hadoop.fs.Path(staged)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,11 +1,9 @@
 """Jobs that keep the stored tables and marts current."""
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import month_of
-from ..operators.staging import stage
+from ..operators.staging import stage, staging_scope
 from ..sources.csv import read_gazetteer, read_jobs_csv
 from ..sources.default_skills import default_gazetteer
 from ..sources.tables import TableStore, append_jobs
@@ -30,10 +28,13 @@ def load_postings(spark: SparkSession, store: TableStore, csv_path: str, multili
 
 def run_skills(store: TableStore, phrases: DataFrame) -> None:
     """Extract skills from all postings; add new skills and new links."""
-    skills, links = enrich_skills(store.read("jobs"), phrases, store.read("skills"), store.read("jobs_skills"))
-    links = stage(links, "links")
-    store.append("skills", skills)
-    store.append("jobs_skills", links)
+    with staging_scope(store.spark):
+        skills, links = enrich_skills(
+            store.read("jobs"), stage(phrases, "gazetteer"), store.read("skills"), store.read("jobs_skills")
+        )
+        links = stage(links, "links")
+        store.append("skills", skills)
+        store.append("jobs_skills", links)
 
 
 def run_compensation(store: TableStore, thousands: bool = False) -> None:
@@ -97,11 +98,12 @@ def refresh_marts(store: TableStore) -> dict[str, DataFrame]:
     growth from the stored monthly counts.
     """
     t = store.tables()
-    plans: dict[str, Callable[[], DataFrame] | DataFrame] = dict(marts_from_facts(stage(skill_facts(t), "facts"), t))
-    plans["skill_cooccurrence"] = marts.skill_cooccurrence(t)
-    plans["jobs_by_country"] = marts.jobs_by_country(t)
-    plans["monthly_jobs_by_country"] = marts.monthly_jobs_by_country(t)
-    stored = {name: store.replace(f"marts/{name}", plan) for name, plan in plans.items()}
+    with staging_scope(store.spark):
+        plans = marts_from_facts(stage(skill_facts(t), "facts"), t)
+        plans["skill_cooccurrence"] = marts.skill_cooccurrence(t)
+        plans["jobs_by_country"] = marts.jobs_by_country(t)
+        plans["monthly_jobs_by_country"] = marts.monthly_jobs_by_country(t)
+        stored = {name: store.replace(f"marts/{name}", plan) for name, plan in plans.items()}
     stored["skill_mom_growth"] = store.replace(
         "marts/skill_mom_growth", marts.skill_mom_growth(stored["monthly_skill_counts"])
     )
@@ -113,8 +115,7 @@ def load_mart(store: TableStore, name: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, path: str | None) -> DataFrame:
-    """The dictionary from a CSV or the default one, staged: it is read by several jobs."""
-    return stage(read_gazetteer(spark, path) if path else default_gazetteer(spark), "gazetteer")
+    return read_gazetteer(spark, path) if path else default_gazetteer(spark)
 
 
 def refresh_all(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ids import dense_ids
 from ..operators.quality import not_null_violations
+from ..operators.staging import staging_scope
 from ..schemas import TABLES
 
 BUCKET_KEY = "job_id"
@@ -113,8 +114,9 @@ def append_jobs(store: TableStore, postings: DataFrame) -> DataFrame:
     postings that are stored already.
     """
     last_id = store.read("jobs").agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
-    numbered = dense_ids(postings, "job_id", last_id + 1).withColumn("collected_at", F.localtimestamp())
-    refused = not_null_violations({"jobs": numbered}).first()
-    if refused:
-        raise ValueError(f"{refused['n']} postings without {refused['column']}")
-    return store.append("jobs", numbered)
+    with staging_scope(store.spark):
+        numbered = dense_ids(postings, "job_id", last_id + 1).withColumn("collected_at", F.localtimestamp())
+        refused = not_null_violations({"jobs": numbered}).first()
+        if refused:
+            raise ValueError(f"{refused['n']} postings without {refused['column']}")
+        return store.append("jobs", numbered)

@@ -33,6 +33,19 @@ def test_stage_uses_the_named_folder(spark):
     assert staged.count() == 5
 
 
+def test_staged_tables_are_dropped_at_the_end_of_their_scope(spark):
+    from pathlib import Path
+
+    def files(df):
+        return [Path(f.removeprefix("file://").removeprefix("file:")) for f in df.inputFiles()]
+
+    outer = files(staging.stage(spark.range(1), "outer"))
+    with staging.staging_scope(spark):
+        inner = files(staging.stage(spark.range(1), "inner"))
+        assert all(f.exists() for f in inner)
+    assert not any(f.exists() for f in inner) and all(f.exists() for f in outer)
+
+
 def test_upsert_replaces_all_columns_and_is_idempotent(spark):
     target = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0)], PAY)
     updates = spark.createDataFrame([(None, 9.0, 2), (5.0, 6.0, 3)], "min double, max double, job_id long")
