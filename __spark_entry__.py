@@ -290,9 +290,8 @@ _PAY_MEANS = f"""
 _WS = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
 _TOKEN = rf"[{_WS}]*(?:[\p{{L}}\p{{N}}_]+|[^{_WS}\p{{L}}\p{{N}}_])"
 
-_ENTRIES = f"""entries AS (
-    SELECT item_id AS pos, unnest(list_concat({", ".join(f"regexp_extract_all(text, '{p}')" for p in ENTRY_PATTERNS)})) AS skill
-    FROM benchmark)"""
+_FOUND = ", ".join(f"regexp_extract_all(text, '{p}')" for p in ENTRY_PATTERNS)
+_ENTRIES = f"entries AS (SELECT item_id AS pos, unnest(list_concat({_FOUND})) AS skill FROM benchmark)"
 
 _MATCHES = rf"""
     {_ENTRIES},

@@ -85,15 +85,16 @@ def extract_skills(
     small.  ``spread`` repartitions the texts first, for inputs of few large
     unsplittable files.
     """
-    rows, size, lengths, openings = gazetteer.agg(
+    # Stored under one name with single blanks; differs from the key only for entries with odd white space.
+    phrases = gazetteer.select("skill_key", "skill", "n_tokens", skill_key(F.col("skill")).alias("_name"))
+    rows, size, lengths, openings, odd = phrases.agg(
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.octet_length("skill_key") + 32), F.lit(0)),
         F.sort_array(F.collect_set("n_tokens")),
         F.approx_count_distinct(_first_token()),
+        F.count_if(F.col("_name") != F.col("skill_key")),
     ).first()
     small = rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-    # Stored under one name with single blanks; differs from the key only for entries with odd white space.
-    phrases = gazetteer.select("skill_key", skill_key(F.col("skill")).alias("_name"))
 
     texts = df.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.col("_text") != "")
     if spread:
@@ -104,13 +105,13 @@ def extract_skills(
     surfaces = _runs(texts, id_col, lengths or [1], firsts)
     # Never NULL, so that the join adds no filter that would lower every run twice.
     keyed = surfaces.withColumn("skill_key", F.coalesce(F.lower("surface"), F.lit("")))
-    found = lookup_join(keyed, phrases, "skill_key", spread_by=[id_col], small=small)
-    plain = F.col("_name") == F.col("skill_key")
+    found = lookup_join(keyed, phrases.select("skill_key", "_name"), "skill_key", spread_by=[id_col], small=small)
+    if not odd:
+        return found.select(id_col, "surface", "skill_key")
+    # Two spellings in one text may differ in white space only.
     return found.select(
-        id_col,
-        F.when(plain, F.col("surface")).otherwise(squash_ws(F.col("surface"))).alias("surface"),
-        F.col("_name").alias("skill_key"),
-    )
+        id_col, squash_ws(F.col("surface")).alias("surface"), F.col("_name").alias("skill_key")
+    ).distinct()
 
 
 def skill_keys(skills: DataFrame) -> DataFrame:

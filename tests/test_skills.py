@@ -98,6 +98,8 @@ def test_equals_naive_scan_and_both_joins_agree(spark, monkeypatch):
 def test_entry_with_odd_white_space_is_stored_under_its_plain_name(spark):
     found = extract_skills(texts(spark, [(1, "Power  BI, power bi")]), gazetteer(spark, ["power  bi"]))
     assert as_set(found) == {(1, "Power BI", "power bi")}
+    both = extract_skills(texts(spark, [(1, "Power  BI, Power BI")]), gazetteer(spark, ["power  bi", "Power BI"]))
+    assert as_set(both) == {(1, "Power BI", "power bi")}
 
 
 def test_empty_dictionary(spark):
