@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -26,6 +27,19 @@ from hirelens.operators.ids import dense_ids  # noqa: E402
 from hirelens.operators.staging import stage  # noqa: E402
 from hirelens.plans import enrich, marts, reports  # noqa: E402
 
+# The training-data operators are an optional part: where present, they must import without error.
+CORPUS_QUERIES, CORPUS_SQL = {}, {}
+if find_spec("hirelens.llm"):
+    from hirelens.llm import queries as corpus_queries
+
+    CORPUS_QUERIES |= corpus_queries.QUERIES
+    CORPUS_SQL |= corpus_queries.ORACLE_SQL
+    if find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        CORPUS_QUERIES["pipeline"] = corpus_pipeline.run
+        CORPUS_SQL |= {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+
 SKILL_TABLES = ("v_jobs", "v_skills", "v_jobs_skills")
 PAY_TABLES = SKILL_TABLES + ("v_compensation",)
 PLACE_TABLES = ("v_jobs", "v_locations")
@@ -165,6 +179,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pk_violations": lambda spark, sf_dir: quality.pk_violations(_checked_tables(spark, sf_dir)),
         "fk_orphans": lambda spark, sf_dir: quality.fk_orphans(_checked_tables(spark, sf_dir)),
         "not_null_violations": lambda spark, sf_dir: quality.not_null_violations(_checked_tables(spark, sf_dir)),
+        **CORPUS_QUERIES,
     }
 
 
@@ -525,4 +540,4 @@ def oracle_sql() -> dict[str, str]:
     sql["not_null_violations"] = checked + """
         SELECT 'jobs' AS "table", 'title_raw' AS "column", count(*) AS n FROM c_jobs WHERE title_raw IS NULL
         UNION ALL SELECT 'skills', 'skill_raw', count(*) FROM c_skills WHERE skill_raw IS NULL"""
-    return sql
+    return sql | CORPUS_SQL

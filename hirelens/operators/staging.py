@@ -4,47 +4,63 @@ A staged table survives the loss of executors and is read back column by
 column; nothing is kept in a machine-local folder on a cluster.
 """
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the session names; a temporary one only in local mode without a setting."""
+    """The shared folder the session names; where none is named, one below the warehouse folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="hirelens-stage-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
-_scopes: list[list[str]] = []
+# Each thread and context has its own open scope.
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted with the open scope or else when the program ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
+    else:
+        atexit.register(_delete_at_exit, spark, path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # None once the session was stopped
+        delete(spark, path)
+
+
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside the block when the block ends, that is after its results are stored."""
-    _scopes.append([])
+    staged: list[str] = []
+    token = _scope.set(staged)
     try:
         yield
     finally:
-        sc = spark.sparkContext
-        for staged in _scopes.pop():
-            path = sc._jvm.org.apache.hadoop.fs.Path(staged)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        _scope.reset(token)
+        for path in staged:
+            delete(spark, path)

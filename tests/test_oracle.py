@@ -22,11 +22,11 @@ def duck():
     return connection
 
 
-def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_query_of_the_library_has_its_sql():
+    assert set(QUERIES) - set(contract.CORPUS_QUERIES) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - set(contract.CORPUS_SQL)))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     cols = sorted(df.columns)
