@@ -3,6 +3,7 @@
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.operators.staging import stage  # noqa: F401  (re-exported for the operators)
@@ -23,7 +24,7 @@ def stored(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
 def byte_steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows whose ``column`` holds about ``limit`` bytes (one row at least)."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
             if size and size + n > limit:

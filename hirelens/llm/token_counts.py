@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from hirelens.llm.common import byte_steps
@@ -95,7 +96,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
         for part in byte_steps(batches, "text"):
             texts = part.column("text")
             n = count_texts(texts.to_pylist(), tokenizer_path, splittable)
-            sizes = pa.compute.binary_length(texts).cast(pa.int64())
+            sizes = pc.binary_length(texts).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("id"), sizes, pa.array(n, pa.int64())], names=names)
 
     names = ["id", "n_bytes", "n_tokens"]
