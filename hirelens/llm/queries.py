@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.llm.common import read
+from hirelens.llm.quality import quality_scores
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
 
@@ -12,12 +13,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"), shingle_words=4, distance=4)
 
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality_scores": op2_quality_scores,
     "op8_simhash_groups": op8_simhash_groups,
 }
 
