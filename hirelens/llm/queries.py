@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.llm.common import read
+from hirelens.llm.decontaminate import leaks
 from hirelens.llm.quality import quality_scores
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
@@ -17,6 +18,10 @@ def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"), shingle_words=4, distance=4)
 
@@ -24,6 +29,7 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_scores": op2_quality_scores,
+    "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_simhash_groups": op8_simhash_groups,
 }
 
