@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     numbers a round come to the driver.  A hot node costs a partial minimum and a join on a table with one
     row per node, which Spark splits at run time.
     """
-    pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    pairs = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
     known = None
     while True:
         pairs = stage(_small_star(_large_star(pairs)).distinct(), "stars")
