@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.llm.common import read
 from hirelens.llm.decontaminate import leaks
+from hirelens.llm.mixing import mixed_counts
 from hirelens.llm.quality import quality_scores
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
@@ -26,11 +27,16 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"), shingle_words=4, distance=4)
 
 
+def op9_mixed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_counts(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_scores": op2_quality_scores,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_simhash_groups": op8_simhash_groups,
+    "op9_mixed_counts": op9_mixed_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}

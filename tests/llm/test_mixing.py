@@ -1,0 +1,124 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hirelens.llm import mixing
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, rank string, size int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", "y", 1) for i, t, s in rows], DOCS)
+
+
+def plain_targets(sizes):
+    """Sizes by source -> targets, reshared until none is above three times its source."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: 1 + k % 3 for k, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        rest = [s for s in names if s not in fixed]
+        share = total - sum(fixed.values())
+        targets = fixed | {s: share * weights[s] / sum(weights[x] for x in rest) for s in rest}
+        above = [s for s in rest if targets[s] > 3 * sizes[s]]
+        if not above:
+            return targets
+        fixed |= {s: 3.0 * sizes[s] for s in above}
+
+
+def check(docs, made):
+    rows = made.collect()
+    assert len(rows) == docs.count()
+    sizes, taken = Counter(), Counter()
+    given = {}
+    for d in docs.collect():
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", d.text or ""))
+        sizes[d.source] += n
+        given.setdefault((d.doc_id, n), []).append(d.source)
+    targets = plain_targets(dict(sizes))
+    for r in rows:
+        source = given[r.doc_id, r["size"]].pop() if len(given[r.doc_id, r["size"]]) > 1 else given[r.doc_id, r["size"]][0]
+        assert r.source_size == sizes[source] and r.target == pytest.approx(targets[source], rel=1e-9, abs=1e-9)
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[source] += r.taken
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= 0.5 + 1e-6
+    return rows
+
+
+@pytest.mark.parametrize("block,shard", [(128, 4096), (7, 16), (100_000, 2)])
+def test_given_documents(spark, block, shard):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    first = check(docs, mixing.mixed_counts(docs, block_words=block, shard_blocks=shard))
+    again = mixing.mixed_counts(docs.repartition(3), block_words=block, shard_blocks=shard).collect()
+    assert sorted(map(tuple, first)) == sorted(map(tuple, again))
+
+
+def test_limits_and_odd_rows(spark):
+    words = lambda n: " ".join(f"w{i}" for i in range(n))
+    rows = [(1, words(3000), "a"), (2, words(10), "b"), (3, words(4), "c"), (4, None, "c"), (5, " \t", "d"), (6, "", None),
+            (7, words(50), None), (None, words(20), "b"), (None, words(20), "b"), (8, words(9), "é"), (8, words(9), "é"),
+            (9, words(1), "B"), (10, words(40_000), "é")]
+    docs = table(spark, rows)
+    for block in (1, 16, 128):
+        check(docs, mixing.mixed_counts(docs, block_words=block, shard_blocks=8))
+    for few in ([], [(1, None, "a"), (2, "", None)]):
+        made = mixing.mixed_counts(table(spark, few))
+        assert made.columns == ["doc_id", "size", "source_size", "target", "taken"]
+        assert sorted(map(tuple, made.collect())) == [(i, 0, 0, 0.0, 0) for i, _, _ in few]
+    assert mixing.mixed_documents(table(spark, [])).count() == 0
+
+
+def test_permutations():
+    for n in (1, 2, 3, 5, 64, 65, 1000):
+        for key in (0, -7):
+            got = mixing.permuted(np.arange(n), np.full(n, n), np.full(n, key))
+            assert sorted(got.tolist()) == list(range(n))
+    assert mixing.permuted(np.arange(50), np.full(50, 50), np.full(50, 1)).tolist() != list(range(50))
+
+
+def test_draws_are_multinomial_and_meet_the_quotas(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    narrow = docs.select("source", mixing.word_count(F.col("text")).alias("size"))
+    quotas = mixing.quotas(mixing.source_targets(narrow), 16).cache()
+    total = quotas.agg(F.sum("draws")).first()[0]
+    shards = -(-total // 200)
+    for width in (65_536, 7):
+        monkeypatch.setattr(mixing, "SOURCE_BLOCK", width)
+        drawn = mixing.shard_draws(quotas, shards, total, 200, 1).groupBy("shard").agg(F.sum("n").alias("n")).collect()
+        assert sum(r.n for r in drawn) == total and max(r.n for r in drawn) == 200
+        slots = mixing._slots(quotas, shards, total, 200, 1)
+        got = {r["rank"]: (r.n, r.d, r.hi) for r in slots.groupBy("rank").agg(
+            F.count("k").alias("n"), F.countDistinct("k").alias("d"), F.max("k").alias("hi")).collect()}
+        want = {r["rank"]: (r.draws, r.draws, r.draws - 1) for r in quotas.collect() if r.draws}
+        assert got == want
+
+
+def test_running_totals(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 3)
+    rows = [(k, i, i % 4) for k in "ab" for i in range(20)]
+    made = mixing._running_total(spark.createDataFrame(rows, "k string, i bigint, v bigint"), ["k"], "i", "v", "s").collect()
+    assert {(r.k, r.i): r.s for r in made} == {(k, i): sum(j % 4 for j in range(i)) for k, i, _ in rows}
+
+
+def test_texts_of_the_mix(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("extra", F.lit("kept"))
+    made = mixing.mixed_documents(docs, block_words=32).toPandas()
+    counts = mixing.mixed_counts(docs, block_words=32).toPandas().set_index("doc_id")
+    texts = docs.toPandas().set_index("doc_id")
+    assert list(made.columns) == docs.columns
+    words = made.text.str.count(mixing.WORD).groupby(made.doc_id).sum()
+    assert words.to_dict() == counts.taken[counts.taken > 0].to_dict()
+    assert all(t in texts.text[i] for i, t in zip(made.doc_id, made.text))
+    assert (made.n_chars == made.text.str.len()).all() and (made.extra == "kept").all()
+    assert (made.source == texts.source[made.doc_id].values).all()
+    full = counts.index[(counts.taken == 3 * counts["size"])]
+    assert all((made.text[made.doc_id == i] == texts.text[i]).sum() == 3 for i in full)
+
+
+def test_spans_are_joined_within_a_pass():
+    s = [{"pass": p, "from_word": a, "to_word": b} for p, a, b in [(0, 0, 5), (0, 5, 9), (1, 0, 5), (1, 7, 9), (2, 9, 11)]]
+    assert mixing.merged(s) == [(0, 9), (0, 5), (7, 9), (9, 11)]
