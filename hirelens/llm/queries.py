@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from hirelens.llm.common import read
 from hirelens.llm.decontaminate import leaks
 from hirelens.llm.mixing import mixed_counts
+from hirelens.llm.packing import document_digests, packed_sequences, read_matrices, write_matrices
 from hirelens.llm.quality import quality_scores
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
+from hirelens.operators.staging import scratch_path
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,14 @@ def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the matrix files hold of every document, read back from them."""
+    packed = packed_sequences(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    folder = scratch_path(spark, "matrices")
+    write_matrices(packed, folder)
+    return document_digests(read_matrices(spark, folder))
+
+
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -34,6 +44,7 @@ def op9_mixed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_scores": op2_quality_scores,
+    "op5_packed_documents": op5_packed_documents,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_mixed_counts": op9_mixed_counts,
