@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.llm.common import read
 from hirelens.llm.decontaminate import leaks
+from hirelens.llm.embedding_dedup import embedding_groups
 from hirelens.llm.mixing import mixed_counts
 from hirelens.llm.packing import document_digests, packed_sequences, read_matrices, write_matrices
 from hirelens.llm.quality import quality_scores
@@ -21,6 +22,10 @@ def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the matrix files hold of every document, read back from them."""
     packed = packed_sequences(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -44,10 +49,27 @@ def op9_mixed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_scores": op2_quality_scores,
+    "op4_embedding_groups": op4_embedding_groups,
     "op5_packed_documents": op5_packed_documents,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_mixed_counts": op9_mixed_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP4 = """
+    WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    usable AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+                 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+              WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+    reached AS (SELECT a AS vec_id, a AS other FROM links
+                UNION SELECT reached.vec_id, b FROM reached JOIN links ON a = other),
+    least AS (SELECT vec_id, min(other) AS root FROM reached GROUP BY 1),
+    counts AS (SELECT a AS vec_id, count(DISTINCT b) AS n FROM links GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id,
+           coalesce(coalesce(root, vec_id) = vec_id, false) AS kept
+    FROM v LEFT JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_groups": _OP4,
+}
