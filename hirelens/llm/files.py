@@ -14,6 +14,12 @@ def _store(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
 
 
+def make_folder(folder: str) -> None:
+    """Create ``folder``, so that a folder without files can be read."""
+    fs, path = _store(folder)
+    fs.create_dir(path, recursive=True)
+
+
 def write_file(folder: str, name: str, parts) -> None:
     """Write the byte strings ``parts`` to ``folder/name``.
 

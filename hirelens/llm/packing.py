@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelens.llm.common import byte_steps
-from hirelens.llm.files import write_file
+from hirelens.llm.files import make_folder, write_file
 
 SEQUENCE_TOKENS = 2048
 SHARD_TOKENS = 4 << 20
@@ -178,6 +178,7 @@ def write_matrices(packed: DataFrame, folder: str, sequence_tokens: int = SEQUEN
             files += 1
         yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
 
+    make_folder(folder)
     made = packed.mapInArrow(write, "files bigint")
     return made.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
 

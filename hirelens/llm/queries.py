@@ -11,6 +11,7 @@ from hirelens.llm.packing import document_digests, packed_sequences, read_matric
 from hirelens.llm.quality import quality_scores
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
+from hirelens.llm.warc import read_archives, write_archives
 from hirelens.operators.staging import scratch_path
 
 
@@ -46,6 +47,12 @@ def op9_mixed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_counts(read(spark, sf_dir, "documents"))
 
 
+def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archives")
+    write_archives(read(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return read_archives(spark, folder, payloads=False).drop("url", "payload")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_scores": op2_quality_scores,
@@ -54,6 +61,7 @@ QUERIES = {
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_mixed_counts": op9_mixed_counts,
+    "op10_warc_records": op10_warc_records,
 }
 
 _OP4 = """
@@ -70,6 +78,20 @@ _OP4 = """
            coalesce(coalesce(root, vec_id) = vec_id, false) AS kept
     FROM v LEFT JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)"""
 
+# Five hexadecimal digits of the SHA-1 are four digits of base 32.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_OP10 = f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    r AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS first FROM p)
+    SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i:
+               substr('{_BASE32}', 1 + ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)),
+               '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM r"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_warc_records": _OP10,
     "op4_embedding_groups": _OP4,
 }
