@@ -4,12 +4,15 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from hirelens.operators.lookup import fits_broadcast
 from hirelens.operators.staging import stage  # noqa: F401  (re-exported for the operators)
 
 # Texts taken together in one step of a Python task are bounded by this many bytes.
 STEP_BYTES = 4 << 20
+# Rows that a running total takes in one task before totals are summed up.
+CHUNK = 4096
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,3 +36,24 @@ def byte_steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP
             size += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def table_join(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join to a table with one row per key: broadcast if it fits, else by a shuffle that splits hot keys."""
+    return rows.join(F.broadcast(table) if fits_broadcast(table) else table, on, how)
+
+
+def running_total(rows: DataFrame, keys: list[str], order: str, value: str, into: str) -> DataFrame:
+    """Add the sum of ``value`` over the rows of equal ``keys`` with smaller ``order`` (whole numbers from 0).
+
+    Rows are summed in chunks of the order, then the chunk totals: no task sees all rows of a key.
+    """
+    cut = rows.withColumn("_chunk", F.floor(F.col(order) / CHUNK))
+    before = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(*before)
+    chunks = cut.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_n"))
+    over = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    bases = chunks.withColumn("_base", F.coalesce(F.sum("_n").over(over.orderBy("_chunk").rowsBetween(*before)), F.lit(0)))
+    local = cut.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    summed = local.join(bases.drop("_n"), [*keys, "_chunk"])
+    return summed.withColumn(into, (F.col("_base") + F.col("_local")).cast("long")).drop("_chunk", "_base", "_local")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hirelens.llm.common import stage
+from hirelens.llm.common import running_total, stage, table_join
 from hirelens.operators.ids import dense_ids
 from hirelens.operators.lookup import fits_broadcast
 
@@ -26,35 +26,12 @@ SEED = 20
 MAX_PASSES = 3  # a source gives at most this many times its size
 # Sources whose draw probabilities are broadcast together.
 SOURCE_BLOCK = 65_536
-# Rows that a running total takes in one task before totals are summed up.
-CHUNK = 4096
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _joined(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join to a table with one row per key: broadcast if it fits, else by a shuffle that splits hot keys."""
-    return rows.join(F.broadcast(table) if fits_broadcast(table) else table, on, how)
-
-
-def _running_total(rows: DataFrame, keys: list[str], order: str, value: str, into: str) -> DataFrame:
-    """Add the sum of ``value`` over the rows of equal ``keys`` with smaller ``order`` (whole numbers from 0).
-
-    Rows are summed in chunks of the order, then the chunk totals: no task sees all rows of a key.
-    """
-    cut = rows.withColumn("_chunk", F.floor(F.col(order) / CHUNK))
-    before = (Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(*before)
-    chunks = cut.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_n"))
-    over = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    bases = chunks.withColumn("_base", F.coalesce(F.sum("_n").over(over.orderBy("_chunk").rowsBetween(*before)), F.lit(0)))
-    local = cut.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    summed = local.join(bases.drop("_n"), [*keys, "_chunk"])
-    return summed.withColumn(into, (F.col("_base") + F.col("_local")).cast("long")).drop("_chunk", "_base", "_local")
-
-
 # ---- sources and targets ----
 
 
@@ -139,7 +116,7 @@ def _slots(table: DataFrame, shards: int, total: int, shard_blocks: int, seed: i
     Over all shards a source is drawn about as often as its quota says.  Draws beyond the quota are given, in
     order, to the sources that were drawn too rarely; after that all quotas are met exactly.
     """
-    drawn = stage(_running_total(shard_draws(table, shards, total, shard_blocks, seed), ["rank"], "shard", "n", "first"),
+    drawn = stage(running_total(shard_draws(table, shards, total, shard_blocks, seed), ["rank"], "shard", "n", "first"),
                   "draws")
     one = drawn.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     one = one.select("shard", "rank", (F.col("first") + F.col("i")).alias("k"))
@@ -147,9 +124,9 @@ def _slots(table: DataFrame, shards: int, total: int, shard_blocks: int, seed: i
     balance = table.select("rank", "draws").join(counts, "rank", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
     balance = balance.withColumn("over", F.greatest(F.col("drawn") - F.col("draws"), F.lit(0)))
     balance = balance.withColumn("under", F.greatest(F.col("draws") - F.col("drawn"), F.lit(0)))
-    balance = _running_total(_running_total(balance, [], "rank", "over", "over_base"), [], "rank", "under", "under_base")
+    balance = running_total(running_total(balance, [], "rank", "over", "over_base"), [], "rank", "under", "under_base")
     balance = stage(balance, "balance")
-    marked = _joined(one, balance.select("rank", "draws", "over_base"), ["rank"])
+    marked = table_join(one, balance.select("rank", "draws", "over_base"), ["rank"])
     surplus = marked.filter(F.col("k") >= F.col("draws")).select(
         "shard", (F.col("over_base") + F.col("k") - F.col("draws")).alias("nth")
     )
@@ -216,7 +193,7 @@ def _placed(rows: DataFrame) -> DataFrame:
     parts = summed.groupBy("rank", "part").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("rank").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("rank", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = _joined(summed, bases, ["rank", "part"])
+    placed = table_join(summed, bases, ["rank", "part"])
     return placed.select("row", "rank", "size", (F.col("base") + F.col("inside")).alias("start"))
 
 
@@ -241,7 +218,7 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), block_words: int
     first, last = F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")
     blocks = placed.withColumn("block", F.explode(F.sequence(first, last)))
 
-    slots = _joined(_slots(targets, -(-total // shard_blocks), total, shard_blocks, seed),
+    slots = table_join(_slots(targets, -(-total // shard_blocks), total, shard_blocks, seed),
                     targets.select("rank", "passes", "rest", "blocks", "full_blocks"), ["rank"])
     whole = F.col("k") < F.col("passes") * F.col("blocks")
     slots = slots.withColumn("pass", F.when(whole, F.expr("k div blocks")).otherwise(F.col("passes")))

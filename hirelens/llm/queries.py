@@ -1,11 +1,12 @@
 """The registered queries of this package, one per operator, each over its whole table, and their SQL."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelens.llm.common import read
 from hirelens.llm.decontaminate import leaks
 from hirelens.llm.embedding_dedup import embedding_groups
+from hirelens.llm.line_dedup import without_repeated_lines
 from hirelens.llm.mixing import mixed_counts
 from hirelens.llm.packing import document_digests, packed_sequences, read_matrices, write_matrices
 from hirelens.llm.quality import quality_scores
@@ -23,6 +24,13 @@ def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = without_repeated_lines(read(spark, sf_dir, "documents"), min_words=10)
+    return made.select("doc_id", F.size("deleted_lines").alias("n_deleted"),
+                       F.array_join(F.col("deleted_lines").cast("array<string>"), ",").alias("deleted_lines"),
+                       F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -56,6 +64,7 @@ def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_scores": op2_quality_scores,
+    "op3_line_dedup": op3_line_dedup,
     "op4_embedding_groups": op4_embedding_groups,
     "op5_packed_documents": op5_packed_documents,
     "op7_benchmark_leaks": op7_benchmark_leaks,
@@ -64,6 +73,27 @@ QUERIES = {
     "op10_warc_records": op10_warc_records,
 }
 
+# A run of lines is told by its text; all but the first place of a run go.
+_OP3 = r"""
+    WITH split AS (SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+                          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents),
+    worded AS (SELECT *, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM split),
+    counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+                       row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS n FROM worded WHERE line <> ''),
+    placed AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                           AS before, sum(words) OVER (PARTITION BY doc_id) AS total FROM counted),
+    runs AS (SELECT *, string_agg(line, chr(10)) OVER run AS body, count(*) OVER run AS need FROM placed
+             WINDOW run AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 9 FOLLOWING)),
+    later AS (SELECT *, CASE WHEN total - before >= 10
+                               AND row_number() OVER (PARTITION BY total - before >= 10, body ORDER BY doc_id, n) > 1
+                             THEN n + need END AS reach FROM runs),
+    gone AS (SELECT *, coalesce(max(reach) OVER (PARTITION BY doc_id ORDER BY n) > n, false) AS deleted FROM later),
+    by_doc AS (SELECT s.doc_id, count(*) FILTER (deleted) AS n_deleted,
+                      coalesce(string_agg(CAST(s.line_no AS VARCHAR), ',' ORDER BY s.line_no) FILTER (deleted), '') AS deleted_lines,
+                      coalesce(string_agg(s.raw, chr(10) ORDER BY s.line_no) FILTER (NOT coalesce(deleted, false)), '') AS body
+               FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.line_no = s.line_no GROUP BY 1)
+    SELECT doc_id, CAST(n_deleted AS INTEGER) AS n_deleted, deleted_lines, md5(body) AS text_md5 FROM by_doc"""
+
 _OP4 = """
     WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
     usable AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
@@ -93,5 +123,6 @@ _OP10 = f"""
 
 ORACLE_SQL: dict[str, str] = {
     "op10_warc_records": _OP10,
+    "op3_line_dedup": _OP3,
     "op4_embedding_groups": _OP4,
 }

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.llm import mixing
+from hirelens.llm import common, mixing
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, rank string, size int"
 
@@ -98,9 +98,9 @@ def test_draws_are_multinomial_and_meet_the_quotas(spark, monkeypatch):
 
 
 def test_running_totals(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "CHUNK", 3)
+    monkeypatch.setattr(common, "CHUNK", 3)
     rows = [(k, i, i % 4) for k in "ab" for i in range(20)]
-    made = mixing._running_total(spark.createDataFrame(rows, "k string, i bigint, v bigint"), ["k"], "i", "v", "s").collect()
+    made = common.running_total(spark.createDataFrame(rows, "k string, i bigint, v bigint"), ["k"], "i", "v", "s").collect()
     assert {(r.k, r.i): r.s for r in made} == {(k, i): sum(j % 4 for j in range(i)) for k, i, _ in rows}
 
 
