@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hirelens.llm.chat_perspective import perspectives
 from hirelens.llm.common import read
 from hirelens.llm.decontaminate import leaks
 from hirelens.llm.embedding_dedup import embedding_groups
@@ -43,6 +44,12 @@ def op5_packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digests(read_matrices(spark, folder))
 
 
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = perspectives(read(spark, sf_dir, "conversations"))
+    spans = F.transform("loss_spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return made.withColumn("loss_spans", F.array_join(spans, ","))
+
+
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -67,6 +74,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_embedding_groups": op4_embedding_groups,
     "op5_packed_documents": op5_packed_documents,
+    "op6_chat_perspectives": op6_chat_perspectives,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_mixed_counts": op9_mixed_counts,
@@ -121,8 +129,26 @@ _OP10 = f"""
            CASE WHEN page_id <> first THEN first END AS refers_to
     FROM r"""
 
+_OP6 = """
+    WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+    said AS (SELECT t.conv_id, speaker, turn, role, text, role = speaker AS own,
+                    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role
+                                           ELSE 'user name=' || role END || chr(10) AS head
+             FROM t JOIN speakers s ON s.conv_id = t.conv_id),
+    pieces AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS piece FROM said),
+    placed AS (SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY conv_id, speaker ORDER BY turn, role, text
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM pieces)
+    SELECT conv_id, speaker, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS n_turns,
+           string_agg(piece, '' ORDER BY turn, role, text) AS rendered,
+           string_agg((pos + length(head)) || '-' || (pos + length(piece) - 1), ',' ORDER BY turn, role, text)
+             FILTER (own) AS loss_spans,
+           CAST(sum(length(piece) - length(head) - 1) FILTER (own) AS INTEGER) AS n_loss_chars
+    FROM placed GROUP BY 1, 2"""
+
 ORACLE_SQL: dict[str, str] = {
     "op10_warc_records": _OP10,
     "op3_line_dedup": _OP3,
     "op4_embedding_groups": _OP4,
+    "op6_chat_perspectives": _OP6,
 }
