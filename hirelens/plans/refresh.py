@@ -1,10 +1,13 @@
 """Jobs that keep the stored tables and marts current."""
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.dates import month_of
+from ..functions.dates import ISO_DATE, month_of
 from ..operators.staging import stage, staging_scope
-from ..sources.csv import read_gazetteer, read_jobs_csv
+from ..sources.csv import POSITION, read_gazetteer, read_jobs_csv
 from ..sources.default_skills import default_gazetteer
 from ..sources.tables import TableStore, append_jobs
 from . import marts
@@ -22,8 +25,30 @@ MARTS = [
 ]
 
 
-def load_postings(spark: SparkSession, store: TableStore, csv_path: str, multiline: bool = True) -> DataFrame:
-    return append_jobs(store, read_jobs_csv(spark, csv_path, multiline))
+@dataclass
+class Load:
+    postings: int
+    unparsed_dates: int
+
+
+def load_postings(
+    spark: SparkSession,
+    store: TableStore,
+    csv_path: str,
+    multiline: bool = False,
+    formats: Sequence[str] = (ISO_DATE,),
+) -> Load:
+    """Append the postings of a CSV file or folder; ids follow file names and lines.
+
+    Reports how many postings were loaded, and how many have a date text that fits none of ``formats``:
+    they are stored without a date and leave every monthly mart.
+    """
+    with staging_scope(spark):
+        rows = stage(read_jobs_csv(spark, csv_path, multiline, formats, position=True), "postings")
+        unparsed = F.count_if(F.col("post_date").isNull() & F.col("_date_text").isNotNull())
+        loaded, odd = rows.agg(F.count(F.lit(1)), unparsed).first()
+        append_jobs(store, rows.drop("_date_text"), order_by=POSITION)
+    return Load(loaded, odd)
 
 
 def run_skills(store: TableStore, phrases: DataFrame) -> None:
@@ -119,10 +144,10 @@ def gazetteer(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def refresh_all(
-    store: TableStore, skills_path: str | None = None, places: DataFrame | None = None
+    store: TableStore, skills_path: str | None = None, places: DataFrame | None = None, thousands: bool = False
 ) -> dict[str, DataFrame]:
     """All enrichments, then all marts."""
     run_skills(store, gazetteer(store.spark, skills_path))
-    run_compensation(store)
+    run_compensation(store, thousands)
     run_locations(store, places)
     return refresh_marts(store)

@@ -74,7 +74,13 @@ FOREIGN_KEYS = [
     ("locations", "job_id", "jobs", "job_id"),
 ]
 
-NOT_NULL = {"jobs": ["title_raw"], "skills": ["skill_raw"]}
+NOT_NULL = {
+    "jobs": ["job_id", "title_raw"],
+    "skills": ["skill_id", "skill_raw"],
+    "jobs_skills": ["job_id", "skill_id"],
+    "compensation": ["job_id"],
+    "locations": ["job_id"],
+}
 
 # Columns a postings CSV must have (fixed values).
 CSV_COLUMNS = [

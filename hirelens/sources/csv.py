@@ -66,15 +66,25 @@ SEED_POSTINGS = [
 ]
 
 
+# Where a row stands: its file, where its part of the file begins, and its place in it.
+POSITION = ("_file", "_file_start", "_file_row")
+
+
 def _read(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
-    """All columns as text, named by the header (only the first line is read to learn it)."""
-    return (
+    """All columns as text, named by the header, and ``POSITION``.
+
+    Every file must have the same header; one with other columns, or the same in another order, is an error.
+    """
+    raw = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return raw.select("*", *[c.alias(n) for c, n in zip(place, POSITION)])
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -86,22 +96,28 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_jobs_csv(
-    spark: SparkSession, path: str, multiline: bool = True, formats: Sequence[str] = (ISO_DATE,)
+    spark: SparkSession,
+    path: str,
+    multiline: bool = False,
+    formats: Sequence[str] = (ISO_DATE,),
+    position: bool = False,
 ) -> DataFrame:
-    """Postings from CSV: text columns, ``post_date`` as a date, NA texts as NULL.
+    """Postings from a CSV file or folder: text columns, ``post_date`` as a date, NA texts as NULL.
 
     ``multiline`` allows line breaks inside quoted fields but reads each file in one
-    task; turn it off for very large files without such fields, so that they split.
+    task; without it large files split.  With ``position`` the columns ``POSITION`` and the date
+    text ``_date_text`` are kept.
     """
     raw = require_columns(_read(spark, path, multiline), CSV_COLUMNS)
-    clean = raw.select(*[F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in CSV_COLUMNS])
-    return parse_post_date(clean, formats=formats)
+    clean = raw.select(*[F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in CSV_COLUMNS], *POSITION)
+    parsed = parse_post_date(clean.withColumn("_date_text", F.col("post_date")), formats=formats)
+    return parsed if position else parsed.drop("_date_text", *POSITION)
 
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """Skill dictionary ``(skill, skill_key, n_tokens)`` from a CSV with a ``skill`` column."""
     raw = require_columns(_read(spark, path, multiline=False), ["skill"])
-    return dedupe_gazetteer(raw.select("skill", F.monotonically_increasing_id().alias("pos")))
+    return dedupe_gazetteer(raw.select("skill", F.struct(*POSITION).alias("pos")))
 
 
 def seed_postings(spark: SparkSession) -> DataFrame:

@@ -1,12 +1,14 @@
 """The stored tables as versioned Parquet directories.
 
-A table is a directory of versions ``v000001``, ``v000002``, ...; the current one is
-the highest that carries the ``_SUCCESS`` mark of a finished write.  A replaced table
-is written to a new version, so a path that is being read is never overwritten, and
-a failed write leaves the old version current.  One writer at a time.
-
-With ``buckets`` the tables that have a ``job_id`` are bucketed by it (the version is
-named ``v000001-b512``).  Postings, links, pay and places then join without a shuffle.
+A table is a directory of versions ``v000001``, ``v000002``, ...; the current one is the
+highest that is finished.  A version holds one or more batches ``b000001``, ...; a batch
+counts once its own ``_DONE`` mark stands, which is written after all of its files.  A
+replaced table is a new version, an appended load is a new batch: a failed write of either
+leaves the table as it was.  One writer at a time.
+
+With ``buckets`` the tables that have a ``job_id`` are bucketed by it (the version is named
+``v000001-b512`` and holds one batch; an append writes a new version).  Postings, links, pay and
+places then join without a shuffle.
 """
 
 import zlib
@@ -14,11 +16,12 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ids import dense_ids
-from ..operators.quality import not_null_violations
-from ..operators.staging import staging_scope
-from ..schemas import TABLES
+from ..operators.quality import not_null_violations, pk_violations
+from ..operators.staging import stage, staging_scope
+from ..schemas import PRIMARY_KEYS, TABLES
 
 BUCKET_KEY = "job_id"
+DONE = "_DONE"
 
 
 class TableStore:
@@ -32,10 +35,18 @@ class TableStore:
         found = sc._jvm.org.apache.hadoop.fs.Path(path)
         return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
 
+    def _listed(self, pattern: str) -> list:
+        fs, paths = self._hadoop(f"{self.root}/{pattern}")
+        return [found.getPath() for found in fs.globStatus(paths) or []]
+
+    def _batches(self, name: str, version: str) -> list[str]:
+        """Paths of the finished batches of a version."""
+        marks = self._listed(f"{name}/{version}/b*/{DONE}")
+        return sorted(f"{self.root}/{name}/{version}/{mark.getParent().getName()}" for mark in marks)
+
     def versions(self, name: str) -> list[str]:
         """Directory names of all finished versions, oldest first."""
-        fs, marks = self._hadoop(f"{self.root}/{name}/v*/_SUCCESS")
-        return sorted(mark.getPath().getParent().getName() for mark in fs.globStatus(marks) or [])
+        return sorted({mark.getParent().getParent().getName() for mark in self._listed(f"{name}/v*/b*/{DONE}")})
 
     def _next_version(self, name: str) -> str:
         last = (self.versions(name) or ["v000000"])[-1]
@@ -46,40 +57,49 @@ class TableStore:
         place = zlib.crc32(self.root.encode())
         return f"hirelens_{place:08x}_{name}_{version.replace('-', '_')}"
 
-    def _write(self, name: str, version: str, df: DataFrame, mode: str) -> None:
-        path = f"{self.root}/{name}/{version}"
+    def _write(self, name: str, version: str, df: DataFrame, batch: int = 1) -> None:
+        path = f"{self.root}/{name}/{version}/b{batch:06d}"
         if "-b" not in version:
-            df.write.mode(mode).parquet(path)
-            return
-        buckets = int(version.split("-b")[1])
-        clustered = df.repartition(buckets, BUCKET_KEY).write.mode(mode).format("parquet").option("path", path)
-        clustered.bucketBy(buckets, BUCKET_KEY).saveAsTable(self._catalog_name(name, version))
+            df.write.mode("overwrite").parquet(path)
+        else:
+            buckets = int(version.split("-b")[1])
+            table = self._catalog_name(name, version)
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            clustered = df.repartition(buckets, BUCKET_KEY).write.mode("overwrite").format("parquet")
+            clustered.option("path", path).bucketBy(buckets, BUCKET_KEY).saveAsTable(table)
+        fs, mark = self._hadoop(f"{path}/{DONE}")
+        fs.create(mark, True).close()
 
     def _read(self, name: str, version: str) -> DataFrame:
-        path = f"{self.root}/{name}/{version}"
+        paths = self._batches(name, version)
         if "-b" not in version:
             reader = self.spark.read
-            return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(path)
+            return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(*paths)
         table = self._catalog_name(name, version)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[name].fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"CLUSTERED BY ({BUCKET_KEY}) INTO {version.split('-b')[1]} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY ({BUCKET_KEY}) INTO {version.split('-b')[1]} BUCKETS LOCATION '{paths[0]}'"
         )
         return self.spark.table(table)
 
     def read(self, name: str) -> DataFrame:
-        """The current version; a declared table without one is empty."""
+        """The current version; a declared table that was never written is empty.
+
+        Folders of versions without any finished batch are an error: they are what is left when
+        marks were lost or a first write failed, and reading them as empty would start ids again.
+        """
         versions = self.versions(name)
-        if not versions:
-            return self.spark.createDataFrame([], _nullable(TABLES[name]))
-        return self._read(name, versions[-1])
+        if versions:
+            return self._read(name, versions[-1])
+        if self._listed(f"{name}/v*"):
+            raise ValueError(f"{self.root}/{name} holds versions, but none is finished; remove or repair them")
+        return self.spark.createDataFrame([], _nullable(TABLES[name]))
 
     def replace(self, name: str, df: DataFrame, keep: int = 2) -> DataFrame:
         """Write ``df`` as the new current version; drop versions older than the last ``keep``."""
-        if name in TABLES:
-            df = df.select(*_columns(name))
-        self._write(name, self._next_version(name), df, "overwrite")
+        with staging_scope(self.spark):
+            self._write(name, self._next_version(name), self._checked(name, df))
         for old in self.versions(name)[:-keep]:
             if "-b" in old:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(name, old)}")
@@ -88,13 +108,43 @@ class TableStore:
         return self.read(name)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows to the current version."""
+        """Add rows to the table, all or none.
+
+        Plain tables get a new batch; their old rows are only read for the key check.  Bucketed tables are
+        written anew, because a bucketed table is one folder.
+        """
         versions = self.versions(name)
-        if versions:
-            self._read(name, versions[-1])
-        self._write(name, versions[-1] if versions else self._next_version(name), df.select(*_columns(name)), "append")
+        bucketed = self.buckets and BUCKET_KEY in _columns(name)
+        stored = self.read(name)
+        with staging_scope(self.spark):
+            rows = self._checked(name, df, stored if versions else None)
+            if versions and not bucketed and "-b" not in versions[-1]:
+                last = self._batches(name, versions[-1])[-1]
+                self._write(name, versions[-1], rows, int(last[-6:]) + 1)
+            else:
+                self._write(name, self._next_version(name), stored.unionByName(rows) if versions else rows)
         return self.read(name)
 
+    def _checked(self, name: str, df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+        """``df`` in the declared shape, staged; refused when keys repeat, also in ``stored``, or are missing.
+
+        The marts count rows where keys are unique, so a repeated key must never be stored.
+        """
+        if name not in TABLES:
+            return df
+        rows, keys = stage(df.select(*_columns(name)), name), PRIMARY_KEYS[name]
+        missing = not_null_violations({name: rows}).first()
+        if missing:
+            raise ValueError(f"{missing['n']} rows for {name} without {missing['column']}")
+        every = rows.select(*keys)
+        if stored is not None:
+            # Old rows that no new key touches cannot repeat one.
+            every = every.unionByName(stored.select(*keys).join(every.distinct(), keys, "left_semi"))
+        repeated = pk_violations({name: every}, {name: keys}).first()
+        if repeated:
+            raise ValueError(f"key {repeated['key']} stands {repeated['n']} times in {name}")
+        return rows
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
 
@@ -107,16 +157,13 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
-def append_jobs(store: TableStore, postings: DataFrame) -> DataFrame:
-    """Append postings to ``jobs``; ids continue after the highest stored one, in input order.
+def append_jobs(store: TableStore, postings: DataFrame, order_by: tuple[str, ...] = ()) -> DataFrame:
+    """Append postings to ``jobs``; ids continue after the highest stored one, in input order or by ``order_by``.
 
     The whole load is refused when a posting has no title.  Every call appends, also
     postings that are stored already.
     """
     last_id = store.read("jobs").agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
     with staging_scope(store.spark):
-        numbered = dense_ids(postings, "job_id", last_id + 1).withColumn("collected_at", F.localtimestamp())
-        refused = not_null_violations({"jobs": numbered}).first()
-        if refused:
-            raise ValueError(f"{refused['n']} postings without {refused['column']}")
-        return store.append("jobs", numbered)
+        numbered = dense_ids(postings, "job_id", last_id + 1, order_by=order_by)
+        return store.append("jobs", numbered.withColumn("collected_at", F.localtimestamp()))

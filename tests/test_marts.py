@@ -7,7 +7,6 @@ import pytest
 from fixtures import as_set, month, rows, write_postings_csv, write_skills_csv
 from pyspark.sql import functions as F
 
-from hirelens.operators.staging import stage
 from hirelens.plans import marts, pairs, refresh, reports
 from hirelens.sources.tables import TableStore
 
@@ -32,26 +31,38 @@ def mart(store, name):
 
 def test_skill_counts(store):
     got = {r["skill"]: (r["job_count"], r["last_seen"]) for r in mart(store, "skill_counts").collect()}
-    assert len(got) == 15
-    assert got["Python"] == got["SQL"] == (3, date(2025, 9, 28))
-    assert got["AWS"] == (2, date(2025, 9, 28))
-    assert got["Tableau"] == (2, date(2025, 9, 20))
+    assert len(got) == 13
+    assert got["Go"] == got["Postgres"] == (3, date(2024, 3, 28))
+    assert got["Kafka"] == (3, date(2024, 4, 2))
+    assert got["Metabase"] == (2, date(2024, 3, 28)) and got["Delta Lake"] == (2, date(2024, 1, 30))
     assert sum(n for n, _ in got.values()) == 21
 
 
 def test_monthly_skill_counts(store):
     got = as_set(mart(store, "monthly_skill_counts"), "skill", "month", "job_count")
-    assert len(got) == 18
-    for skill in ("Python", "SQL"):
-        assert {(skill, month("2025-07"), 1), (skill, month("2025-09"), 2)} <= got
-    assert {("AWS", month("2025-08"), 1), ("AWS", month("2025-09"), 1), ("Tableau", month("2025-09"), 2)} <= got
+    assert len(got) == 17
+    for skill in ("Go", "Postgres"):
+        assert {(skill, month("2024-01"), 1), (skill, month("2024-03"), 2)} <= got
+    assert {("Kafka", month(f"2024-0{m}"), 1) for m in (2, 3, 4)} <= got
+    assert {("Delta Lake", month("2024-01"), 2), ("Metabase", month("2024-03"), 2)} <= got
 
 
 def test_growth(store):
     got = as_set(mart(store, "skill_mom_growth"), "skill", "month", "mom_growth_pct")
-    assert len(got) == 18
+    assert len(got) == 17
     assert {g for g in got if g[2] is not None} == {
-        ("Python", month("2025-09"), 100.0), ("SQL", month("2025-09"), 100.0), ("AWS", month("2025-09"), 0.0)
+        ("Go", month("2024-03"), 100.0), ("Postgres", month("2024-03"), 100.0),
+        ("Kafka", month("2024-03"), 0.0), ("Kafka", month("2024-04"), 0.0),
+    }
+
+
+def test_growth_of_one_name_under_two_ids(spark):
+    counts = [(1, "a", "2024-01", 4), (2, "a", "2024-01", 5), (2, "a", "2024-02", 18)]
+    monthly = spark.createDataFrame(
+        [(i, s, month(m), n) for i, s, m, n in counts], "skill_id long, skill string, month date, job_count long"
+    )
+    assert as_set(marts.skill_mom_growth(monthly)) == {
+        ("a", month("2024-01"), 9, None, None), ("a", month("2024-02"), 18, 9, 100.0)
     }
 
 
@@ -67,37 +78,38 @@ def test_growth_rounds_halves_away_from_zero_and_keeps_zero_base_empty(spark):
 
 def test_cooccurrence(store, t):
     got = as_set(mart(store, "skill_cooccurrence"))
-    assert len(got) == 25
+    assert len(got) == 20
     assert all(a < b for a, _, b, _, _ in got)
-    assert {(a, b, n) for _, a, _, b, n in got if n > 1} == {("Python", "SQL", 2)}
-    assert as_set(marts.skill_cooccurrence(t, min_count=2), "skill_a", "skill_b") == {("Python", "SQL")}
+    assert {(a, b, n) for _, a, _, b, n in got if n > 1} == {("Go", "Postgres", 2)}
+    assert as_set(marts.skill_cooccurrence(t, min_count=2), "skill_a", "skill_b") == {("Go", "Postgres")}
 
 
 def test_salary_by_skill(store, t):
     got = {r["skill"]: (round(r["avg_min"], 2), round(r["avg_max"], 2), r["n"]) for r in mart(store, "salary_by_skill").collect()}
-    assert len(got) == 15
-    assert got["Python"] == (98333.33, 125000.0, 3)
-    assert got["SQL"] == (88333.33, 111666.67, 3)
-    assert got["AWS"] == (115000.0, 145000.0, 2)
-    assert got["Tableau"] == (72500.0, 97500.0, 2)
-    assert got["Docker"] == (70.0, 90.0, 1)
-    hourly = as_set(marts.salary_by_skill(t, currency="USD", period="hour"), "skill", "avg_min")
-    assert hourly == {("Docker", 70.0), ("Kubernetes", 70.0), ("PyTorch", 70.0)}
+    assert len(got) == 13
+    assert got["Go"] == (42333.33, 50333.33, 3)
+    assert got["Postgres"] == (48666.67, 57333.33, 3)
+    assert got["Kafka"] == (34348.33, 39686.67, 3)
+    assert got["Metabase"] == (37000.0, 45000.0, 2)
+    assert got["Kubernetes"] == (45.0, 60.0, 1)
+    hourly = as_set(marts.salary_by_skill(t, currency="EUR", period="hour"), "skill", "avg_min")
+    assert hourly == {("Kafka", 45.0), ("Kubernetes", 45.0), ("Terraform", 45.0)}
 
 
 def test_monthly_salary_by_skill(store):
     got = as_set(mart(store, "monthly_salary_by_skill"))
-    assert len(got) == 15
-    assert {(month("2025-09"), s, 92500.0, 117500.0, 2) for s in ("Python", "SQL")} <= got
-    assert (month("2025-09"), "Tableau", 72500.0, 97500.0, 2) in got
-    assert not any(g[0] == month("2025-10") for g in got)
+    assert len(got) == 14
+    assert {(month("2024-03"), s, 43000.0, 51000.0, 2) for s in ("Go", "Postgres")} <= got
+    assert (month("2024-01"), "Delta Lake", 50500.0, 59500.0, 2) in got
+    assert not any(g[0] == month("2024-04") for g in got)
 
 
 def test_countries(store):
-    assert as_set(mart(store, "jobs_by_country")) == {("Usa", 9), ("Unknown", 1)}
+    assert as_set(mart(store, "jobs_by_country")) == {("Austria", 5), ("Italy", 3), ("France", 1), ("Unknown", 1)}
     assert as_set(mart(store, "monthly_jobs_by_country")) == {
-        (month("2025-07"), "Usa", 2), (month("2025-08"), "Usa", 2), (month("2025-09"), "Usa", 4),
-        (month("2025-10"), "Usa", 1), (month("2025-10"), "Unknown", 1),
+        (month("2024-01"), "Italy", 2), (month("2024-02"), "Austria", 2), (month("2024-03"), "Austria", 2),
+        (month("2024-03"), "Italy", 1), (month("2024-03"), "France", 1), (month("2024-04"), "Unknown", 1),
+        (month("2024-05"), "Austria", 1),
     }
 
 
@@ -147,11 +159,15 @@ def brute_pairs(bridge):
     return {(a, b, n) for (a, b), n in counts.items()}
 
 
+def counted(pair_rows):
+    return as_set(pair_rows.groupBy("skill_id_a", "skill_id_b").agg(F.count("*")))
+
+
 def test_both_pair_plans_equal_brute_force(wide):
     expected = brute_pairs(wide["jobs_skills"])
-    assert as_set(pairs.by_skill_sets(wide["jobs_skills"])) == expected
-    assert as_set(pairs.by_blocks(wide["jobs_skills"])) == expected
-    assert as_set(pairs.by_blocks(wide["jobs_skills"], block=2)) == expected
+    assert counted(pairs.by_posting(wide["jobs_skills"])) == expected
+    assert counted(pairs.by_blocks(wide["jobs_skills"])) == expected
+    assert counted(pairs.by_blocks(wide["jobs_skills"], block=2)) == expected
 
 
 def test_pairs_of_a_hot_posting_and_many_copies(spark):
@@ -162,15 +178,18 @@ def test_pairs_of_a_hot_posting_and_many_copies(spark):
     assert (3, 5, 200) in expected and len(expected) == 120 * 119 // 2
     dictionary = spark.range(120).select(F.col("id").alias("skill_id"))
     assert as_set(pairs.pair_counts(bridge, dictionary)) == expected
-    assert as_set(pairs.pair_counts(bridge, dictionary, array_skills=50)) == expected
-    assert as_set(pairs.by_blocks(bridge, block=16)) == expected
+    assert as_set(pairs.pair_counts(bridge, dictionary, wide_skills=50, block=16)) == expected
+    assert counted(pairs.by_blocks(bridge, block=16)) == expected
 
 
-def test_copies_collapse_before_pairs_are_made(spark):
-    bridge = spark.createDataFrame([(j, s) for j in range(300) for s in (3, 5, 7)], "job_id long, skill_id long")
-    sets = stage(bridge, "copies").groupBy("job_id").agg(F.sort_array(F.collect_list("skill_id")).alias("ids"))
-    assert sets.groupBy("ids").count().count() == 1
-    assert as_set(pairs.by_skill_sets(bridge)) == {(3, 5, 300), (3, 7, 300), (5, 7, 300)}
+@pytest.mark.parametrize("wide_skills", [4096, 2, 1])
+def test_pairs_count_postings_whatever_the_dictionary_size(spark, wide_skills):
+    """Repeated links count once, unknown skills and missing keys not at all, on both sides of the bound."""
+    links = [(1, 1), (1, 1), (1, 2), (1, 9), (2, 2), (2, 1), (2, 2), (2, 3), (None, 1), (None, 2), (3, None), (3, 1)]
+    bridge = spark.createDataFrame(links, "job_id long, skill_id long")
+    dictionary = spark.createDataFrame([(1,), (2,), (3,), (3,)], "skill_id long")
+    got = as_set(pairs.pair_counts(bridge, dictionary, wide_skills=wide_skills, block=1))
+    assert got == {(1, 2, 2), (1, 3, 1), (2, 3, 1)}
 
 
 # ---- reports ----
@@ -178,44 +197,46 @@ def test_copies_collapse_before_pairs_are_made(spark):
 
 def test_reports_on_ten_postings(store, t):
     top = rows(reports.report_top_skills(mart(store, "skill_counts"), 4))
-    assert [r[:2] for r in top] == [("Python", 3), ("SQL", 3), ("AWS", 2), ("Tableau", 2)]
+    assert [r[:2] for r in top] == [("Go", 3), ("Kafka", 3), ("Postgres", 3), ("Delta Lake", 2)]
     trends = rows(reports.report_top_trends(mart(store, "monthly_skill_counts")))
-    assert trends[0] == ("2025-10", "Docker", 1) and ("2025-09", "Python", 2) == trends[3] and len(trends) == 18
-    assert rows(reports.report_top_pairs(mart(store, "skill_cooccurrence"), 1)) == [("Python", "SQL", 2)]
-    assert rows(reports.report_jobs_by_country(mart(store, "jobs_by_country"))) == [("Usa", 9), ("Unknown", 1)]
-    assert rows(reports.report_salary_by_skill(t, 2)) == [("Python", 98333.0, 125000.0, 3), ("SQL", 88333.0, 111667.0, 3)]
+    assert trends[0] == ("2024-04", "Kafka", 1) and ("2024-03", "Go", 2) == trends[3] and len(trends) == 17
+    assert rows(reports.report_top_pairs(mart(store, "skill_cooccurrence"), 1)) == [("Go", "Postgres", 2)]
+    assert rows(reports.report_jobs_by_country(mart(store, "jobs_by_country"))) == [
+        ("Austria", 5), ("Italy", 3), ("France", 1), ("Unknown", 1)
+    ]
+    assert rows(reports.report_salary_by_skill(t, 2)) == [("Go", 42333.0, 50333.0, 3), ("Kafka", 34348.0, 39687.0, 3)]
     growth = mart(store, "skill_mom_growth")
-    assert [r[0] for r in rows(reports.report_top_risers(growth))] == ["Python", "SQL", "AWS"]
-    assert [r[0] for r in rows(reports.report_top_fallers(growth))] == ["AWS", "Python", "SQL"]
+    assert [r[0] for r in rows(reports.report_top_risers(growth))] == ["Kafka", "Go", "Postgres", "Kafka"]
+    assert [r[0] for r in rows(reports.report_top_fallers(growth))] == ["Kafka", "Kafka", "Go", "Postgres"]
     assert rows(reports.report_salary_trend(mart(store, "monthly_salary_by_skill"), 1)) == [
-        ("2025-09", "Python", 92500.0, 117500.0, 2)
+        ("2024-03", "Go", 43000.0, 51000.0, 2)
     ]
     assert rows(reports.report_country_trend(mart(store, "monthly_jobs_by_country"), 2)) == [
-        ("2025-10", "Unknown", 1), ("2025-10", "Usa", 1)
+        ("2024-05", "Austria", 1), ("2024-04", "Unknown", 1)
     ]
     assert rows(reports.jobs_count(t)) == [(10,)]
 
 
 def test_dashboard_tables(store, t):
-    lo, hi = month("2025-07"), month("2025-09")
+    lo, hi = month("2024-01"), month("2024-03")
     countries = mart(store, "monthly_jobs_by_country")
-    assert rows(reports.country_snapshot(countries, lo, hi)) == [(month("2025-09"), "Usa", 4)]
-    assert rows(reports.country_snapshot(countries, lo, month("2025-12"), ["Unknown"])) == [(month("2025-10"), "Unknown", 1)]
+    assert rows(reports.country_snapshot(countries, lo, hi)) == [(hi, "Austria", 2), (hi, "France", 1), (hi, "Italy", 1)]
+    assert rows(reports.country_snapshot(countries, lo, month("2024-12"), ["Unknown"])) == [(month("2024-04"), "Unknown", 1)]
     assert rows(reports.country_snapshot(countries, lo, hi, ["Unknown"])) == []
-    assert rows(reports.distinct_countries(countries, 5)) == [("Unknown",), ("Usa",)]
+    assert rows(reports.distinct_countries(countries, 5)) == [("Austria",), ("France",), ("Italy",), ("Unknown",)]
     monthly = mart(store, "monthly_skill_counts")
-    assert rows(reports.trend_month_bounds(monthly)) == [(lo, month("2025-10"))]
-    assert rows(reports.skill_trend_selected(monthly, lo, hi, ["Python", "AWS"])) == [
-        (lo, "Python", 1), (month("2025-08"), "AWS", 1), (hi, "AWS", 1), (hi, "Python", 2)
+    assert rows(reports.trend_month_bounds(monthly)) == [(lo, month("2024-04"))]
+    assert rows(reports.skill_trend_selected(monthly, lo, hi, ["Go", "Kafka"])) == [
+        (lo, "Go", 1), (month("2024-02"), "Kafka", 1), (hi, "Go", 2), (hi, "Kafka", 1)
     ]
-    assert [r[0] for r in rows(reports.skill_ranking(mart(store, "skill_counts")).limit(5))][:2] == ["Python", "SQL"]
+    assert [r[0] for r in rows(reports.skill_ranking(mart(store, "skill_counts")).limit(5))][:3] == ["Go", "Kafka", "Postgres"]
     growth = mart(store, "skill_mom_growth")
-    assert [r[0] for r in rows(reports.top_risers(growth, lo, hi, 2))] == ["Python", "SQL"]
-    assert [r[0] for r in rows(reports.top_fallers(growth, lo, hi, 1))] == ["AWS"]
-    assert [r[0] for r in rows(reports.salary_by_skill_min_n(t, 3))] == ["Python", "SQL"]
+    assert [r[0] for r in rows(reports.top_risers(growth, lo, hi, 2))] == ["Go", "Postgres"]
+    assert [r[0] for r in rows(reports.top_fallers(growth, lo, hi, 1))] == ["Kafka"]
+    assert [r[0] for r in rows(reports.salary_by_skill_min_n(t, 3))] == ["Go", "Kafka", "Postgres"]
     top = reports.salary_by_skill_top(t, 1, 2)
     assert [r[:3] for r in rows(reports.salary_bands_long(top))] == [
-        ("Python", 3, "avg_max"), ("Python", 3, "avg_min"), ("SQL", 3, "avg_max"), ("SQL", 3, "avg_min")
+        ("Go", 3, "avg_max"), ("Go", 3, "avg_min"), ("Kafka", 3, "avg_max"), ("Kafka", 3, "avg_min")
     ]
 
 

@@ -2,13 +2,14 @@ import argparse
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from fixtures import POSTINGS, as_set, rows, write_postings_csv, write_skills_csv
 
 from hirelens import __main__ as cli, schemas
 from hirelens.plans import refresh
 from hirelens.sources.csv import read_gazetteer, read_jobs_csv, seed_postings
 from hirelens.sources.default_skills import DEFAULT_SKILLS, default_gazetteer
-from hirelens.sources.tables import TableStore, append_jobs
+from hirelens.sources.tables import DONE, TableStore, append_jobs
 
 HEADER = "url,title_raw,description_raw,company,source,post_date,location_raw,salary_raw,extra\n"
 
@@ -25,7 +26,7 @@ def test_csv_edges(spark, tmp_path):
         'u3,T,"",Native,s,not a date,c, ,z\n'
         "u4,T,d,c,s,,l,1,\n"
     ))
-    got = rows(read_jobs_csv(spark, path).orderBy("url"))
+    got = rows(read_jobs_csv(spark, path, multiline=True).orderBy("url"))
     assert got == [
         ('Say "hi"', "two\nlines, one field", None, "s", date(2025, 9, 28), "A, B", None, "u1"),
         ("T", None, None, "s", None, None, None, "u2"),
@@ -51,7 +52,7 @@ def test_missing_columns_are_listed(spark, tmp_path):
 
 def test_gazetteer_csv(spark, tmp_path):
     got = as_set(read_gazetteer(spark, write_skills_csv(tmp_path / "s.csv")), "skill")
-    assert ("Python",) in got and ("python",) not in got and len(got) == 19
+    assert ("Go",) in got and ("go",) not in got and len(got) == 18
 
 
 def test_default_dictionary(spark):
@@ -73,7 +74,7 @@ def test_append_gives_consecutive_ids_and_never_merges(spark, tmp_path):
 
 def test_load_without_title_is_refused_as_a_whole(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
-    with pytest.raises(ValueError, match="1 postings without title_raw"):
+    with pytest.raises(ValueError, match="1 rows for jobs without title_raw"):
         append_jobs(store, read_jobs_csv(spark, write(tmp_path / "a.csv", "u,T,d,c,s,,l,1,\nu,,d,c,s,,l,1,\n")))
     assert not store.versions("jobs")
 
@@ -90,7 +91,7 @@ def test_replace_keeps_the_previous_version_readable(spark, tmp_path):
 def test_unfinished_version_is_ignored(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
     store.replace("marts/m", spark.range(3))
-    (tmp_path / "t" / "marts" / "m" / "v000002").mkdir()
+    (tmp_path / "t" / "marts" / "m" / "v000002" / "b000001").mkdir(parents=True)
     assert store.read("marts/m").count() == 3
     assert store.replace("marts/m", spark.range(4)).count() == 4
 
@@ -106,7 +107,7 @@ def test_refresh_twice_changes_nothing(spark, tmp_path, buckets):
     store = TableStore(spark, str(tmp_path / "t"), buckets)
     refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
     skills = write_skills_csv(tmp_path / "s.csv")
-    places = spark.createDataFrame([("Remote, Us", 1.0, 2.0)], "place string, lat double, lon double")
+    places = spark.createDataFrame([("Remote, De", 1.0, 2.0), ("Remote, De", 3.0, 0.0)], "place string, lat double, lon double")
 
     def snapshot():
         marts = refresh.refresh_all(store, skills, places)
@@ -115,9 +116,9 @@ def test_refresh_twice_changes_nothing(spark, tmp_path, buckets):
         return {n: as_set(df) for n, df in {**tables, **marts}.items()}
 
     before = snapshot()
-    assert len(before["jobs_skills"]) == 21 and len(before["skills"]) == 15
-    assert (2, "Remote", "Us", None, 1.0, 2.0, 0.7) in before["locations"]
-    assert (1, "New York", "Ny", "Usa", None, None, 0.6) in before["locations"]
+    assert len(before["jobs_skills"]) == 21 and len(before["skills"]) == 13
+    assert (2, "Remote", "De", None, 1.0, 2.0, 0.7) in before["locations"]
+    assert (3, "Wels", "Oo", "Austria", None, None, 0.6) in before["locations"]
     assert snapshot() == before
 
 
@@ -151,8 +152,8 @@ def test_new_postings_extend_the_tables(spark, tmp_path, buckets):
     refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
     refresh.refresh_all(store, skills)
     assert ids < as_set(store.read("skills"), "skill_id", "skill_norm")
-    assert store.read("skills").count() == 15
-    assert store.read("jobs_skills").count() == 12 + 21
+    assert store.read("skills").count() == 13
+    assert store.read("jobs_skills").count() == 1 + 21
 
 
 def test_text_that_becomes_empty_keeps_its_old_row(spark):
@@ -176,6 +177,116 @@ def test_command_line(spark, tmp_path, capsys):
                     ["enrich-locations"], ["analytics-refresh"], ["refresh-all"]):
         cli.run(spark, parser.parse_args(root + command))
     capsys.readouterr()
-    for name in cli.REPORTS:
-        cli.run(spark, parser.parse_args(root + [name]))
+    for name in cli.RANKED:
+        cli.run(spark, parser.parse_args(root + [name, "--k", "3"]))
         assert "+--" in capsys.readouterr().out
+    for name in (*cli.RANKED, *cli.WHOLE):
+        for kind in ("csv", "parquet"):
+            cli.run(spark, parser.parse_args(root + [name, "--out", str(tmp_path / f"{name}-{kind}"), "--format", kind]))
+    whole = spark.read.parquet(str(tmp_path / "jobs-by-country-parquet"))
+    assert whole.agg(F.sum("jobs")).first()[0] == 13
+    with pytest.raises(SystemExit):
+        parser.parse_args(root + ["jobs-by-country"])
+    with pytest.raises(SystemExit):
+        parser.parse_args(root + ["top-skills", "--k", "0"])
+
+
+def test_reports_are_written_in_full(spark, tmp_path):
+    """More countries than any printed table would show."""
+    store = TableStore(spark, str(tmp_path / "t"))
+    many = spark.range(3000).selectExpr("concat('c', id) AS country", "id AS jobs")
+    store.replace("marts/jobs_by_country", many)
+    args = cli.parser().parse_args(["--root", str(tmp_path / "t"), "jobs-by-country", "--out", str(tmp_path / "out")])
+    cli.run(spark, args)
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 3000
+
+
+def test_load_options_of_the_command_line(spark, tmp_path, capsys):
+    root = ["--root", str(tmp_path / "t")]
+    path = write(tmp_path / "a.csv", "u1,T,d,c,s,28.09.2025,l,\"$55,000-$75,000\",\nu2,T,d,c,s,soon,l,1,\nu3,T,d,c,s,,l,1,\n")
+    cli.run(spark, cli.parser().parse_args(root + ["load", path, "--date-format", "yyyy-MM-dd", "--date-format", "dd.MM.yyyy"]))
+    assert "3 postings loaded, 1 with a date in none" in capsys.readouterr().out
+    cli.run(spark, cli.parser().parse_args(root + ["enrich-salary", "--thousands"]))
+    pay = TableStore(spark, str(tmp_path / "t")).read("compensation")
+    assert (1, 55000.0, 75000.0) in as_set(pay, "job_id", "min", "max")
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "a.csv", "u1,T,d,c,s,,l,1,\n")
+    swapped = HEADER.replace("title_raw,description_raw,company", "company,description_raw,title_raw")
+    (folder / "b.csv").write_text(swapped + "u2,Corp,d,Title,s,,l,1,\n")
+    with pytest.raises(Exception, match="header"):
+        read_jobs_csv(spark, str(folder)).collect()
+
+
+def test_ids_follow_files_and_lines(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, n in (("a", 1), ("b", 400), ("c", 30)):  # Spark reads the largest file first
+        write(folder / f"{name}.csv", "".join(f"{name}{i:03d},T,d,c,s,,l,1,\n" for i in range(n)))
+    store = TableStore(spark, str(tmp_path / "t"))
+    done = refresh.load_postings(spark, store, str(folder))
+    urls = [r["url"] for r in store.read("jobs").orderBy("job_id").collect()]
+    assert done.postings == 431 and urls == sorted(urls)
+
+
+def test_large_single_line_files_split(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "".join(f"u{i},T,{'d' * 200},c,s,,l,1,\n" for i in range(3000)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    try:
+        df = read_jobs_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 3000
+        store = TableStore(spark, str(tmp_path / "t"))
+        refresh.load_postings(spark, store, path)
+        assert [r["url"] for r in store.read("jobs").orderBy("job_id").collect()] == [f"u{i}" for i in range(3000)]
+    finally:
+        spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_repeated_and_missing_keys_are_refused(spark, tmp_path, buckets):
+    store = TableStore(spark, str(tmp_path / "t"), buckets)
+    links = lambda *r: spark.createDataFrame(list(r), "job_id long, skill_id long")
+    store.append("jobs_skills", links((1, 1), (1, 2)))
+    for bad, what in ((links((1, 1)), "1,1"), (links((3, 3), (3, 3)), "3,3"), (links((None, 1)), "without job_id")):
+        with pytest.raises(ValueError, match=what):
+            store.append("jobs_skills", bad)
+    with pytest.raises(ValueError, match="4,4"):
+        store.replace("jobs_skills", links((4, 4), (4, 4)))
+    store.append("jobs_skills", links((2, 1)))
+    assert as_set(store.read("jobs_skills")) == {(1, 1), (1, 2), (2, 1)}
+
+
+def test_lost_marks_are_an_error_not_an_empty_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    append_jobs(store, seed_postings(spark))
+    for mark in (tmp_path / "t" / "jobs").rglob(DONE):
+        mark.unlink()
+    with pytest.raises(ValueError, match="none is finished"):
+        store.read("jobs")
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_failed_append_leaves_the_table_as_it_was(spark, tmp_path, buckets, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "t"), buckets)
+    append_jobs(store, seed_postings(spark))
+    write_to, broken = TableStore._write, []
+
+    def fails(self, name, version, df, batch=1):
+        write_to(self, name, version, df, batch)
+        for mark in (tmp_path / "t" / name / version / f"b{batch:06d}").glob(DONE):
+            mark.unlink()  # as if the program had ended before the mark
+        broken.append(version)
+        raise OSError("lost")
+
+    monkeypatch.setattr(TableStore, "_write", fails)
+    with pytest.raises(OSError):
+        append_jobs(store, seed_postings(spark))
+    monkeypatch.undo()
+    assert broken and store.read("jobs").count() == 3
+    append_jobs(store, seed_postings(spark))
+    assert [r["job_id"] for r in store.read("jobs").orderBy("job_id").collect()] == [1, 2, 3, 4, 5, 6]
