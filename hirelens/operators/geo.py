@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import place_name
 from .lookup import lookup_join
+from .staging import stage
 
 # Fixed value: confidence of a place found in the place table.
 CONFIDENCE_FOUND = 0.7
@@ -12,12 +13,16 @@ CONFIDENCE_FOUND = 0.7
 def geocode(df: DataFrame, places: DataFrame) -> DataFrame:
     """Add ``lat, lon, geocode_confidence`` by looking up the place of each row.
 
-    ``places`` has ``(place, lat, lon)``, one row per place, where ``place`` is
-    city, state and country joined by a comma and a blank, missing parts left out.
-    Places not found, and rows without any part, get NULLs.
+    ``places`` has ``(place, lat, lon)``, where ``place`` is city, state and country
+    joined by a comma and a blank, missing parts left out.  Of several rows of one place
+    the one with the smallest latitude, then longitude counts, missing values last.
+    Places not found, and rows without any part, get NULLs; every row comes back once.
     """
-    table = places.select(
-        F.col("place").alias("_place"), "lat", "lon", F.lit(CONFIDENCE_FOUND).alias("geocode_confidence")
+    order = F.struct(F.col("lat").isNull(), "lat", F.col("lon").isNull(), "lon")
+    once = places.filter(F.col("place").isNotNull()).groupBy(F.col("place").alias("_place")).agg(
+        F.min_by(F.struct("lat", "lon"), order).alias("_at")
     )
+    table = once.select("_place", "_at.lat", "_at.lon", F.lit(CONFIDENCE_FOUND).alias("geocode_confidence"))
+    table = stage(table, "places")  # measured, then joined
     named = df.withColumn("_place", F.nullif(place_name(F.col("city"), F.col("state"), F.col("country")), F.lit("")))
     return lookup_join(named, table, "_place", how="left", spread_by=df.columns).drop("_place")

@@ -36,19 +36,26 @@ def fk_orphans(
 ) -> DataFrame:
     """``(table, column, key, n)`` for every reference that has no parent, with its row count.
 
-    Rows are counted per key before the join, so a key with very many rows
-    reaches it as one row per task.
+    The keys of a parent and of all its children meet in one aggregate: each table is read once, and a key
+    with very many rows reaches the shuffle as one row per task.
     """
-    return _union([
-        tables[child]
-        .filter(F.col(col).isNotNull())
-        .groupBy(F.col(col).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(tables[parent].select(F.col(parent_col).alias("key")), "key", "left_anti")
-        .select(F.lit(child).alias("table"), F.lit(col).alias("column"), "key", "n")
-        for child, col, parent, parent_col in references
-        if child in tables and parent in tables
+    by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for child, col, parent, parent_col in references:
+        if child in tables and parent in tables:
+            by_parent.setdefault((parent, parent_col), []).append((child, col))
+    return _union([_orphans_of(tables, parent, parent_col, children) for (parent, parent_col), children in by_parent.items()])
+
+
+def _orphans_of(tables: Mapping[str, DataFrame], parent: str, parent_col: str, children: list[tuple[str, str]]) -> DataFrame:
+    rows = [tables[parent].select(F.col(parent_col).alias("key"), F.lit(-1).alias("side"))]
+    rows += [tables[child].select(F.col(col).alias("key"), F.lit(i).alias("side")) for i, (child, col) in enumerate(children)]
+    counts = [F.count_if(F.col("side") == i).alias(f"n{i}") for i in range(len(children))]
+    keys = _union(rows).filter(F.col("key").isNotNull()).groupBy("key").agg(F.count_if(F.col("side") == -1).alias("parents"), *counts)
+    names = F.array(*[
+        F.struct(F.lit(child).alias("table"), F.lit(col).alias("column"), F.col(f"n{i}").alias("n"))
+        for i, (child, col) in enumerate(children)
     ])
+    return keys.filter("parents = 0").select("key", F.inline(names)).filter("n > 0").select("table", "column", "key", "n")
 
 
 def not_null_violations(

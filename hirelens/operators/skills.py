@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import BARE_TOKEN, TOKEN, skill_name, squash_ws, strip
 from .ids import dense_ids
 from .lookup import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
+from .staging import stage
 from .upsert import absent_rows
 
 # Fixed value: written to every skill row made here.
@@ -12,6 +13,8 @@ EXTRACTOR_VERSION = "rule_v1"
 
 # Up to this many different first tokens, runs are filtered by them before they are built.
 PREFILTER_TOKENS = 1000
+# Up to this many phrases beyond the broadcast bound, runs are filtered by broadcast hashes before they are shuffled.
+HASHED_PHRASES = 4_000_000
 
 
 def skill_key(name: Column) -> Column:
@@ -105,6 +108,10 @@ def extract_skills(
     surfaces = _runs(texts, id_col, lengths or [1], firsts)
     # Never NULL, so that the join adds no filter that would lower every run twice.
     keyed = surfaces.withColumn("skill_key", F.coalesce(F.lower("surface"), F.lit("")))
+    if not small and rows <= HASHED_PHRASES:
+        # Eight bytes a phrase instead of its text: only runs that are phrases (and rare collisions) travel.
+        hashes = phrases.select(F.xxhash64("skill_key").alias("_hash")).distinct()
+        keyed = keyed.join(F.broadcast(hashes), F.xxhash64("skill_key") == F.col("_hash"), "left_semi")
     found = lookup_join(keyed, phrases.select("skill_key", "_name"), "skill_key", spread_by=[id_col], small=small)
     if not odd:
         return found.select(id_col, "surface", "skill_key")
@@ -141,5 +148,6 @@ def new_skills(matches: DataFrame, skills: DataFrame, id_col: str = "job_id") ->
 
 def new_links(matches: DataFrame, skills: DataFrame, jobs_skills: DataFrame, id_col: str = "job_id") -> DataFrame:
     """``(job_id, skill_id)`` rows of the matches that the bridge does not hold yet."""
-    linked = lookup_join(matches, skill_keys(skills), "skill_key", spread_by=[id_col])
+    keys = stage(skill_keys(skills), "skill_keys")  # measured, then joined
+    linked = lookup_join(matches, keys, "skill_key", spread_by=[id_col])
     return absent_rows(linked.select(F.col(id_col).alias("job_id"), "skill_id"), jobs_skills, ["job_id", "skill_id"])

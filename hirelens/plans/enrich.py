@@ -7,7 +7,7 @@ from ..functions.salary import parse_salary
 from ..operators.geo import geocode
 from ..operators.skills import extract_skills, new_links, new_skills
 from ..operators.staging import stage
-from ..operators.upsert import upsert
+from ..operators.upsert import one_per_key, upsert
 
 
 def spread_for(df: DataFrame) -> int | None:
@@ -22,9 +22,13 @@ def spread_for(df: DataFrame) -> int | None:
 
 
 def enrich_compensation(jobs: DataFrame, compensation: DataFrame, thousands: bool = False) -> DataFrame:
-    """The pay table after parsing the salary text of all postings that have one."""
+    """The pay table after parsing the salary text of all postings that have one.
+
+    Of several rows of one posting the text that comes first in code-point order counts.
+    """
     texts = jobs.select("job_id", "salary_raw").filter(F.col("salary_raw") != "")
-    parsed = parse_salary(texts, thousands=thousands).drop("salary_raw")
+    once = one_per_key(texts, ["job_id"], [F.col("salary_raw")])
+    parsed = parse_salary(once, thousands=thousands).drop("salary_raw")
     return upsert(compensation, parsed, ["job_id"])
 
 
@@ -32,10 +36,12 @@ def enrich_locations(jobs: DataFrame, locations: DataFrame, places: DataFrame |
     """The place table after parsing the location text of all postings that have one.
 
     With a place table the coordinates are looked up; a place found there brings
-    its own confidence, otherwise that of the parser is stored.
+    its own confidence, otherwise that of the parser is stored.  Of several rows of one
+    posting the text that comes first in code-point order counts.
     """
     texts = jobs.select("job_id", "location_raw").filter(F.col("location_raw") != "")
-    parsed = parse_location(texts).select("job_id", "city", "state", "country", "confidence")
+    once = one_per_key(texts, ["job_id"], [F.col("location_raw")])
+    parsed = parse_location(once).select("job_id", "city", "state", "country", "confidence")
     if places is None:
         none = F.lit(None).cast("double")
         located = parsed.withColumns({"lat": none, "lon": none, "geocode_confidence": none})

@@ -1,9 +1,9 @@
 """The eight analytics tables.
 
 Every function takes ``t``, a mapping of table name to DataFrame, and returns a
-lazy DataFrame.  The bridge ``jobs_skills`` holds each (job_id, skill_id) once, so
-a plain count of its rows equals the count of distinct postings.  Aggregation is
-by skill id first; names are joined to the small aggregate afterwards.
+lazy DataFrame.  Stored tables hold each key once (the store refuses others), so a plain
+count of the rows of the bridge ``jobs_skills`` equals the count of distinct postings.  Aggregation
+is by skill id first; names are joined to the small aggregate afterwards.
 """
 
 from collections.abc import Mapping
@@ -143,11 +143,13 @@ def monthly_jobs_by_country(t: Tables) -> DataFrame:
 def skill_mom_growth(monthly: DataFrame) -> DataFrame:
     """Growth of a skill against the previous month in which it occurs, in percent.
 
-    Runs on the monthly table: a skill has one row per month, so a window group is small.
+    Skills of one name are one skill: their counts are added per month first, so a window group has one row
+    per month.
     """
-    w = Window.partitionBy("skill").orderBy("month", "skill_id")
+    by_name = monthly.groupBy("skill", "month").agg(F.sum("job_count").alias("job_count"))
+    w = Window.partitionBy("skill").orderBy("month")
     now, before = F.col("job_count"), F.col("prev_job_count")
     change = F.round(F.lit(Decimal("100.0")) * (now - before) / F.nullif(before, F.lit(0)), 2)
-    return monthly.withColumn("prev_job_count", F.lag("job_count").over(w)).select(
+    return by_name.withColumn("prev_job_count", F.lag("job_count").over(w)).select(
         "skill", "month", "job_count", "prev_job_count", change.cast("double").alias("mom_growth_pct")
     )

@@ -2,56 +2,65 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-# Postings are held as arrays of skill ids up to this many skills in the dictionary.
-ARRAY_SKILLS = 4096
-# Beyond it a posting is cut into blocks of about this many skills.
+from ..operators.lookup import fits_broadcast
+from ..operators.staging import stage
+
+# A posting with more skills than this is wide: it is cut into blocks instead of gathered in one array.
+WIDE_SKILLS = 4096
+# Skills of one block.
 BLOCK_SKILLS = 1024
 
 
-def pair_counts(jobs_skills: DataFrame, skills: DataFrame, array_skills: int = ARRAY_SKILLS) -> DataFrame:
+def pair_counts(
+    jobs_skills: DataFrame, skills: DataFrame, wide_skills: int = WIDE_SKILLS, block: int = BLOCK_SKILLS
+) -> DataFrame:
     """``(skill_id_a, skill_id_b, pair_count)`` with ``skill_id_a < skill_id_b``.
 
-    The number of stored skills, counted first, bounds the skills of one posting
-    and so decides between two exact plans.
+    Counts distinct postings: repeated links count once, links to skills that are not stored do not count.
+    A dictionary of at most ``wide_skills`` skills proves that no posting is wide; otherwise wide
+    postings are looked for and take the block plan.  Both plans give the same counts.
     """
-    known = skills.select("skill_id")
-    if known.limit(array_skills + 1).count() <= array_skills:
-        return by_skill_sets(jobs_skills.join(F.broadcast(known), "skill_id", "left_semi"))
-    return by_blocks(jobs_skills)
+    known = skills.select("skill_id").distinct()
+    small = F.broadcast(known) if fits_broadcast(known) else known
+    links = jobs_skills.select("job_id", "skill_id").join(small, "skill_id", "left_semi").filter("job_id IS NOT NULL")
+    if known.limit(wide_skills + 1).count() <= wide_skills:
+        return _counted(by_posting(links))
+    sizes = links.groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
+    wide = stage(sizes.filter(F.col("n") > wide_skills).select("job_id"), "wide_postings")
+    if wide.isEmpty():
+        return _counted(by_posting(links))
+    hint = F.broadcast(wide) if fits_broadcast(wide) else wide
+    return _counted(by_posting(links.join(hint, "job_id", "left_anti")).unionByName(
+        by_blocks(links.join(hint, "job_id", "left_semi"), block)
+    ))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("skill_id_a", "skill_id_b").agg(F.count(F.lit(1)).alias("pair_count"))
 
 
-def by_skill_sets(jobs_skills: DataFrame) -> DataFrame:
-    """For bounded dictionaries: count equal skill sets first, then pair within the distinct sets.
+def by_posting(links: DataFrame) -> DataFrame:
+    """One row per posting and pair: the skills of a posting gathered as a set, then paired.
 
-    Copies of a posting, and postings that name the same skills, collapse to one
-    row with a weight before any pair is made.  The links travel once, as plain
-    rows: a posting has at most one per skill, and sets gathered before the
-    shuffle would hold one or two ids each and cost a second sort.
+    The only shuffle is the one the grouping needs; a table bucketed by posting has none.
     """
-    together = jobs_skills.repartition("job_id")
-    sets = together.groupBy("job_id").agg(F.sort_array(F.collect_set("skill_id")).alias("ids"))
-    weighted = sets.filter(F.size("ids") > 1).groupBy("ids").agg(F.count(F.lit(1)).alias("weight"))
-    firsts = weighted.select("ids", "weight", F.posexplode("ids").alias("at", "skill_id_a"))
+    sets = links.groupBy("job_id").agg(F.sort_array(F.collect_set("skill_id")).alias("ids"))
+    firsts = sets.filter(F.size("ids") > 1).select("ids", F.posexplode("ids").alias("at", "skill_id_a"))
     later = F.slice("ids", F.col("at") + 2, F.size("ids"))
-    pairs = firsts.select("weight", "skill_id_a", F.explode(later).alias("skill_id_b"))
-    return pairs.groupBy("skill_id_a", "skill_id_b").agg(F.sum("weight").alias("pair_count"))
+    return firsts.select("skill_id_a", F.explode(later).alias("skill_id_b"))
 
 
-def by_blocks(jobs_skills: DataFrame, block: int = BLOCK_SKILLS) -> DataFrame:
-    """For any dictionary: a self-join of the bridge, wide postings cut into square blocks.
+def by_blocks(links: DataFrame, block: int = BLOCK_SKILLS) -> DataFrame:
+    """One row per posting and pair, postings cut into square blocks.
 
     A posting with n skills gets k = ceil(n / block) buckets per side and k * k join
-    keys, so one task sees about block * block of its pairs; ordinary postings have
-    k = 1 and join on the posting alone.  Pairs go straight into the partial count.
+    keys, so one task sees about block * block of its pairs.  Pairs go straight into the partial count.
     """
-    widths = jobs_skills.groupBy("job_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("k"))
-    cut = jobs_skills.join(widths, "job_id").withColumn("own", F.pmod(F.xxhash64("skill_id"), F.col("k")))
+    once = links.dropDuplicates(["job_id", "skill_id"])
+    widths = once.groupBy("job_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("k"))
+    cut = once.join(widths, "job_id").withColumn("own", F.pmod(F.xxhash64("skill_id"), F.col("k")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("k").cast("long") - 1))
     left = cut.select("job_id", F.col("skill_id").alias("skill_id_a"), F.col("own").alias("row"), every.alias("col"))
     right = cut.select("job_id", F.col("skill_id").alias("skill_id_b"), F.col("own").alias("col"), every.alias("row"))
-    return (
-        left.join(right, ["job_id", "row", "col"])
-        .filter(F.col("skill_id_a") < F.col("skill_id_b"))
-        .groupBy("skill_id_a", "skill_id_b")
-        .agg(F.count(F.lit(1)).alias("pair_count"))
-    )
+    met = left.join(right, ["job_id", "row", "col"]).filter(F.col("skill_id_a") < F.col("skill_id_b"))
+    return met.select("skill_id_a", "skill_id_b")

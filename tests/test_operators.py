@@ -46,6 +46,30 @@ def test_staged_tables_are_dropped_at_the_end_of_their_scope(spark):
     assert not any(f.exists() for f in inner) and all(f.exists() for f in outer)
 
 
+def test_scopes_of_two_threads_do_not_meet(spark):
+    import threading
+    from pathlib import Path
+
+    here = lambda df: Path(df.inputFiles()[0].removeprefix("file://").removeprefix("file:")).exists()
+    ready, done, seen = threading.Event(), threading.Event(), []
+
+    def other():
+        with staging.staging_scope(spark):
+            df = staging.stage(spark.range(1), "other")
+            ready.set()
+            done.wait(60)
+            seen.append(here(df))
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    ready.wait(60)
+    with staging.staging_scope(spark):
+        staging.stage(spark.range(1), "own")
+    done.set()
+    thread.join()
+    assert seen == [True]
+
+
 def test_upsert_replaces_all_columns_and_is_idempotent(spark):
     target = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0)], PAY)
     updates = spark.createDataFrame([(None, 9.0, 2), (5.0, 6.0, 3)], "min double, max double, job_id long")
@@ -74,8 +98,11 @@ def test_geocode(spark):
         "job_id long, city string, state string, country string",
     )
     places = spark.createDataFrame([("Paris, France", 48.9, 2.4), ("Ny", 40.7, -74.0)], "place string, lat double, lon double")
-    got = as_set(geocode(where, places), "job_id", "lat", "lon", "geocode_confidence")
-    assert got == {(1, 48.9, 2.4, 0.7), (2, None, None, None), (3, None, None, None), (4, 40.7, -74.0, 0.7)}
+    want = {(1, 48.9, 2.4, 0.7), (2, None, None, None), (3, None, None, None), (4, 40.7, -74.0, 0.7)}
+    assert as_set(geocode(where, places), "job_id", "lat", "lon", "geocode_confidence") == want
+    again = [("Paris, France", 50.0, 1.0), ("Paris, France", None, 0.0), ("Paris, France", 48.9, 3.0), ("Ny", 40.7, None), (None, 1.0, 1.0)]
+    twice = places.unionByName(spark.createDataFrame(again, places.schema))
+    assert as_set(geocode(where, twice), "job_id", "lat", "lon", "geocode_confidence") == want
 
 
 def broken(spark):
@@ -90,4 +117,6 @@ def test_integrity_checks(spark):
     t = broken(spark)
     assert as_set(quality.pk_violations(t)) == {("jobs", "1", 2), ("jobs_skills", "1,1", 2)}
     assert as_set(quality.fk_orphans(t)) == {("jobs_skills", "job_id", 9, 2), ("jobs_skills", "skill_id", 2, 1)}
-    assert as_set(quality.not_null_violations(t)) == {("jobs", "title_raw", 2)}
+    assert as_set(quality.not_null_violations(t)) == {
+        ("jobs", "job_id", 1), ("jobs", "title_raw", 2), ("jobs_skills", "job_id", 1)
+    }
