@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 from importlib.util import find_spec
 from pathlib import Path
 
@@ -22,10 +23,12 @@ from hirelens import schemas  # noqa: E402
 from hirelens.functions.dates import parse_post_date  # noqa: E402
 from hirelens.functions.location import parse_location  # noqa: E402
 from hirelens.functions.salary import parse_salary  # noqa: E402
+from hirelens.functions.text import place_name  # noqa: E402
 from hirelens.operators import geo, quality, skills, upsert  # noqa: E402
 from hirelens.operators.ids import dense_ids  # noqa: E402
+from hirelens.operators.lookup import lookup_join  # noqa: E402
 from hirelens.operators.staging import stage  # noqa: E402
-from hirelens.plans import enrich, marts, reports  # noqa: E402
+from hirelens.plans import enrich, marts, pairs, refresh, reports  # noqa: E402
 
 # The training-data operators are an optional part: where present, they must import without error.
 CORPUS_QUERIES, CORPUS_SQL = {}, {}
@@ -43,6 +46,7 @@ if find_spec("hirelens.llm"):
 SKILL_TABLES = ("v_jobs", "v_skills", "v_jobs_skills")
 PAY_TABLES = SKILL_TABLES + ("v_compensation",)
 PLACE_TABLES = ("v_jobs", "v_locations")
+MONTHLY_PLACES = ("v_jobs", "v_stored_places")
 
 RANGE = (date(1996, 1, 1), date(2000, 6, 1))
 SKILLS = ["red plate", "SMALL RING", "blue bolt", "hot rod"]
@@ -50,14 +54,17 @@ COUNTRIES = ["NATION_1", "NATION_3", "NATION_7", "Unknown"]
 
 # ---- dictionary taken from the texts of the benchmark table ----
 
-ENTRY_PATTERNS = [r"\p{L}+", r"\p{L}+ \p{L}+", r"\p{L}+, \p{L}+"]
+# Words and what stands between them, in turn.
+PIECES = r"\p{L}+|[^\p{L}]+"
 
 
 def phrase_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw dictionary entries: words, word pairs and comma pairs of the benchmark texts."""
+    """Raw dictionary entries: all words of the benchmark texts, and all neighbours with a blank or a comma and a blank between."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = F.concat(*[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in ENTRY_PATTERNS])
-    return items.select(F.col("item_id").alias("pos"), F.explode(found).alias("skill"))
+    cut = items.select("item_id", F.regexp_extract_all("text", F.lit(PIECES), F.lit(0)).alias("p"))
+    near = F.transform("p", lambda x, i: F.when(F.get("p", i + 1).isin(" ", ", "), F.concat(x, F.get("p", i + 1), F.get("p", i + 2))))
+    found = F.filter(F.concat("p", near), lambda x: x.rlike(r"^\p{L}+(,? \p{L}+)?$"))
+    return cut.select(F.col("item_id").alias("pos"), F.explode(found).alias("skill"))
 
 
 def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +97,8 @@ def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "jobs": t["jobs"].join(t["salary_raw"].select("job_id", F.col("salary_raw").alias("title_raw")), "job_id"),
         "skills": t["skills"].withColumnRenamed("skill_raw", "_raw").withColumn("skill_raw", F.col("skill_norm")),
         "jobs_skills": t["links"].select((F.col("job_id") * 2).alias("job_id"), (F.col("skill_id") + 5).alias("skill_id")),
-        "compensation": t["orders"].select(F.col("o_custkey").alias("job_id")),
-        "locations": t["locations"].select((F.col("job_id") + 1000).alias("job_id")),
+        "compensation": t["orders"].select(F.expr("nullif(o_custkey, 7)").alias("job_id")),
+        "locations": t["locations"].select(F.expr("CASE WHEN country IS NOT NULL THEN job_id + 1000 END").alias("job_id")),
     }
 
 
@@ -102,10 +109,50 @@ def _on(names: tuple[str, ...], plan: Callable[..., DataFrame]) -> Callable[[Spa
     return lambda spark, sf_dir: plan(frames(spark, sf_dir, *names))
 
 
+def _monthly_countries(t) -> DataFrame:
+    """Some postings have no place: they count as unknown."""
+    return marts.monthly_jobs_by_country({"jobs": t["jobs"], "locations": t["stored_places"]})
+
+
 def _growth(t) -> DataFrame:
     return marts.skill_mom_growth(marts.monthly_skill_counts(t))
 
 
+ROLLUPS = ("skill_counts", "monthly_skill_counts", "salary_by_skill", "monthly_salary_by_skill")
+
+
+def _rollup(name: str, t) -> DataFrame:
+    return refresh.marts_from_facts(stage(refresh.skill_facts(t), "facts"), t)[name]
+
+
+def _pair_count(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("skill_id_a", "skill_id_b").agg(F.count(F.lit(1)).alias("pair_count"))
+
+
+def _pairs_wide(t) -> DataFrame:
+    """Unmerged links (with repeats); postings of more than three skills take the block plan, others the array plan."""
+    return pairs.pair_counts(t["links"], t["skills"].filter("skill_id % 5 <> 0"), wide_skills=3, block=2)
+
+
+def _growth_shared_names(t) -> DataFrame:
+    """Skills named by the last word of their name, so that several ids share one."""
+    last = t["skills"].withColumn("skill_norm", F.substring_index("skill_raw", " ", -1))
+    return marts.skill_mom_growth(marts.monthly_skill_counts({**t, "skills": last}))
+
+
+def _geocode_salted(t) -> DataFrame:
+    """The place lookup as it runs for place tables that are too large to broadcast."""
+    table = t["places"].select(F.col("place").alias("_place"), F.col("lat").alias("place_lat"))
+    named = t["locations"].select("job_id", place_name(F.col("city"), F.col("state"), F.col("country")).alias("_place"))
+    return lookup_join(named, table, "_place", "left", spread_by=["job_id"], small=False).select("job_id", "place_lat")
+
+
+def _twice(texts: DataFrame) -> DataFrame:
+    """Every third posting a second time, with another text."""
+    more = texts.filter("job_id % 3 = 0 AND location_raw <> ''").withColumn("location_raw", F.concat(F.lit("~"), "location_raw"))
+    return texts.unionByName(more)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # marts
@@ -115,8 +162,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "salary_by_skill": _on(PAY_TABLES, marts.salary_by_skill),
         "jobs_by_country": _on(PLACE_TABLES, marts.jobs_by_country),
         "monthly_salary_by_skill": _on(PAY_TABLES, marts.monthly_salary_by_skill),
-        "monthly_jobs_by_country": _on(PLACE_TABLES, marts.monthly_jobs_by_country),
+        "monthly_jobs_by_country": _on(MONTHLY_PLACES, _monthly_countries),
         "skill_mom_growth": _on(SKILL_TABLES, _growth),
+        # the plans that a refresh runs, and those that large or unusual tables take
+        **{f"rollup_{name}": _on(PAY_TABLES, partial(_rollup, name)) for name in ROLLUPS},
+        "pairs_wide": _on(("v_links", "v_skills"), _pairs_wide),
+        "pairs_blocks": _on(("v_links",), lambda t: _pair_count(pairs.by_blocks(t["links"], block=2))),
+        "growth_shared_names": _on(SKILL_TABLES, _growth_shared_names),
+        "geocode_salted": _on(("v_locations", "v_places"), _geocode_salted),
         # reports
         "report_top_skills": _on(SKILL_TABLES, lambda t: reports.report_top_skills(marts.skill_counts(t))),
         "report_top_trends": _on(SKILL_TABLES, lambda t: reports.report_top_trends(marts.monthly_skill_counts(t))),
@@ -127,18 +180,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_top_fallers": _on(SKILL_TABLES, lambda t: reports.report_top_fallers(_growth(t))),
         "report_salary_trend": _on(PAY_TABLES, lambda t: reports.report_salary_trend(marts.monthly_salary_by_skill(t))),
         "report_country_trend": _on(
-            PLACE_TABLES, lambda t: reports.report_country_trend(marts.monthly_jobs_by_country(t))
+            MONTHLY_PLACES, lambda t: reports.report_country_trend(_monthly_countries(t))
         ),
         "skill_ranking": _on(SKILL_TABLES, lambda t: reports.skill_ranking(marts.skill_counts(t))),
         "country_snapshot": _on(
-            PLACE_TABLES, lambda t: reports.country_snapshot(marts.monthly_jobs_by_country(t), *RANGE, COUNTRIES)
+            MONTHLY_PLACES, lambda t: reports.country_snapshot(_monthly_countries(t), *RANGE, COUNTRIES)
         ),
         "trend_date_range": _on(
             SKILL_TABLES, lambda t: reports.between_months(marts.monthly_skill_counts(t), *RANGE)
         ),
         "trend_month_bounds": _on(SKILL_TABLES, lambda t: reports.trend_month_bounds(marts.monthly_skill_counts(t))),
         "distinct_countries": _on(
-            PLACE_TABLES, lambda t: reports.distinct_countries(marts.monthly_jobs_by_country(t))
+            MONTHLY_PLACES, lambda t: reports.distinct_countries(_monthly_countries(t))
         ),
         "skill_trend_selected": _on(
             SKILL_TABLES, lambda t: reports.skill_trend_selected(marts.monthly_skill_counts(t), *RANGE, SKILLS)
@@ -167,12 +220,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # keys and merges
         "ingest_assign_ids": _ingest_assign_ids,
         "upsert_compensation": _on(
-            ("v_salary_raw", "v_compensation"),
-            lambda t: enrich.enrich_compensation(t["salary_raw"], t["compensation"]),
+            ("v_salary_raw", "v_stored_pay"),
+            lambda t: enrich.enrich_compensation(t["salary_raw"], t["stored_pay"]),
         ),
         "upsert_locations": _on(
-            ("v_location_raw", "v_locations"),
-            lambda t: enrich.enrich_locations(t["location_raw"], t["locations"]),
+            ("v_location_raw", "v_stored_places"),
+            lambda t: enrich.enrich_locations(t["location_raw"], t["stored_places"]),
+        ),
+        "upsert_locations_places": _on(
+            ("v_location_raw", "v_stored_places", "v_places_twice"),
+            lambda t: enrich.enrich_locations(_twice(t["location_raw"]), t["stored_places"], t["places_twice"]),
         ),
         "geocode_lookup": _on(("v_locations", "v_places"), _geocode_lookup),
         # integrity
@@ -205,9 +262,9 @@ def _skills_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bridge_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of the line items without the stored ones, those of the returned items."""
-    t = frames(spark, sf_dir, "v_links", "v_skills", "lineitem", "part")
-    returned = t["lineitem"].filter("l_returnflag = 'R'").join(t["part"], F.col("p_partkey") == F.col("l_partkey"))
-    stored = returned.join(t["skills"], F.col("skill_raw") == F.col("p_name")).select(
+    t = frames(spark, sf_dir, "v_links", "v_part_skills", "lineitem")
+    returned = t["lineitem"].filter("l_returnflag = 'R'")
+    stored = returned.join(t["part_skills"], F.col("p_partkey") == F.col("l_partkey")).select(
         F.col("l_orderkey").alias("job_id"), "skill_id"
     )
     return upsert.absent_rows(t["links"], stored, ["job_id", "skill_id"])
@@ -232,37 +289,43 @@ def entry(spark: SparkSession) -> DataFrame:
 _NAME = "coalesce(skill_norm, skill_raw)"
 _MONTH = "CAST(date_trunc('month', post_date) AS DATE)"
 
+
+def _by_skill_id(values: str, source: str, more: str = "") -> str:
+    """Aggregates of the links per skill id; names come after."""
+    group = f"skill_id{more}"
+    return f"(SELECT {group}, {values} FROM v_jobs_skills JOIN {source} GROUP BY ALL)"
+
+
+_PAID = "(SELECT * FROM v_compensation WHERE min IS NOT NULL AND max IS NOT NULL) paid USING (job_id)"
+_DATED = f"(SELECT job_id, {_MONTH} AS month FROM v_jobs WHERE post_date IS NOT NULL) dated USING (job_id)"
+
 _MARTS = {
     "skill_counts": f"""
-        SELECT s.skill_id, {_NAME} AS skill, count(DISTINCT js.job_id) AS job_count, max(post_date) AS last_seen
-        FROM v_skills s JOIN v_jobs_skills js ON js.skill_id = s.skill_id JOIN v_jobs j ON j.job_id = js.job_id
-        GROUP BY s.skill_id, {_NAME}""",
+        SELECT skill_id, {_NAME} AS skill, job_count, last_seen
+        FROM {_by_skill_id("count(DISTINCT job_id) AS job_count, max(post_date) AS last_seen", "v_jobs USING (job_id)")}
+        JOIN v_skills USING (skill_id)""",
     "monthly_skill_counts": f"""
-        SELECT s.skill_id, {_NAME} AS skill, {_MONTH} AS month, count(DISTINCT js.job_id) AS job_count
-        FROM v_skills s JOIN v_jobs_skills js ON js.skill_id = s.skill_id JOIN v_jobs j ON j.job_id = js.job_id
-        WHERE post_date IS NOT NULL GROUP BY 1, 2, 3""",
+        SELECT skill_id, {_NAME} AS skill, month, job_count
+        FROM {_by_skill_id("count(DISTINCT job_id) AS job_count", _DATED, ", month")} JOIN v_skills USING (skill_id)""",
     "skill_cooccurrence": """
-        SELECT a.skill_id AS skill_id_a, coalesce(a.skill_norm, a.skill_raw) AS skill_a,
-               b.skill_id AS skill_id_b, coalesce(b.skill_norm, b.skill_raw) AS skill_b,
-               count(DISTINCT x.job_id) AS pair_count
-        FROM v_jobs_skills x JOIN v_jobs_skills y ON x.job_id = y.job_id AND x.skill_id < y.skill_id
-        JOIN v_skills a ON a.skill_id = x.skill_id JOIN v_skills b ON b.skill_id = y.skill_id
-        GROUP BY 1, 2, 3, 4""",
+        SELECT skill_id_a, (SELECT coalesce(skill_norm, skill_raw) FROM v_skills WHERE skill_id = skill_id_a) AS skill_a,
+               skill_id_b, (SELECT coalesce(skill_norm, skill_raw) FROM v_skills WHERE skill_id = skill_id_b) AS skill_b, pair_count
+        FROM (SELECT one.skill_id AS skill_id_a, other.skill_id AS skill_id_b, count(DISTINCT job_id) AS pair_count
+              FROM v_jobs_skills one JOIN v_jobs_skills other USING (job_id)
+              WHERE one.skill_id < other.skill_id GROUP BY ALL)""",
     "salary_by_skill": f"""
-        SELECT s.skill_id, {_NAME} AS skill, avg(c.min) AS avg_min, avg(c.max) AS avg_max, count(*) AS n
-        FROM v_skills s JOIN v_jobs_skills js ON js.skill_id = s.skill_id
-        JOIN v_compensation c ON c.job_id = js.job_id
-        WHERE c.min IS NOT NULL AND c.max IS NOT NULL GROUP BY 1, 2""",
-    "jobs_by_country": "SELECT coalesce(country, 'Unknown') AS country, count(*) AS jobs FROM v_locations GROUP BY 1",
+        SELECT skill_id, {_NAME} AS skill, avg_min, avg_max, n
+        FROM {_by_skill_id("avg(min) AS avg_min, avg(max) AS avg_max, count(*) AS n", _PAID)} JOIN v_skills USING (skill_id)""",
+    "jobs_by_country": "SELECT coalesce(country, 'Unknown') AS country, count(*) AS jobs FROM v_locations GROUP BY ALL",
     "monthly_salary_by_skill": f"""
-        SELECT {_MONTH} AS month, {_NAME} AS skill, avg(c.min) AS avg_min, avg(c.max) AS avg_max, count(*) AS n
-        FROM v_jobs j JOIN v_jobs_skills js ON js.job_id = j.job_id JOIN v_skills s ON s.skill_id = js.skill_id
-        JOIN v_compensation c ON c.job_id = j.job_id
-        WHERE post_date IS NOT NULL AND c.min IS NOT NULL AND c.max IS NOT NULL
-          AND (c.period IS NULL OR c.period = 'year') GROUP BY 1, 2""",
+        SELECT month, {_NAME} AS skill, sum(lo) / sum(n) AS avg_min, sum(hi) / sum(n) AS avg_max, CAST(sum(n) AS BIGINT) AS n
+        FROM {_by_skill_id("sum(min) AS lo, sum(max) AS hi, count(*) AS n",
+                           f"{_PAID} JOIN {_DATED} WHERE coalesce(period, 'year') = 'year'", ", month")}
+        JOIN v_skills USING (skill_id) GROUP BY ALL""",
     "monthly_jobs_by_country": f"""
-        SELECT {_MONTH} AS month, coalesce(country, 'Unknown') AS country, count(DISTINCT j.job_id) AS job_count
-        FROM v_jobs j LEFT JOIN v_locations l ON l.job_id = j.job_id WHERE post_date IS NOT NULL GROUP BY 1, 2""",
+        SELECT month, coalesce(country, 'Unknown') AS country, count(DISTINCT job_id) AS job_count
+        FROM (SELECT job_id, {_MONTH} AS month FROM v_jobs WHERE post_date IS NOT NULL) dated
+        LEFT JOIN v_stored_places USING (job_id) GROUP BY ALL""",
 }
 # Percent with two decimals in whole numbers, halves away from zero.
 _GROWTH = """
@@ -271,8 +334,8 @@ _GROWTH = """
                 ELSE CAST(sign(job_count - prev_job_count) AS BIGINT)
                      * ((2 * 10000 * abs(job_count - prev_job_count) + prev_job_count) // (2 * prev_job_count))
                      / 100.0 END AS mom_growth_pct
-    FROM (SELECT *, lag(job_count) OVER (PARTITION BY skill ORDER BY month) AS prev_job_count
-          FROM monthly_skill_counts)"""
+    FROM (SELECT *, CAST(lag(job_count) OVER (PARTITION BY skill ORDER BY month) AS BIGINT) AS prev_job_count
+          FROM (SELECT skill, month, CAST(sum(job_count) AS BIGINT) AS job_count FROM monthly_skill_counts GROUP BY ALL))"""
 
 _LO, _HI = (f"DATE '{d.isoformat()}'" for d in RANGE)
 _IN_RANGE = f"month BETWEEN {_LO} AND {_HI}"
@@ -283,13 +346,12 @@ def _quoted(words: list[str]) -> str:
 
 
 def _mart(name: str) -> str:
-    tables = {"skill_mom_growth": PAY_TABLES}.get(name, PAY_TABLES + PLACE_TABLES)
-    return with_clause(*tables) + _MARTS[name]
+    return with_clause(*PAY_TABLES, *PLACE_TABLES, "v_stored_places") + _MARTS[name]
 
 
 def _on_mart(name: str, select: str) -> str:
     """``select`` over one mart, or over the growth table."""
-    head = with_clause(*PAY_TABLES, *PLACE_TABLES)
+    head = with_clause(*PAY_TABLES, *PLACE_TABLES, "v_stored_places")
     base = "monthly_skill_counts" if name == "growth" else name
     head += f", {base} AS ({_MARTS[base]})"
     if name == "growth":
@@ -303,15 +365,30 @@ _PAY_MEANS = f"""
     WHERE c.min IS NOT NULL AND c.max IS NOT NULL GROUP BY 1"""
 
 _WS = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
-_TOKEN = rf"[{_WS}]*(?:[\p{{L}}\p{{N}}_]+|[^{_WS}\p{{L}}\p{{N}}_])"
-
-_FOUND = ", ".join(f"regexp_extract_all(text, '{p}')" for p in ENTRY_PATTERNS)
-_ENTRIES = f"entries AS (SELECT item_id AS pos, unnest(list_concat({_FOUND})) AS skill FROM benchmark)"
+_W = r"[\p{L}\p{N}_]"
+_JOIN = chr(0xE000), chr(0xE001)
+# Ampersands between words and hyphens beside a digit are marked first (twice: neighbours share a word), and read back after.
+_MARKED = "text"
+for _ in range(2):
+    for _left, _sign, _right in ((_W, "&", _W), (r"\p{N}", "-", _W), (_W, "-", r"\p{N}")):
+        _mark = _JOIN[_sign == "-"]
+        _MARKED = f"regexp_replace({_MARKED}, '({_left}){_sign}({_right})', '\\1{_mark}\\2', 'g')"
+# Initials; words with their marked joins; any other sign.
+_TOKEN = (rf"[{_WS}]*(?:\p{{L}}(?:\.\p{{L}}){{1,10}}(?:\.|{_W}*)|{_W}+(?:[{''.join(_JOIN)}]{_W}+){{0,10}}"
+          rf"|[^{_WS}\p{{L}}\p{{N}}_])")
+
+_ENTRIES = f"""
+    pieces AS (SELECT item_id, regexp_extract_all(text, '{PIECES}') AS p FROM benchmark),
+    near AS (SELECT item_id AS pos, unnest(list_concat(p, list_transform(range(1, len(p) - 1),
+                        lambda i: CASE WHEN p[i + 1] IN (' ', ', ') THEN p[i] || p[i + 1] || p[i + 2] END))) AS skill
+             FROM pieces),
+    entries AS (SELECT * FROM near WHERE regexp_full_match(skill, '\\p{{L}}+(,? \\p{{L}}+)?'))"""
 
 _MATCHES = rf"""
     {_ENTRIES},
     phrases AS (SELECT DISTINCT lower(skill) AS skill_key FROM entries),
-    cut AS (SELECT doc_id AS job_id, regexp_extract_all(text, '{_TOKEN}') AS ts FROM documents),
+    cut AS (SELECT doc_id AS job_id, list_transform(regexp_extract_all({_MARKED}, '{_TOKEN}'),
+                       lambda t: translate(t, '{"".join(_JOIN)}', '&-')) AS ts FROM documents),
     runs AS (SELECT job_id, unnest(ts) AS run FROM cut
              UNION ALL SELECT job_id, unnest(list_transform(range(1, len(ts)), lambda i: ts[i] || ts[i + 1])) FROM cut
              UNION ALL SELECT job_id, unnest(list_transform(range(1, len(ts) - 1),
@@ -395,8 +472,8 @@ _CHECKED = """,
     c_jobs AS (SELECT v_jobs.job_id, salary_raw AS title_raw FROM v_jobs JOIN v_salary_raw USING (job_id)),
     c_skills AS (SELECT skill_id, skill_norm AS skill_raw FROM v_skills),
     c_links AS (SELECT job_id * 2 AS job_id, skill_id + 5 AS skill_id FROM v_links),
-    c_pay AS (SELECT o_custkey AS job_id FROM orders),
-    c_places AS (SELECT job_id + 1000 AS job_id FROM v_locations)
+    c_pay AS (SELECT nullif(o_custkey, 7) AS job_id FROM orders),
+    c_places AS (SELECT CASE WHEN country IS NOT NULL THEN job_id + 1000 END AS job_id FROM v_locations)
 """
 _CHECKED_VIEWS = ("v_jobs", "v_skills", "v_links", "v_locations", "v_salary_raw")
 
@@ -414,6 +491,19 @@ def oracle_sql() -> dict[str, str]:
     sql = {name: _mart(name) for name in _MARTS}
     sql["skill_mom_growth"] = _on_mart("growth", "SELECT * FROM growth")
 
+    for name in ("skill_counts", "monthly_skill_counts", "salary_by_skill", "monthly_salary_by_skill"):
+        sql[f"rollup_{name}"] = sql[name]
+    sql["pairs_blocks"] = with_clause("v_links") + """
+        SELECT one.skill_id AS skill_id_a, other.skill_id AS skill_id_b, count(DISTINCT job_id) AS pair_count
+        FROM v_links one JOIN v_links other USING (job_id) WHERE one.skill_id < other.skill_id GROUP BY ALL"""
+    sql["pairs_wide"] = sql["pairs_blocks"].replace(
+        "GROUP BY ALL", "AND one.skill_id % 5 <> 0 AND other.skill_id % 5 <> 0 GROUP BY ALL")
+    sql["growth_shared_names"] = _on_mart("growth", "SELECT * FROM growth").replace(
+        f"SELECT skill_id, {_NAME} AS skill, month, job_count", "SELECT skill_id, split_part(skill_raw, ' ', -1) AS skill, month, job_count")
+    sql["geocode_salted"] = with_clause("v_locations", "v_places") + """
+        SELECT job_id, p.lat AS place_lat FROM v_locations LEFT JOIN v_places p
+          ON place = concat_ws(', ', nullif(city, ''), nullif(state, ''), nullif(country, ''))"""
+
     # reports
     sql["report_top_skills"] = _on_mart("skill_counts", """
         SELECT skill, job_count, last_seen FROM skill_counts ORDER BY job_count DESC, skill, skill_id LIMIT 20""")
@@ -500,22 +590,31 @@ def oracle_sql() -> dict[str, str]:
         FROM firsts WHERE nth = 1"""
     sql["bridge_insert_ignore"] = with_clause("v_links") + """
         SELECT job_id, skill_id FROM v_links
-        EXCEPT SELECT l_orderkey, skill_id FROM lineitem JOIN part ON p_partkey = l_partkey
-               JOIN v_skills ON skill_raw = p_name WHERE l_returnflag = 'R'"""
+        EXCEPT SELECT l_orderkey, skill_id FROM lineitem JOIN v_part_skills ON p_partkey = l_partkey
+               WHERE l_returnflag = 'R'"""
 
     # keys and merges
     sql["ingest_assign_ids"] = with_clause("v_dates_raw") + """
         SELECT job_id AS source_key, CAST(try_strptime(post_date, '%Y-%m-%d') AS DATE) AS post_date,
                100 + row_number() OVER (ORDER BY job_id) AS job_id FROM v_dates_raw"""
-    sql["upsert_compensation"] = with_clause("v_salary_raw", "v_compensation") + f""", {_PAY},
+    sql["upsert_compensation"] = with_clause("v_salary_raw", "v_stored_pay") + f""", {_PAY},
         updates AS (SELECT job_id, min, max, currency, period, parsed_confidence FROM pay WHERE salary_raw <> '')
         SELECT * FROM updates UNION ALL
-        SELECT * FROM v_compensation WHERE job_id NOT IN (SELECT job_id FROM updates)"""
-    sql["upsert_locations"] = with_clause("v_location_raw", "v_locations") + f""", {_PLACE},
+        SELECT * FROM v_stored_pay WHERE job_id NOT IN (SELECT job_id FROM updates)"""
+    sql["upsert_locations"] = with_clause("v_location_raw", "v_stored_places") + f""", {_PLACE},
         updates AS (SELECT job_id, city, state, country, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon,
                            confidence AS geocode_confidence FROM places WHERE location_raw <> '')
         SELECT * FROM updates UNION ALL
-        SELECT * FROM v_locations WHERE job_id NOT IN (SELECT job_id FROM updates)"""
+        SELECT * FROM v_stored_places WHERE job_id NOT IN (SELECT job_id FROM updates)"""
+    sql["upsert_locations_places"] = with_clause("v_location_raw", "v_stored_places", "v_places_twice") + f""", {_PLACE},
+        once AS (SELECT place, lat, lon FROM v_places_twice
+                 QUALIFY row_number() OVER (PARTITION BY place ORDER BY lat NULLS LAST, lon NULLS LAST) = 1),
+        updates AS (SELECT job_id, city, state, country, lat, lon,
+                           CASE WHEN place IS NULL THEN confidence ELSE 0.7 END AS geocode_confidence
+                    FROM places LEFT JOIN once ON place = concat_ws(', ', nullif(city, ''), nullif(state, ''), nullif(country, ''))
+                    WHERE location_raw <> '')
+        SELECT * FROM updates UNION ALL
+        SELECT * FROM v_stored_places WHERE job_id NOT IN (SELECT job_id FROM updates)"""
     sql["geocode_lookup"] = with_clause("v_locations", "v_places") + """
         SELECT l.job_id, l.city, l.state, l.country, p.lat, p.lon,
                CASE WHEN p.place IS NOT NULL THEN CAST(0.7 AS DOUBLE) END AS geocode_confidence
@@ -528,8 +627,8 @@ def oracle_sql() -> dict[str, str]:
         _duplicates("jobs", "c_jobs", "CAST(job_id AS VARCHAR)", "job_id"),
         _duplicates("skills", "c_skills", "CAST(skill_id AS VARCHAR)", "skill_id"),
         _duplicates("jobs_skills", "c_links", "concat(job_id, ',', skill_id)", "job_id, skill_id"),
-        _duplicates("compensation", "c_pay", "CAST(job_id AS VARCHAR)", "job_id"),
-        _duplicates("locations", "c_places", "CAST(job_id AS VARCHAR)", "job_id"),
+        _duplicates("compensation", "c_pay", "coalesce(CAST(job_id AS VARCHAR), 'NULL')", "job_id"),
+        _duplicates("locations", "c_places", "coalesce(CAST(job_id AS VARCHAR), 'NULL')", "job_id"),
     ])
     sql["fk_orphans"] = checked + " UNION ALL ".join([
         _orphans("jobs_skills", "c_links", "job_id", "c_jobs", "job_id"),
@@ -537,7 +636,10 @@ def oracle_sql() -> dict[str, str]:
         _orphans("compensation", "c_pay", "job_id", "c_jobs", "job_id"),
         _orphans("locations", "c_places", "job_id", "c_jobs", "job_id"),
     ])
-    sql["not_null_violations"] = checked + """
-        SELECT 'jobs' AS "table", 'title_raw' AS "column", count(*) AS n FROM c_jobs WHERE title_raw IS NULL
-        UNION ALL SELECT 'skills', 'skill_raw', count(*) FROM c_skills WHERE skill_raw IS NULL"""
+    required = {"jobs": ["job_id", "title_raw"], "skills": ["skill_id", "skill_raw"], "links": ["job_id", "skill_id"],
+                "pay": ["job_id"], "places": ["job_id"]}
+    tables = {"links": "jobs_skills", "pay": "compensation", "places": "locations"}
+    sql["not_null_violations"] = checked + "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{tables.get(t, t)}' AS \"table\", '{c}' AS \"column\", count(*) AS n FROM c_{t} WHERE {c} IS NULL"
+        for t, cols in required.items() for c in cols) + ") WHERE n > 0"
     return sql | CORPUS_SQL

@@ -2,9 +2,10 @@
 
 An order is a posting, a part name is a skill, a line item links them, the
 customer's nation is the country.  Gaps, NULLs and odd text come from attribute
-values, and every table covers all rows of its sources.  Each text is plain SQL
-that Spark and DuckDB both run; ``{name}`` stands for an input table or for
-another derived table.
+values.  Every table covers all rows of its sources, but for ``v_stored_pay`` and
+``v_stored_places``, where absent rows are the point (merges, postings without a place).
+Each text is plain SQL that Spark and DuckDB both run; ``{name}`` stands for an input
+table or for another derived table.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +22,11 @@ SQL = {
                     WHEN p_name LIKE '%ring' THEN upper(p_name)
                     ELSE p_name END AS skill_norm
         FROM {part} GROUP BY p_name""",
+    # Parts have few names: named once here, facts join on the part key.
+    "v_part_skills": "SELECT p_partkey, skill_id FROM {part} JOIN {v_skills} ON skill_raw = p_name",
     "v_links": """
-        SELECT l_orderkey AS job_id, named.skill_id
-        FROM {lineitem} AS l
-        JOIN (SELECT p_partkey, skill_id FROM {part} JOIN {v_skills} ON skill_raw = p_name) AS named
-          ON p_partkey = l_partkey""",
+        SELECT l_orderkey AS job_id, skill_id FROM {lineitem} JOIN {v_part_skills} ON p_partkey = l_partkey""",
     "v_jobs_skills": "SELECT DISTINCT job_id, skill_id FROM {v_links}",
-    # Urgent orders have no stored pay row; the others may lack a lower bound.
     "v_compensation": """
         SELECT o_orderkey AS job_id,
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL
@@ -36,8 +35,11 @@ SQL = {
                CASE WHEN o_orderpriority = '2-HIGH' THEN 'USD' ELSE NULL END AS currency,
                CASE o_orderstatus WHEN 'F' THEN 'year' WHEN 'O' THEN 'hour' ELSE NULL END AS period,
                CAST(0.8 AS DOUBLE) AS parsed_confidence
-        FROM {orders} WHERE o_orderpriority <> '1-URGENT'""",
-    # Customers of one segment have no stored place; the others may lack parts of it.
+        FROM {orders}""",
+    # Urgent orders have no stored pay row.
+    "v_stored_pay": """
+        SELECT * FROM {v_compensation}
+        WHERE job_id IN (SELECT o_orderkey FROM {orders} WHERE o_orderpriority <> '1-URGENT')""",
     "v_locations": """
         SELECT o_orderkey AS job_id,
                CASE WHEN c_mktsegment = 'BUILDING' THEN NULL
@@ -47,8 +49,20 @@ SQL = {
                CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(n_nationkey * 1.5 AS DOUBLE) END AS lat,
                CAST(n_nationkey * -2.5 AS DOUBLE) AS lon,
                CAST(0.6 AS DOUBLE) AS geocode_confidence
-        FROM {orders} JOIN {customer} ON c_custkey = o_custkey JOIN {nation} ON n_nationkey = c_nationkey
-        WHERE c_mktsegment <> 'HOUSEHOLD'""",
+        FROM {orders} JOIN {customer} ON c_custkey = o_custkey JOIN {nation} ON n_nationkey = c_nationkey""",
+    # Customers of one segment have no stored place.
+    "v_stored_places": """
+        SELECT * FROM {v_locations}
+        WHERE job_id IN (SELECT o_orderkey FROM {orders} JOIN {customer} ON c_custkey = o_custkey
+                         WHERE c_mktsegment <> 'HOUSEHOLD')""",
+    # A place table of the parsed location texts; some places stand twice with other coordinates.
+    "v_places_twice": """
+        SELECT DISTINCT concat('New City ', CAST(c_custkey AS STRING), ', Ny, Nation_', CAST(n_nationkey AS STRING)) AS place,
+               CAST(n_nationkey * 2.5 AS DOUBLE) AS lat, c_acctbal AS lon
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey
+        UNION ALL SELECT concat('New City ', CAST(c_custkey AS STRING), ', Ny, Nation_', CAST(n_nationkey AS STRING)),
+               CASE WHEN c_custkey % 2 = 0 THEN CAST(n_nationkey * 2.5 + 1 AS DOUBLE) END, c_acctbal - 5
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_custkey % 3 <> 0""",
     "v_places": """
         SELECT concat('City ', CAST(c_custkey AS STRING), ', ', c_mktsegment, ', ', n_name) AS place,
                CAST(n_nationkey * 3.5 AS DOUBLE) AS lat, c_acctbal AS lon

@@ -8,10 +8,15 @@ from pyspark.sql import Column, functions as F
 # Unicode white space as the inside of a character class.
 WS = r"\t-\r\x1c-\x1f\x85\p{Z}"
 
-# A token is a run of letters, digits and underscores, or one other visible character.
-BARE_TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^{WS}\p{{L}}\p{{N}}_]"
+# A word is a run of letters, digits and underscores.  Words are one token where they are joined by ``&``
+# (``R&D``), by a hyphen beside a digit (``S3-compatible``), or by dots after single letters (``R.N.``, ``H.R``); a
+# token has up to ten such joins.  Every other visible character is a token of its own.
+_WORD = r"[\p{L}\p{N}_]"
+_DOTTED = rf"\p{{L}}(?:\.\p{{L}}){{1,10}}(?:\.|{_WORD}*)"
+_JOINED = rf"{_WORD}+(?:(?:&|(?<=\p{{N}})-|-(?=\p{{N}})){_WORD}+){{0,10}}"
+BARE_TOKEN = rf"(?:{_DOTTED}|{_JOINED}|[^{WS}\p{{L}}\p{{N}}_])"
 # The same with the white space in front of it.
-TOKEN = rf"[{WS}]*(?:{BARE_TOKEN})"
+TOKEN = rf"[{WS}]*{BARE_TOKEN}"
 
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
