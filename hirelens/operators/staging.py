@@ -4,7 +4,6 @@ A staged table survives the loss of executors and is read back column by
 column; nothing is kept in a machine-local folder on a cluster.
 """
 
-import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -23,34 +22,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, deleted with the open scope or else when the program ends."""
+    """A new folder in the shared place, deleted with the open scope or else when the program ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    fs, folder = _hadoop(spark, path)
+    fs.mkdirs(folder)
     scope = _scope.get()
     if scope is not None:
         scope.append(path)
     else:
-        atexit.register(_delete_at_exit, spark, path)
+        fs.deleteOnExit(folder)
     return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = f"{scratch_path(df.sparkSession, label)}/rows"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    target = sc._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:  # None once the session was stopped
-        delete(spark, path)
+    fs, folder = _hadoop(spark, path)
+    fs.delete(folder, True)
 
 
 @contextmanager

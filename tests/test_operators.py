@@ -1,3 +1,4 @@
+import pytest
 from fixtures import as_set, rows
 from pyspark.sql import functions as F
 
@@ -46,6 +47,39 @@ def test_staged_tables_are_dropped_at_the_end_of_their_scope(spark):
     assert not any(f.exists() for f in inner) and all(f.exists() for f in outer)
 
 
+def test_without_a_named_folder_the_warehouse_is_used():
+    from types import SimpleNamespace
+
+    settings = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse/"}
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    assert staging.checkpoint_dir(session) == "hdfs://shared/warehouse/_staged"
+
+
+def test_nothing_staged_is_left_when_the_program_ends(tmp_path):
+    """Also after the session was stopped."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    folder = tmp_path / "named"
+    program = f"""
+from pyspark.sql import SparkSession
+from hirelens.operators.staging import stage
+b = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+spark = b.config("spark.checkpoint.dir", {str(folder)!r}).getOrCreate()
+df = stage(spark.range(3), "numbers")
+assert df.count() == 3
+import glob
+print(len(glob.glob({str(folder)!r} + "/**/numbers-*", recursive=True)))
+spark.stop()
+"""
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", program], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split()[-1:] == ["1"], (done.stdout, done.stderr[-2000:])
+    assert not [p for p in folder.rglob("*") if "numbers" in p.name]
+
+
 def test_scopes_of_two_threads_do_not_meet(spark):
     import threading
     from pathlib import Path
