@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelens.llm import decontaminate, mixing, packing, quality, simhash
 from hirelens.llm.common import read, stage
+from hirelens.llm.shipping import shipped
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +40,11 @@ def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality classifier", quality_classifier),
-    ("SimHash near-dedup", simhash_near_dedup),
-    ("benchmark decontamination", benchmark_decontamination),
-    ("mixing sources to target weights", source_mixing),
-    ("token-ID / binary output", token_packing),
+    ("quality classifier", shipped(quality_classifier)),
+    ("SimHash near-dedup", shipped(simhash_near_dedup)),
+    ("benchmark decontamination", shipped(benchmark_decontamination)),
+    ("mixing sources to target weights", shipped(source_mixing)),
+    ("token-ID / binary output", shipped(token_packing)),
 ]
 
 # Nearest-neighbour scores, XXH64 fingerprints, alignments and tokens are beyond SQL.

@@ -11,6 +11,7 @@ from hirelens.llm.line_dedup import without_repeated_lines
 from hirelens.llm.mixing import mixed_counts
 from hirelens.llm.packing import document_digests, packed_sequences, read_matrices, write_matrices
 from hirelens.llm.quality import quality_scores
+from hirelens.llm.shipping import shipped
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
 from hirelens.llm.warc import read_archives, write_archives
@@ -69,16 +70,19 @@ def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_token_counts": op1_token_counts,
-    "op2_quality_scores": op2_quality_scores,
-    "op3_line_dedup": op3_line_dedup,
-    "op4_embedding_groups": op4_embedding_groups,
-    "op5_packed_documents": op5_packed_documents,
-    "op6_chat_perspectives": op6_chat_perspectives,
-    "op7_benchmark_leaks": op7_benchmark_leaks,
-    "op8_simhash_groups": op8_simhash_groups,
-    "op9_mixed_counts": op9_mixed_counts,
-    "op10_warc_records": op10_warc_records,
+    f.__name__: shipped(f)
+    for f in (
+        op1_token_counts,
+        op2_quality_scores,
+        op3_line_dedup,
+        op4_embedding_groups,
+        op5_packed_documents,
+        op6_chat_perspectives,
+        op7_benchmark_leaks,
+        op8_simhash_groups,
+        op9_mixed_counts,
+        op10_warc_records,
+    )
 }
 
 # A run of lines is told by its text; all but the first place of a run go.
