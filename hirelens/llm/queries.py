@@ -18,14 +18,17 @@ from hirelens.llm.warc import read_archives, write_archives
 from hirelens.operators.staging import scratch_path
 
 
+@shipped
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@shipped
 def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@shipped
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = without_repeated_lines(read(spark, sf_dir, "documents"), min_words=10)
     return made.select("doc_id", F.size("deleted_lines").alias("n_deleted"),
@@ -33,10 +36,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+@shipped
 def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+@shipped
 def op5_packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the matrix files hold of every document, read back from them."""
     packed = packed_sequences(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -45,24 +50,29 @@ def op5_packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digests(read_matrices(spark, folder))
 
 
+@shipped
 def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = perspectives(read(spark, sf_dir, "conversations"))
     spans = F.transform("loss_spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
     return made.withColumn("loss_spans", F.array_join(spans, ","))
 
 
+@shipped
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents"), shingle_words=4, distance=4)
 
 
+@shipped
 def op9_mixed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_counts(read(spark, sf_dir, "documents"))
 
 
+@shipped
 def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "archives")
     write_archives(read(spark, sf_dir, "pages"), folder, min_bytes=0)
@@ -70,7 +80,7 @@ def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: shipped(f)
+    f.__name__: f
     for f in (
         op1_token_counts,
         op2_quality_scores,
