@@ -36,8 +36,8 @@ def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str, label_col: st
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     """Per vector length, the orthogonal axes by falling variance.
 
-    Each task sums its second moments; one square matrix per length and task is added up on the driver, in
-    a tree of partial sums, so what meets there is bounded by the dimensions.
+    Each task sums its second moments, the sums of all tasks are added up cell by cell, and one square matrix
+    per length comes to the driver: what meets there is bounded by the dimensions, not by the vectors.
     """
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

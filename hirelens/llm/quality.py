@@ -6,8 +6,8 @@ singular value decomposition); the labelled vectors are broadcast, every documen
 all of them by blocked cosine products, and its nearest neighbours vote, weighted by similarity.
 """
 
-from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -173,7 +173,7 @@ def scores(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
                 made.append(vote(shared.value.project(step), shared.value))
             yield pa.array(np.concatenate(made), pa.float64())
 
-    score = F.arrow_udf(voted, "double", functionType=F.ArrowUDFType.SCALAR_ITER)
+    score = F.arrow_udf(voted, "double")
     scored = docs.select(*kept).withColumn(score_col, score(docs[text_col]))
     return scored.withColumn(label_col, (F.col(score_col) >= threshold).cast("int"))
 
