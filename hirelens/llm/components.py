@@ -30,11 +30,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _large_star(pairs: DataFrame) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    return both.join(_apart(least.select("u", F.least("u", "m").alias("m"))), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    moved = pairs.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = pairs.join(_apart(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
+
+
+def _apart(least: DataFrame) -> DataFrame:
+    """One row per node, shuffled once more for the join: only then can Spark split the edges of a hot node."""
+    return least.withColumn("u", F.bitwise_not(F.bitwise_not("u")))
