@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import BARE_TOKEN, TOKEN, skill_name, squash_ws, strip
 from .ids import dense_ids
-from .lookup import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
+from .lookup import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_join
 from .staging import stage
 from .upsert import absent_rows
 
@@ -13,6 +13,8 @@ EXTRACTOR_VERSION = "rule_v1"
 
 # Up to this many different first tokens, runs are filtered by them before they are built.
 PREFILTER_TOKENS = 1000
+# Phrases of more tokens are found by their first so many tokens and then compared as a whole.
+LONG_TOKENS = 8
 # Up to this many phrases beyond the broadcast bound, runs are filtered by broadcast hashes before they are shuffled.
 HASHED_PHRASES = 4_000_000
 
@@ -71,6 +73,24 @@ def _runs(texts: DataFrame, id_col: str, lengths: list[int], firsts: list[str] |
     return cut.select(id_col, F.explode(runs).alias("surface"))
 
 
+def _long_matches(texts: DataFrame, phrases: DataFrame, id_col: str) -> DataFrame:
+    """``(id, surface, skill_key, _name)`` for phrases of more than ``LONG_TOKENS`` tokens.
+
+    Runs of ``LONG_TOKENS`` tokens meet the beginnings of the phrases; only where one fits is the rest compared, so
+    the length of the longest phrase adds nothing to the work on other texts.
+    """
+    tokens = F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0)).alias("_tokens")
+    bare = F.regexp_extract_all("_text", F.lit(BARE_TOKEN), F.lit(0)).alias("_bare")
+    cut = texts.select(id_col, tokens, bare).filter(F.size("_tokens") > LONG_TOKENS)
+    starts = F.transform("_bare", lambda first, i: F.lower(F.concat(first, F.array_join(F.slice("_tokens", i + 2, LONG_TOKENS - 1), ""))))
+    begun = cut.select(id_col, "_tokens", F.explode(F.transform(starts, lambda run, i: F.struct(run.alias("run"), i.alias("i")))).alias("s"))
+    begins = F.lower(F.array_join(F.slice(F.regexp_extract_all("skill", F.lit(TOKEN), F.lit(0)), 1, LONG_TOKENS), ""))
+    small = phrases.select("skill_key", "_name", "n_tokens", begins.alias("_begins"))
+    met = begun.join(F.broadcast(small) if fits_broadcast(small) else small, F.col("s.run") == F.col("_begins"))
+    whole = strip(F.array_join(F.slice("_tokens", F.col("s.i") + 1, F.col("n_tokens").cast("int")), ""))
+    return met.select(id_col, whole.alias("surface"), "skill_key", "_name").filter(F.lower("surface") == F.col("skill_key")).distinct()
+
+
 def extract_skills(
     df: DataFrame,
     gazetteer: DataFrame,
@@ -90,7 +110,7 @@ def extract_skills(
     """
     # Stored under one name with single blanks; differs from the key only for entries with odd white space.
     phrases = gazetteer.select("skill_key", "skill", "n_tokens", skill_key(F.col("skill")).alias("_name"))
-    rows, size, lengths, openings, odd = phrases.agg(
+    rows, size, every_length, openings, odd = phrases.agg(
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.octet_length("skill_key") + 32), F.lit(0)),
         F.sort_array(F.collect_set("n_tokens")),
@@ -104,6 +124,7 @@ def extract_skills(
         texts = texts.repartition(spread)
     # The estimate only saves listing them when there are far too many.
     firsts = _first_tokens(gazetteer) if openings <= 2 * PREFILTER_TOKENS else None
+    lengths = [n for n in every_length if n <= LONG_TOKENS]
     # Distinct inside one text, so no shuffle is needed to make the result distinct.
     surfaces = _runs(texts, id_col, lengths or [1], firsts)
     # Never NULL, so that the join adds no filter that would lower every run twice.
@@ -113,6 +134,8 @@ def extract_skills(
         hashes = phrases.select(F.xxhash64("skill_key").alias("_hash")).distinct()
         keyed = keyed.join(F.broadcast(hashes), F.xxhash64("skill_key") == F.col("_hash"), "left_semi")
     found = lookup_join(keyed, phrases.select("skill_key", "_name"), "skill_key", spread_by=[id_col], small=small)
+    if len(lengths) < len(every_length):
+        found = found.unionByName(_long_matches(texts, phrases.filter(F.col("n_tokens") > LONG_TOKENS), id_col))
     if not odd:
         return found.select(id_col, "surface", "skill_key")
     # Two spellings in one text may differ in white space only.

@@ -131,6 +131,21 @@ def test_equals_naive_scan_and_both_joins_agree(spark, monkeypatch):
     assert as_set(salted) == expected
 
 
+@pytest.mark.parametrize("long_tokens", [1, 2])
+def test_long_phrases_are_found_by_their_beginning(spark, monkeypatch, long_tokens):
+    items, phrases = random_case(12)
+    monkeypatch.setattr(skills, "LONG_TOKENS", long_tokens)
+    found = extract_skills(texts(spark, items), gazetteer(spark, phrases))
+    assert as_set(found) == naive_scan(items, phrases)
+
+
+def test_one_very_long_entry_adds_no_column_per_token(spark):
+    long = " ".join(f"word{i}" for i in range(300))
+    found = extract_skills(texts(spark, [(1, f"Go, {long.upper()} and Go"), (2, long[:-1]), (3, None)]), gazetteer(spark, ["Go", long]))
+    assert as_set(found) == {(1, "Go", "go"), (1, long.upper(), long)}
+    assert "_run9" not in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_entry_with_odd_white_space_is_stored_under_its_plain_name(spark):
     found = extract_skills(texts(spark, [(1, "Delta  Lake, delta lake")]), gazetteer(spark, ["delta  lake"]))
     assert as_set(found) == {(1, "Delta Lake", "delta lake")}
