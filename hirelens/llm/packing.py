@@ -125,7 +125,8 @@ def packed_sequences(docs: DataFrame, tokenizer_path: str, sequence_tokens: int
     ``ids`` holds ``sequence_tokens`` little-endian 16-bit ids.  A document is its tokens and an end id;
     documents longer than a sequence are cut into pieces numbered from 0, the last one marked.  A null or empty text
     is its end id alone; null ids, repeated rows and other columns change nothing; an empty table
-    gives an empty result.  Shards follow the input partitions, so equal partitions give equal shards.
+    gives an empty result.  Shards follow the input partitions, so equal partitions give equal shards: pass a stored
+    table, whose partitions keep their order when a task runs twice.
     """
     dtype = np.dtype("<u2")
 

@@ -142,7 +142,11 @@ def marked_pages(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     keyed = rows.withColumn("key", key)
     groups = keyed.filter("key IS NOT NULL").groupBy("key").agg(F.max("id").alias("response"), F.count(F.lit(1)).alias("n"))
     repeated = stage(groups.filter("n > 1 AND response IS NOT NULL").select("key", "response"), "repeated_payloads")
-    joined = keyed.join(F.broadcast(repeated) if fits_broadcast(repeated) else repeated, "key", "left")
+    if fits_broadcast(repeated):
+        joined = keyed.join(F.broadcast(repeated), "key", "left")
+    else:
+        # In a fixed order, so that a task that runs twice writes the same files.
+        joined = keyed.join(repeated, "key", "left").sortWithinPartitions("key", "id", "url")
     refers = F.when(~F.col("id").eqNullSafe(F.col("response")), F.col("response"))
     return joined.select("id", "url", "payload", refers.alias("refers_to"))
 

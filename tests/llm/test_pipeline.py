@@ -4,10 +4,10 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+
 
 import corpus_pipeline
-from hirelens.llm import decontaminate, mixing, packing, quality
+from hirelens.llm import decontaminate, packing, quality
 from hirelens.llm.common import read
 from test_decontaminate import plain_leaks
 from test_mixing import plain_targets
