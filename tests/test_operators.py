@@ -1,4 +1,3 @@
-import pytest
 from fixtures import as_set, rows
 from pyspark.sql import functions as F
 
