@@ -2,6 +2,9 @@
 
 Every stage takes all rows that its predecessor kept and is written as Parquet before the next one
 reads it, so lost executors cost one stage at most.
+
+In every stage nulls may stand in any column, texts may be empty or very long, rows may repeat, columns beside those of
+``documents`` are carried along whatever their names, and an empty table gives an empty result.
 """
 
 import public_tokenizers
@@ -13,29 +16,48 @@ from hirelens.llm.shipping import shipped
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts (score 0.7 or more).  Null and empty texts are rejected."""
+    """Documents that the classifier accepts (score 0.7 or more).
+
+    Null and empty texts score 0 and are rejected; equal rows are all kept or all rejected; ids and labels that are null
+    are not learnt from.  Without any labelled text all scores are 0.5, so nothing is kept.
+    """
     model = quality.fit(docs, read(spark, sf_dir, "labels"), learn_from=~quality.in_hold_out())
     scored = quality.scores(docs, model, threshold=0.7, score_col="_score", label_col="_accepted")
     return scored.filter(F.col("_accepted") == 1).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
+    """The document with the smallest id of each group of near copies.
+
+    One row stays of rows with equal ids; rows without an id cannot be compared by it and stay.  Null and blank
+    texts are copies of one another.
+    """
     return simhash.keep_first(docs, simhash.simhash_groups(docs, shingle_words=4, distance=4))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that copy no test item."""
+    """Documents that copy no test item.
+
+    A document whose id has a copying row goes with all its rows; rows without an id and null texts stay; null
+    items are ignored, and without items all documents stay.
+    """
     return decontaminate.without_leaks(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: the stretches of each document that it takes, once per pass; ids repeat as passes do."""
+    """The mix: the stretches of each document that it takes, once per pass; ids repeat as passes do.
+
+    A null source is a source, the last; null and blank texts hold no words and are not taken; rows with equal or
+    null ids are documents of their own.
+    """
     return mixing.mixed_documents(docs)
 
 
 def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed sequences of all stretches, an id matrix row each."""
+    """Packed sequences of all stretches, an id matrix row each.
+
+    Null ids and repeated rows are segments like others; a null or empty text is its end id alone.
+    """
     return packing.packed_sequences(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
