@@ -19,9 +19,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier accepts (score 0.7 or more).
 
     Null and empty texts score 0 and are rejected; equal rows are all kept or all rejected; ids and labels that are null
-    are not learnt from.  Without any labelled text all scores are 0.5, so nothing is kept.
+    are not learnt from.  Without any labelled text nothing can be judged, and all documents stay.
     """
     model = quality.fit(docs, read(spark, sf_dir, "labels"), learn_from=~quality.in_hold_out())
+    if model is None:
+        return docs
     scored = quality.scores(docs, model, threshold=0.7, score_col="_score", label_col="_accepted")
     return scored.filter(F.col("_accepted") == 1).select(*docs.columns)
 

@@ -100,6 +100,12 @@ def test_run_packs_the_same(spark, stages):
     assert run == cached
 
 
+def test_without_labels_all_documents_stay(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = read(spark, SF, "documents")
+    assert corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_odd_documents(spark, tmp_path):
     """Nulls in every column, empty, long and repeated rows, clashing columns, empty tables."""
     good = "Some plain words of a text, and then more of them. They go on and on. "
