@@ -31,10 +31,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies.
 
-    One row stays of rows with equal ids; rows without an id cannot be compared by it and stay.  Null and blank
-    texts are copies of one another.
+    One row stays of rows with equal ids in a group; rows with equal ids and unlike texts are of different groups.  Rows
+    without an id cannot be compared by it and stay.  Null and blank texts are copies of one another.
     """
-    return simhash.keep_first(docs, simhash.simhash_groups(docs, shingle_words=4, distance=4))
+    groups = simhash.simhash_groups(docs, shingle_words=4, distance=4, first_col="first")
+    return simhash.keep_first(docs, groups, shingle_words=4, first_col="first")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,9 +10,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelens.llm.common import byte_steps, stage
+from hirelens.llm.common import byte_steps, stage, table_join
 from hirelens.llm.components import components
 from hirelens.operators.lookup import fits_broadcast
 
@@ -221,41 +221,84 @@ def _tiles(keyed: DataFrame, hot: DataFrame, widths: dict[int, int], tile: int)
 
 
 def simhash_groups(docs: DataFrame, shingle_words: int = 4, distance: int = 4, id_col: str = "doc_id",
-                   text_col: str = "text", tile: int = TILE) -> DataFrame:
+                   text_col: str = "text", tile: int = TILE, first_col: str | None = None) -> DataFrame:
     """``(id, fingerprint, component_id)`` of every row of ``docs``.
 
     ``component_id`` is the smallest id that can be reached over links of at most ``distance`` bits.  A
     null or blank text has fingerprint zero and is linked like any other; repeated rows come back as
     often as they are given; a row with a null id joins nothing (null component).  Other columns
     are ignored, an empty table gives an empty result.
+
+    Texts that share nothing but an id are not linked; their components may then have the same smallest id.  With
+    ``first_col`` a column tells whether the row has the smallest id and fingerprint of its component.
     """
     fps = stage(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    # Equal fingerprints are one node, named by its smallest id.
+    # Equal fingerprints are one node, named by its smallest id, or by itself where an id is the smallest of several.
     distinct = stage(fps.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id")), "distinct_fps")
-    roots = components(links(distinct, distance, tile))
-    named = distinct.join(roots, distinct["id"] == roots["node"], "left").select(
-        "fp", F.coalesce("root", "id").alias("component_id")
-    )
+    if distinct.groupBy("id").count().filter("count > 1").isEmpty():
+        roots = components(links(distinct, distance, tile))
+        named = distinct.join(roots, distinct["id"] == roots["node"], "left").select(
+            "fp", F.coalesce("root", "id").alias("component_id"), F.col("fp").alias("first_fp")
+        )
+    else:
+        roots = components(links(distinct.select(F.col("fp").alias("id"), "fp"), distance, tile))
+        rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+            "fp", "id", F.coalesce("root", "fp").alias("root")
+        )
+        rooted = stage(rooted, "rooted_fps")
+        firsts = stage(rooted.groupBy("root").agg(F.min(F.struct("id", "fp")).alias("first")), "first_fps")
+        named = table_join(rooted.select("fp", "root"), firsts, ["root"]).select(
+            "fp", F.col("first.id").alias("component_id"), F.col("first.fp").alias("first_fp")
+        )
     component = F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")
+    first = (F.col("id") == F.col("component_id")) & (F.col("fp") == F.col("first_fp"))
     return fps.join(named, "fp", "left").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), component
+        F.col("id").alias(id_col), _hex(F.col("fp")).alias("fingerprint"), component,
+        *([first.alias(first_col)] if first_col else []),
     )
 
 
-def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, one row per id; rows without an id stay.
+def _hex(fp: Column) -> Column:
+    return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def _fingerprint_of(text: Column, shingle_words: int) -> Column:
+    def hashed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            made = [fingerprint(t, shingle_words) for t in texts.cast(pa.binary()).to_pylist()]
+            yield pa.array(np.array(made, np.uint64).view(np.int64))
 
-    The ids to drop are broadcast if they fit, otherwise both sides meet by a shuffle.  Repeated ids
-    are counted first; only their rows are brought together.
+    return _hex(F.arrow_udf(hashed, "bigint")(text))
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle_words: int = 4, first_col: str | None = None) -> DataFrame:
+    """One row of ``docs`` for every group, one with the smallest id and fingerprint; rows without an id stay.
+
+    ``first_col`` names the column of ``groups`` that tells these rows; without it they are those whose id is that of
+    the group.  The ids to drop are broadcast if they fit, otherwise both sides meet by a shuffle.  Repeated ids are
+    counted first; only their rows are brought together.  Rows of an id with several fingerprints are told apart
+    by the fingerprint (of ``shingle_words``), so one may stay for each.
     """
-    dropped = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    dropped = stage(dropped, "dropped_ids")
-    kept = docs.join(F.broadcast(dropped) if fits_broadcast(dropped) else dropped, id_col, "left_anti")
-    repeated = groups.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count().filter("count > 1")
-    repeated = stage(repeated.select(id_col), "repeated_ids")
+    first = F.col(first_col) if first_col else F.col(id_col) == F.col("component_id")
+    marked = groups.filter(F.col(id_col).isNotNull()).select(F.col(id_col), "fingerprint", first.alias("first"))
+    of_id = marked.groupBy(id_col).agg(
+        F.count(F.lit(1)).alias("n"), (F.min("fingerprint") < F.max("fingerprint")).alias("mixed"))
+    repeated = stage(of_id.filter("n > 1").select(id_col, "mixed"), "repeated_ids")
+    dropped = stage(marked.filter("NOT first").select(id_col).distinct(), "dropped_ids")
     if repeated.isEmpty():
+        return table_join(docs, dropped, [id_col], "left_anti")
+    alike = stage(repeated.filter("NOT mixed").select(id_col), "alike_ids")
+    mixed = stage(repeated.filter("mixed").select(id_col), "mixed_ids")
+    rows = table_join(docs, mixed, [id_col], "left_anti")
+    kept = table_join(rows, dropped, [id_col], "left_anti")
+    once = table_join(kept, alike, [id_col], "left_semi").dropDuplicates([id_col]).select(*docs.columns)
+    kept = table_join(kept, alike, [id_col], "left_anti").unionByName(once)
+    if mixed.isEmpty():
         return kept
-    again = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
-    return kept.join(again, id_col, "left_anti").unionByName(
-        kept.join(again, id_col, "left_semi").dropDuplicates([id_col]).select(*kept.columns)
-    )
+    firsts = table_join(marked.filter("first"), mixed, [id_col], "left_semi")
+    firsts = stage(firsts.select(id_col, F.col("fingerprint").alias("_fingerprint")).distinct(), "mixed_firsts")
+    own = table_join(docs, mixed, [id_col], "left_semi")
+    own = own.withColumn("_fingerprint", _fingerprint_of(own[text_col], shingle_words))
+    own = table_join(own, firsts, [id_col, "_fingerprint"], "left_semi").dropDuplicates([id_col, "_fingerprint"])
+    return kept.unionByName(own.select(*docs.columns))

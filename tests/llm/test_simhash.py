@@ -138,6 +138,21 @@ def test_odd_rows(spark):
     assert empty.columns == ["doc_id", "fingerprint", "component_id"] and empty.count() == 0
 
 
+def test_repeated_ids_of_unlike_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (7, a), (7, b), (7, b), (8, b), (5, c), (5, b + " end"), (9, c), (9, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for given in (docs, docs.filter("doc_id > 5"), docs.filter("doc_id <> 5")):
+        groups = simhash.simhash_groups(given, first_col="first").collect()
+        texts = [r.text for r in given.collect()]
+        groups = spark.createDataFrame(groups, "doc_id bigint, fingerprint string, component_id bigint, first boolean")
+        kept = simhash.keep_first(given, groups, first_col="first").collect()
+        # One text of each group of near copies stays; a, b, c and the blank text are unlike.
+        kinds = lambda found: sorted({(t or " ")[0] for t in found})
+        assert kinds(r.text for r in kept) == kinds(texts) and len(kept) == len(kinds(texts))
+    assert simhash.simhash_groups(docs.filter("doc_id = 7")).select("component_id").distinct().count() == 1
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = pd.read_parquet(f"{sf}/documents.parquet")
