@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelens.llm.common import byte_steps
+from hirelens.llm.common import byte_steps, stage, table_join
 
 # ---- terms ----
 
@@ -82,11 +82,15 @@ class Model:
 
 def _sample(docs: DataFrame, labels: DataFrame, learn_from: Column, max_labelled: int, id_col: str, text_col: str,
             label_col: str) -> list:
-    """At most ``max_labelled`` labelled texts, the first by a hash of the id: the same rows in every run."""
+    """At most ``max_labelled`` labelled texts, the first by a hash of the id: the same rows in every run.
+
+    Only labels of ids that have a text count towards the bound.
+    """
     known = labels.filter(learn_from).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
     known = known.filter("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.avg("label").alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("text IS NOT NULL")
+    known = table_join(texts.select("id"), stage(known, "labels"), ["id"]).dropDuplicates(["id"])
+    known = known.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     found = texts.join(F.broadcast(known), "id")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,6 +75,12 @@ def test_bounded_sample_and_same_scores_again(spark):
     assert first == second
 
 
+def test_labels_without_a_text_do_not_use_up_the_bound(spark):
+    docs = table(spark, [(i, GOOD) for i in range(10)] + [(i, None) for i in range(10, 500)])
+    model = quality.fit(docs, labelled(spark, [(i, i % 2) for i in range(2000)]), max_labelled=8)
+    assert model is not None and len(model.labels) == 8
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     known = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
