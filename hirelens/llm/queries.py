@@ -3,6 +3,8 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hirelens.llm.bulk_packing import best_fit_packed, encoded_pieces
+from hirelens.llm.centroids import cluster_table, cluster_vectors
 from hirelens.llm.chat_perspective import perspectives
 from hirelens.llm.common import read
 from hirelens.llm.decontaminate import leaks
@@ -11,6 +13,7 @@ from hirelens.llm.line_dedup import without_repeated_lines
 from hirelens.llm.mixing import mixed_counts
 from hirelens.llm.packing import document_digests, packed_sequences, read_matrices, write_matrices
 from hirelens.llm.quality import quality_scores
+from hirelens.llm.ranked_search import ranked_search
 from hirelens.llm.shipping import shipped
 from hirelens.llm.simhash import simhash_groups
 from hirelens.llm.token_counts import token_counts
@@ -79,6 +82,24 @@ def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder, payloads=False).drop("url", "payload")
 
 
+@shipped
+def op11_ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=10)
+
+
+@shipped
+def op12_best_fit_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece stands; the checksum is taken of its ids, which then need not travel."""
+    pieces = encoded_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096)
+    return best_fit_packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=4096)
+
+
+def op13_vector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = cluster_table(cluster_vectors(read(spark, sf_dir, "embeddings"), k=16, rounds=3))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return made.withColumn("centroid_sha256", digest).drop("centroid")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,6 +113,9 @@ QUERIES = {
         op8_simhash_groups,
         op9_mixed_counts,
         op10_warc_records,
+        op11_ranked_documents,
+        op12_best_fit_sequences,
+        op13_vector_clusters,
     )
 }
 
@@ -160,8 +184,53 @@ _OP6 = """
            CAST(sum(length(piece) - length(head) - 1) FILTER (own) AS INTEGER) AS n_loss_chars
     FROM placed GROUP BY 1, 2"""
 
+_OP11 = r"""
+    WITH cut AS (SELECT row_number() OVER () AS r, doc_id,
+                        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+    held AS (SELECT r, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM cut WHERE len(ts) > 0),
+    whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM held),
+    asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    counted AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM held)
+                WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weighed AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+                FROM counted, whole GROUP BY term, n_docs),
+    scored AS (SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+               FROM asked JOIN counted USING (term) JOIN weighed USING (term) JOIN held USING (r), whole GROUP BY ALL),
+    ranked AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+               FROM scored JOIN held USING (r) WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+def _op13(rounds: int) -> str:
+    """Rounds one after another; sums of a component are floored after division, also below zero."""
+    nearest = """(SELECT r, min({'d': d, 'c': c}) AS best FROM (
+                   SELECT r, c, list_sum(list_transform(range(1, 65), lambda i: (q.v[i] - k.v[i]) * (q.v[i] - k.v[i]))) AS d
+                   FROM q, k%d k) GROUP BY r)"""
+    steps = "".join(f"""
+    a{i} AS MATERIALIZED (SELECT r, v, best['c'] AS c FROM {nearest % i} JOIN q USING (r)),
+    k{i + 1} AS MATERIALIZED (
+      SELECT k.c, coalesce(m.v, k.v) AS v FROM k{i} k LEFT JOIN (
+        SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+          SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) GROUP BY c, i)
+        GROUP BY c) m USING (c)),""" for i in range(rounds))
+    return f"""
+    WITH q AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    k0 AS MATERIALIZED (SELECT c, v FROM (
+      SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INTEGER) AS c, v FROM q) WHERE c < 16),{steps}
+    last AS (SELECT r, CAST(best['d'] AS BIGINT) AS distance, best['c'] AS c FROM {nearest % rounds})
+    SELECT vec_id, c AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(k.v, ',')) AS centroid_sha256
+    FROM last JOIN q USING (r) JOIN k{rounds} k USING (c)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op10_warc_records": _OP10,
+    "op11_ranked_documents": _OP11,
+    "op13_vector_clusters": _op13(3),
     "op3_line_dedup": _OP3,
     "op4_embedding_groups": _OP4,
     "op6_chat_perspectives": _OP6,
