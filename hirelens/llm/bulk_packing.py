@@ -18,13 +18,18 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hirelens.llm.common import byte_steps, stage
 from hirelens.operators.ids import dense_ids
 
-# Words kept with their ids by a Python worker.
-CACHED_WORDS = 600_000
+# Words kept with their ids by a Python worker: so many of late, and so many before.
+CACHED_WORDS = 250_000
+# New words encoded at once.
+LEARNT_WORDS = 10_000
+# Texts encoded together, in bytes.
+STEP_BYTES = 2 << 20
 # Longer stretches without white space are encoded but not kept.
 CACHED_BYTES = 64
 # Bands of size: pieces that fit 1, 2, ... times in a sequence, and all smaller ones together.
@@ -41,16 +46,15 @@ RANK_CHUNK = 65_536
 _LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf])++"
 _WORD = re.compile(_LETTERS)
 _STRETCH = re.compile(_LETTERS + rb"(?![\x80-\xff])|[^\x20\x09-\x0d]+")
-_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # Begins the special strings, which hold before letters are folded.
-_SPECIAL = b"<|"
+_SPECIAL = "<|"
 
 
 class WordEncoder:
     """Token ids of texts (little-endian unsigned 32-bit) for a lower-casing word vocabulary, word by word.
 
-    Equal words have equal ids, so each is encoded once while it is kept.  New words of a step are encoded together
-    and told apart by the token that ends a word.
+    Equal words have equal ids, so each is encoded once while it is kept; words met again outlive the others.  New words
+    that the model cannot be given as they are, are encoded together and told apart by the token that ends a word.
     """
 
     def __init__(self, path: str):
@@ -63,13 +67,15 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.written = [i.to_bytes(4, "little") for i in range(len(self.ends))]
         self.kept: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        ids = np.frombuffer(self._whole([b" ".join(words).decode()])[0], "<u4") if words else np.zeros(0, "<u4")
+        ids = np.frombuffer(self._whole([b" ".join(words).decode()])[0], "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):  # some word is more than one to the library
             return self._whole([w.decode() for w in words])
@@ -77,24 +83,62 @@ class WordEncoder:
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _learn(self, stretches: set[bytes]) -> dict[bytes, bytes]:
-        words = [s for s in stretches if s.isalpha() or _WORD.fullmatch(s)]
-        others = list(stretches.difference(words))
-        new = dict(zip(words, self._words(words)))
-        new.update(zip(others, self._whole([s.decode() for s in others])))
+        # Small ASCII letters stay as they are until the model itself sees them.
+        plain = [s for s in stretches if s.isalpha()]
+        tokens = self.tokenizer.model.tokenize
+        new = {s: b"".join([self.written[t.id] for t in tokens(s.decode())]) for s in plain}
+        rest = stretches.difference(plain)
+        words = [s for s in rest if _WORD.fullmatch(s)]
+        others = list(rest.difference(words))
+        # The library holds a hundred bytes and more for a token, so few are encoded at a time.
+        for at in range(0, len(words), LEARNT_WORDS):
+            new.update(zip(words[at : at + LEARNT_WORDS], self._words(words[at : at + LEARNT_WORDS])))
+        for at in range(0, len(others), LEARNT_WORDS):
+            new.update(zip(others[at : at + LEARNT_WORDS], self._whole([s.decode() for s in others[at : at + LEARNT_WORDS]])))
         return new
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        cut = [None if _SPECIAL in t else _STRETCH.findall(t.translate(_FOLD)) for t in texts]
+    def _ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of different stretches between white space, each cut further where that is safe."""
         if len(self.kept) > CACHED_WORDS:
-            self.kept = {}
-        new = self._learn(set().union(*filter(None, cut)) - self.kept.keys())
-        self.kept.update(new)
-        ids_of = self.kept.__getitem__
-        made = [self._whole([text.decode()])[0] if stretches is None else b"".join(map(ids_of, stretches))
-                for text, stretches in zip(texts, cut)]
-        for stretch in new:
-            if len(stretch) > CACHED_BYTES:
-                del self.kept[stretch]
+            self.kept, self.before = {}, self.kept
+        kept, before = self.kept, self.before
+        made, late = [], []
+        for i, chunk in enumerate(chunks):
+            ids = kept.get(chunk)
+            if ids is None:
+                ids = before.get(chunk)
+                if ids is None:
+                    late.append(i)
+                else:
+                    kept[chunk] = ids
+            made.append(ids)
+        cut = {i: _STRETCH.findall(chunks[i]) for i in late if not chunks[i].isalpha()}
+        new = self._learn({s for parts in cut.values() for s in parts if s not in kept}.union(chunks[i] for i in late if i not in cut))
+        kept.update(new)
+        for i in late:
+            made[i] = b"".join([kept[s] for s in cut[i]]) if i in cut else kept[chunks[i]]
+        kept.update((chunks[i], made[i]) for i, parts in cut.items() if len(parts) > 1 and len(chunks[i]) <= CACHED_BYTES)
+        for stretch in [s for s in new if len(s) > CACHED_BYTES]:
+            del kept[stretch]
+        return made
+
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
+        """Ids of every text.  White space is cut and equal stretches are found by Arrow, only different ones are looked up."""
+        special = pc.match_substring(texts, _SPECIAL).to_pylist()
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
+        coded = lists.flatten().dictionary_encode()
+        ids = self._ids_of(coded.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])
+        # Every occurrence of a stretch takes the place of its ids in the joined ids of all.
+        places = np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], sizes[at]) + np.arange(ends[-1])
+        raw = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+        cuts = (4 * ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]).tolist()
+        made = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i, found in enumerate(special):
+            if found:
+                made[i] = self._whole([texts[i].as_py()])[0]
         return made
 
 
@@ -116,8 +160,8 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
-        for part in byte_steps(batches, "text"):
-            whole = [ids + end for ids in encoder.encode(part.column("text").to_pylist())]
+        for part in byte_steps(batches, "text", STEP_BYTES):
+            whole = [ids + end for ids in encoder.encode(part.column("text"))]
             owner, piece, ids = [], [], []
             for i, made in enumerate(whole):
                 for at in range(0, len(made), step):
@@ -130,7 +174,7 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
                 pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
             ], names=names)
 
-    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(cut, f"id {kind}, piece int, start bigint, length bigint, ids binary").withColumnRenamed("id", id_col)
 
