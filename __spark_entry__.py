@@ -10,36 +10,40 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date
-from functools import partial
-from importlib.util import find_spec
+from functools import partial, reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F  # noqa: E402
 
 from derived_tables import frames, with_clause  # noqa: E402
 from hirelens import schemas  # noqa: E402
-from hirelens.functions.dates import parse_post_date  # noqa: E402
+from hirelens.functions.dates import infer_format, month_of, parse_post_date  # noqa: E402
 from hirelens.functions.location import parse_location  # noqa: E402
 from hirelens.functions.salary import parse_salary  # noqa: E402
 from hirelens.functions.text import place_name  # noqa: E402
 from hirelens.operators import geo, quality, skills, upsert  # noqa: E402
 from hirelens.operators.ids import dense_ids  # noqa: E402
-from hirelens.operators.lookup import lookup_join  # noqa: E402
-from hirelens.operators.staging import stage  # noqa: E402
+from hirelens.operators.lookup import BROADCAST_ROWS, lookup_join  # noqa: E402
+from hirelens.operators.staging import scratch_path, stage  # noqa: E402
 from hirelens.plans import enrich, marts, pairs, refresh, reports  # noqa: E402
+from hirelens.sources.tables import TableStore  # noqa: E402
 
-# The training-data operators are an optional part: where present, they must import without error.
+# The training-data operators are an optional part, as are the packages they need.
 CORPUS_QUERIES, CORPUS_SQL = {}, {}
-if find_spec("hirelens.llm"):
+try:
     from hirelens.llm import queries as corpus_queries
-
+except ImportError as missing:
+    print(f"without the training-data operators: {missing}", file=sys.stderr)
+else:
     CORPUS_QUERIES |= corpus_queries.QUERIES
     CORPUS_SQL |= corpus_queries.ORACLE_SQL
-    if find_spec("corpus_pipeline"):
+    try:
         import corpus_pipeline
-
+    except ImportError as missing:
+        print(f"without the corpus pipeline: {missing}", file=sys.stderr)
+    else:
         CORPUS_QUERIES["pipeline"] = corpus_pipeline.run
         CORPUS_SQL |= {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 
@@ -72,9 +76,9 @@ def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(skills.dedupe_gazetteer(phrase_entries(spark, sf_dir)), "gazetteer")
 
 
-def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _matches(spark: SparkSession, sf_dir: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     texts = frames(spark, sf_dir, "v_text")["text"]
-    return skills.extract_skills(texts, _gazetteer(spark, sf_dir), spread=enrich.spread_for(texts))
+    return skills.extract_skills(texts, _gazetteer(spark, sf_dir), spread=enrich.spread_for(texts), max_rows=max_rows)
 
 
 def _known_skills(entries: DataFrame) -> DataFrame:
@@ -131,7 +135,7 @@ def _pair_count(rows: DataFrame) -> DataFrame:
 
 def _pairs_wide(t) -> DataFrame:
     """Unmerged links (with repeats); postings of more than three skills take the block plan, others the array plan."""
-    return pairs.pair_counts(t["links"], t["skills"].filter("skill_id % 5 <> 0"), wide_skills=3, block=2)
+    return pairs.pair_counts(t["links"], t["skills"], wide_skills=3, block=2)
 
 
 def _growth_shared_names(t) -> DataFrame:
@@ -166,6 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "skill_mom_growth": _on(SKILL_TABLES, _growth),
         # the plans that a refresh runs, and those that large or unusual tables take
         **{f"rollup_{name}": _on(PAY_TABLES, partial(_rollup, name)) for name in ROLLUPS},
+        "skill_cooccurrence_min": _on(SKILL_TABLES, lambda t: marts.skill_cooccurrence(t, min_count=5)),
         "pairs_wide": _on(("v_links", "v_skills"), _pairs_wide),
         "pairs_blocks": _on(("v_links",), lambda t: _pair_count(pairs.by_blocks(t["links"], block=2))),
         "growth_shared_names": _on(SKILL_TABLES, _growth_shared_names),
@@ -210,9 +215,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "salary_parse_thousands": _on(("v_salary_raw",), lambda t: parse_salary(t["salary_raw"], thousands=True)),
         "location_parse": _on(("v_location_raw",), lambda t: parse_location(t["location_raw"])),
         "post_date_parse": _on(("v_dates_raw",), lambda t: parse_post_date(t["dates_raw"])),
+        "post_date_inferred": _on(("v_dates_dmy",), lambda t: parse_post_date(t["dates_dmy"], formats=[infer_format(t["dates_dmy"])])),
         # skills
         "gazetteer_dedupe": _on(("v_part_entries",), lambda t: skills.dedupe_gazetteer(t["part_entries"])),
         "skill_extract": _matches,
+        # the plan that dictionaries beyond the broadcast bound take
+        "skill_extract_bits": partial(_matches, max_rows=0),
         "skill_dictionary": _skill_dictionary,
         "skill_bridge": _skill_bridge,
         "skills_new_only": _skills_new_only,
@@ -229,9 +237,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "upsert_locations_places": _on(
             ("v_location_raw", "v_stored_places", "v_places_twice"),
-            lambda t: enrich.enrich_locations(_twice(t["location_raw"]), t["stored_places"], t["places_twice"]),
+            lambda t: enrich.enrich_locations(_twice(t["location_raw"]), t["stored_places"], t["places_twice"], repeated_ids=True),
         ),
+        # stored tables: marts after two loads, pay after a merge of some months
+        "refresh_second_load": _second_load,
+        "merge_touched_months": _merge_months,
         "geocode_lookup": _on(("v_locations", "v_places"), _geocode_lookup),
+        "geocode_fallback": _on(("v_locations", "v_places_coarse"), _geocode_fallback),
         # integrity
         "pk_violations": lambda spark, sf_dir: quality.pk_violations(_checked_tables(spark, sf_dir)),
         "fk_orphans": lambda spark, sf_dir: quality.fk_orphans(_checked_tables(spark, sf_dir)),
@@ -279,6 +291,75 @@ def _geocode_lookup(t) -> DataFrame:
     return geo.geocode(t["locations"].drop("lat", "lon", "geocode_confidence"), t["places"])
 
 
+def _geocode_fallback(t) -> DataFrame:
+    return geo.geocode(t["locations"].drop("lat", "lon", "geocode_confidence"), t["places_coarse"], fallback=True)
+
+
+# Postings of these orders come with a second load: some of the later months, and some undated ones.
+_LATER = "o_orderdate >= DATE '1997-03-01' AND o_orderpriority IN ('1-URGENT', '5-LOW')"
+# Every mart in one form: two ids, two names, a day, a count, two numbers.
+_LONG_FORM = {
+    "skill_counts": "skill_id, NULL, skill, NULL, last_seen, job_count, NULL, NULL",
+    "monthly_skill_counts": "skill_id, NULL, skill, NULL, month, job_count, NULL, NULL",
+    "skill_cooccurrence": "skill_id_a, skill_id_b, skill_a, skill_b, NULL, pair_count, NULL, NULL",
+    "salary_by_skill": "skill_id, NULL, skill, NULL, NULL, n, avg_min, avg_max",
+    "jobs_by_country": "NULL, NULL, country, NULL, NULL, jobs, NULL, NULL",
+    "monthly_salary_by_skill": "NULL, NULL, skill, NULL, month, n, avg_min, avg_max",
+    "monthly_jobs_by_country": "NULL, NULL, country, NULL, month, job_count, NULL, NULL",
+    "skill_mom_growth": "NULL, NULL, skill, NULL, month, job_count, prev_job_count, mom_growth_pct",
+}
+
+
+def _long_form(mart: str, table: str) -> str:
+    kinds = zip(_LONG_FORM[mart].split(", "), ("BIGINT", "BIGINT", "STRING", "STRING", "DATE", "BIGINT", "DOUBLE", "DOUBLE"),
+                ("id", "other_id", "name", "other_name", "day", "n", "low", "high"))
+    return f"SELECT '{mart}' AS mart, " + ", ".join(f"CAST({c} AS {kind}) AS {name}" for c, kind, name in kinds) + f" FROM {table}"
+
+
+def _nulls(*columns: str) -> list[Column]:
+    return [F.lit(None).alias(c) for c in columns]
+
+
+def _load(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The posting tables with the month of the posting, and which postings come with the second load."""
+    t = frames(spark, sf_dir, *PAY_TABLES, "v_locations", "v_salary_raw", "v_stored_pay", "orders")
+    missing = [c for c in schemas.JOBS.fieldNames() if c not in ("job_id", "title_raw", "post_date", "salary_raw")]
+    dated = t["jobs"].join(t["salary_raw"], "job_id").withColumn("month", month_of(F.col("post_date")))
+    months = dated.select("job_id", "month")
+    t["jobs"] = dated.select("*", F.lit("").alias("title_raw"), *_nulls(*missing))
+    for name in ("jobs_skills", "compensation", "locations", "stored_pay"):
+        t[name] = t[name].join(months, "job_id")
+    t["skills"] = t["skills"].select("*", *_nulls("confidence", "extractor_version", "created_at"))
+    return t, t["orders"].select(F.col("o_orderkey").alias("job_id"), F.expr(_LATER).alias("later"))
+
+
+def _second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts of stored tables after two loads, the second of which refreshes only the months it touches."""
+    t, is_later = _load(spark, sf_dir)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.append("skills", t["skills"], new_keys=True)
+    for later in (False, True):
+        ids = is_later.filter(F.col("later") == later).select("job_id")
+        for name in ("jobs", "jobs_skills", "compensation", "locations"):
+            store.append(name, t[name].join(ids, "job_id"), new_keys=True)
+        made = refresh.refresh_marts(store)
+    return reduce(DataFrame.unionByName, [spark.sql(_long_form(mart, "{m}"), m=made[mart]) for mart in refresh.MARTS])
+
+
+def _merge_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored pay table after a merge of the postings of some months; the other months are not rewritten."""
+    t, _ = _load(spark, sf_dir)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.append("compensation", t["stored_pay"])
+    jobs = t["jobs"].filter(_MERGED)
+    months = [r["month"] for r in jobs.select("month").distinct().collect()]
+    return store.merge("compensation", enrich.parsed_pay(jobs), months)
+
+
+# Postings of these months are parsed anew.
+_MERGED = "post_date >= DATE '1997-03-01' OR post_date IS NULL"
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Month-over-month growth of every skill."""
     return queries()["skill_mom_growth"](spark, "/root/testdata/sf0.001")
@@ -366,16 +447,23 @@ _PAY_MEANS = f"""
 
 _WS = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
 _W = r"[\p{L}\p{N}_]"
-_JOIN = chr(0xE000), chr(0xE001)
-# Ampersands between words and hyphens beside a digit are marked first (twice: neighbours share a word), and read back after.
+# Signs that belong to a word are marked first, and read back after: joins between words (twice: neighbours share
+# a word), a dot before a word, and a single plus between words, which does not belong to either.
+_JOINS = {"&": chr(0xE000), "-": chr(0xE001), ".": chr(0xE002)}
+_LEAD, _APART = chr(0xE003), chr(0xE004)
+_NOT_SMALL, _NOT_CAPITAL = r"[\p{Lu}\p{Lt}\p{Lm}\p{Lo}\p{N}_]", r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}\p{N}_]"
 _MARKED = "text"
+for _left, _sign, _right in (
+    (_W, "&", _W), (r"\p{N}", "-", _W), (_W, "-", r"\p{N}"), (_NOT_SMALL, ".", _W), (_W, ".", _NOT_CAPITAL),
+) * 2:
+    _MARKED = f"regexp_replace({_MARKED}, '({_left})[{_sign}]({_right})', '\\1{_JOINS[_sign]}\\2', 'g')"
+_MARKED = rf"regexp_replace({_MARKED}, '(^|[^\p{{L}}\p{{N}}_.)\]])[.](\p{{L}})', '\1{_LEAD}\2', 'g')"
 for _ in range(2):
-    for _left, _sign, _right in ((_W, "&", _W), (r"\p{N}", "-", _W), (_W, "-", r"\p{N}")):
-        _mark = _JOIN[_sign == "-"]
-        _MARKED = f"regexp_replace({_MARKED}, '({_left}){_sign}({_right})', '\\1{_mark}\\2', 'g')"
-# Initials; words with their marked joins; any other sign.
-_TOKEN = (rf"[{_WS}]*(?:\p{{L}}(?:\.\p{{L}}){{1,10}}(?:\.|{_W}*)|{_W}+(?:[{''.join(_JOIN)}]{_W}+){{0,10}}"
-          rf"|[^{_WS}\p{{L}}\p{{N}}_])")
+    _MARKED = rf"regexp_replace({_MARKED}, '({_W})[+]({_W})', '\1{_APART}\2', 'g')"
+# Initials; words with their marked joins and signs; any other sign.
+_TOKEN = (rf"[{_WS}]*(?:\p{{L}}(?:[.{_JOINS['.']}]\p{{L}}){{1,10}}(?:\.|{_W}*)"
+          rf"|{_LEAD}?{_W}+(?:[{''.join(_JOINS.values())}]{_W}+){{0,10}}(?:\++|#+)?|[^{_WS}\p{{L}}\p{{N}}_])")
+_UNMARK = f"translate(t, '{''.join(_JOINS.values())}{_LEAD}{_APART}', '&-..+')"
 
 _ENTRIES = f"""
     pieces AS (SELECT item_id, regexp_extract_all(text, '{PIECES}') AS p FROM benchmark),
@@ -388,7 +476,7 @@ _MATCHES = rf"""
     {_ENTRIES},
     phrases AS (SELECT DISTINCT lower(skill) AS skill_key FROM entries),
     cut AS (SELECT doc_id AS job_id, list_transform(regexp_extract_all({_MARKED}, '{_TOKEN}'),
-                       lambda t: translate(t, '{"".join(_JOIN)}', '&-')) AS ts FROM documents),
+                       lambda t: {_UNMARK}) AS ts FROM documents),
     runs AS (SELECT job_id, unnest(ts) AS run FROM cut
              UNION ALL SELECT job_id, unnest(list_transform(range(1, len(ts)), lambda i: ts[i] || ts[i + 1])) FROM cut
              UNION ALL SELECT job_id, unnest(list_transform(range(1, len(ts) - 1),
@@ -493,11 +581,11 @@ def oracle_sql() -> dict[str, str]:
 
     for name in ("skill_counts", "monthly_skill_counts", "salary_by_skill", "monthly_salary_by_skill"):
         sql[f"rollup_{name}"] = sql[name]
+    sql["skill_cooccurrence_min"] = _on_mart("skill_cooccurrence", "SELECT * FROM skill_cooccurrence WHERE pair_count >= 5")
     sql["pairs_blocks"] = with_clause("v_links") + """
         SELECT one.skill_id AS skill_id_a, other.skill_id AS skill_id_b, count(DISTINCT job_id) AS pair_count
         FROM v_links one JOIN v_links other USING (job_id) WHERE one.skill_id < other.skill_id GROUP BY ALL"""
-    sql["pairs_wide"] = sql["pairs_blocks"].replace(
-        "GROUP BY ALL", "AND one.skill_id % 5 <> 0 AND other.skill_id % 5 <> 0 GROUP BY ALL")
+    sql["pairs_wide"] = sql["pairs_blocks"]
     sql["growth_shared_names"] = _on_mart("growth", "SELECT * FROM growth").replace(
         f"SELECT skill_id, {_NAME} AS skill, month, job_count", "SELECT skill_id, split_part(skill_raw, ' ', -1) AS skill, month, job_count")
     sql["geocode_salted"] = with_clause("v_locations", "v_places") + """
@@ -570,6 +658,9 @@ def oracle_sql() -> dict[str, str]:
     sql["post_date_parse"] = with_clause("v_dates_raw") + """
         SELECT job_id, CAST(try_strptime(post_date, '%Y-%m-%d') AS DATE) AS post_date FROM v_dates_raw"""
 
+    sql["post_date_inferred"] = with_clause("v_dates_dmy") + """
+        SELECT job_id, CAST(try_strptime(post_date, '%d/%m/%Y') AS DATE) AS post_date FROM v_dates_dmy"""
+
     # skills
     sql["gazetteer_dedupe"] = with_clause("v_part_entries") + """
         SELECT skill, lower(skill) AS skill_key, CAST(len(regexp_extract_all(skill, '[A-Za-z]+')) AS INTEGER) AS n_tokens
@@ -577,6 +668,7 @@ def oracle_sql() -> dict[str, str]:
                      row_number() OVER (PARTITION BY lower(trim(skill)) ORDER BY pos, trim(skill)) AS nth
               FROM v_part_entries WHERE trim(skill) <> '') WHERE nth = 1"""
     sql["skill_extract"] = f"WITH {_MATCHES} SELECT * FROM matches"
+    sql["skill_extract_bits"] = sql["skill_extract"]
     sql["skill_dictionary"] = f"""WITH {_MATCHES}, {_DICTIONARY}
         SELECT skill_id, surface AS skill_raw, surface AS skill_norm, 'rule_v1' AS extractor_version FROM dictionary"""
     sql["skill_bridge"] = f"""WITH {_MATCHES}, {_DICTIONARY}
@@ -601,6 +693,15 @@ def oracle_sql() -> dict[str, str]:
         updates AS (SELECT job_id, min, max, currency, period, parsed_confidence FROM pay WHERE salary_raw <> '')
         SELECT * FROM updates UNION ALL
         SELECT * FROM v_stored_pay WHERE job_id NOT IN (SELECT job_id FROM updates)"""
+    sql["merge_touched_months"] = with_clause("v_jobs", "v_salary_raw", "v_stored_pay") + f""", {_PAY},
+        updates AS (SELECT job_id, min, max, currency, period, parsed_confidence FROM pay JOIN v_jobs USING (job_id)
+                    WHERE salary_raw <> '' AND ({_MERGED}))
+        SELECT * FROM updates UNION ALL
+        SELECT * FROM v_stored_pay WHERE job_id NOT IN (SELECT job_id FROM updates)"""
+    bodies = ", ".join(f"{name} AS ({_MARTS[name]})" for name in _MARTS)
+    sql["refresh_second_load"] = with_clause(*PAY_TABLES, *PLACE_TABLES).replace("v_stored_places", "v_locations") + (
+        f", {bodies}, skill_mom_growth AS ({_GROWTH})\n".replace("v_stored_places", "v_locations")
+        + " UNION ALL ".join(_long_form(mart, mart) for mart in refresh.MARTS))
     sql["upsert_locations"] = with_clause("v_location_raw", "v_stored_places") + f""", {_PLACE},
         updates AS (SELECT job_id, city, state, country, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon,
                            confidence AS geocode_confidence FROM places WHERE location_raw <> '')
@@ -621,6 +722,15 @@ def oracle_sql() -> dict[str, str]:
         FROM v_locations l LEFT JOIN v_places p
           ON p.place = concat_ws(', ', nullif(city, ''), nullif(state, ''), nullif(country, ''))"""
 
+    levels = ["concat_ws(', ', nullif(city, ''), nullif(state, ''), nullif(country, ''))",
+              "nullif(city, '') || ', ' || nullif(country, '')", "nullif(state, '') || ', ' || nullif(country, '')", "nullif(country, '')"]
+    places = "\n".join(f"LEFT JOIN v_places_coarse p{i} ON p{i}.place = {level}" for i, level in enumerate(levels))
+    first = lambda value: "CASE " + " ".join(f"WHEN p{i}.place IS NOT NULL THEN {value.format(i=i)}" for i in range(4)) + " END"
+    sql["geocode_fallback"] = with_clause("v_locations", "v_places_coarse") + f"""
+        SELECT l.job_id, l.city, l.state, l.country, {first("p{i}.lat")} AS lat, {first("p{i}.lon")} AS lon,
+               {first("CAST(0.7 AS DOUBLE)")} AS geocode_confidence, {first("{i}")} AS geocode_level
+        FROM v_locations l {places}"""
+
     # integrity
     checked = with_clause(*_CHECKED_VIEWS) + _CHECKED
     sql["pk_violations"] = checked + " UNION ALL ".join([

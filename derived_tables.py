@@ -118,6 +118,22 @@ SQL = {
                CASE o_orderpriority WHEN '1-URGENT' THEN 'not a date' WHEN '2-HIGH' THEN '2025-13-40'
                  WHEN '3-MEDIUM' THEN '' ELSE substr(CAST(o_orderdate AS STRING), 1, 10) END AS post_date
         FROM {orders}""",
+    # The same days, the day of the month first.
+    "v_dates_dmy": """
+        SELECT job_id, CASE WHEN post_date LIKE '____-__-__'
+                            THEN concat(substr(post_date, 9, 2), '/', substr(post_date, 6, 2), '/', substr(post_date, 1, 4))
+                            ELSE post_date END AS post_date
+        FROM {v_dates_raw}""",
+    # Places of all four levels: some cities with and some without a state, some states, some countries.
+    "v_places_coarse": """
+        SELECT concat('City ', CAST(c_custkey AS STRING), ', ', c_mktsegment, ', ', n_name) AS place,
+               CAST(n_nationkey * 3.5 AS DOUBLE) AS lat, c_acctbal AS lon
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_custkey % 4 = 0
+        UNION ALL SELECT concat('City ', CAST(c_custkey AS STRING), ', ', n_name), CAST(n_nationkey * 3.5 + 1 AS DOUBLE), c_acctbal
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_custkey % 3 = 0
+        UNION ALL SELECT DISTINCT concat(c_mktsegment, ', ', n_name), CAST(n_nationkey * 3.5 + 2 AS DOUBLE), CAST(1.5 AS DOUBLE)
+        FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_mktsegment IN ('MACHINERY', 'AUTOMOBILE')
+        UNION ALL SELECT n_name, CAST(n_nationkey * 3.5 + 3 AS DOUBLE), CAST(2.5 AS DOUBLE) FROM {nation} WHERE n_nationkey % 5 <> 1""",
     "v_text": "SELECT doc_id AS job_id, text AS description_raw FROM {documents}",
     # Raw dictionary entries: part names in several spellings, some blank.
     "v_part_entries": """

@@ -10,7 +10,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .functions.dates import ISO_DATE
 from .plans import refresh, reports
 from .plans.refresh import load_mart
 from .sources.csv import seed_postings
@@ -70,18 +69,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "seed":
         append_jobs(store, seed_postings(spark))
     elif args.command == "load":
-        done = refresh.load_postings(spark, store, args.csv, args.multiline, args.date_format or [ISO_DATE])
-        print(f"{done.postings} postings loaded, {done.unparsed_dates} with a date in none of the given formats")
+        done = refresh.load_postings(spark, store, args.csv, args.multiline, args.date_format, args.rejects)
+        print(f"{done.postings} postings loaded, {done.unparsed_dates} with a date in none of the formats ({', '.join(done.formats)}); "
+              f"{done.malformed} malformed rows")
     elif args.command == "extract-skills":
-        refresh.run_skills(store, refresh.gazetteer(spark, args.skills))
+        refresh.run_skills(store, refresh.gazetteer(spark, args.skills), args.full)
     elif args.command == "enrich-salary":
-        refresh.run_compensation(store, args.thousands)
+        refresh.run_compensation(store, args.thousands, args.full)
     elif args.command == "enrich-locations":
-        refresh.run_locations(store, _places(spark, args.places))
+        refresh.run_locations(store, _places(spark, args.places), args.full, args.place_fallback)
     elif args.command == "analytics-refresh":
-        refresh.refresh_marts(store)
+        refresh.refresh_marts(store, args.full)
     elif args.command == "refresh-all":
-        refresh.refresh_all(store, args.skills, _places(spark, args.places), args.thousands)
+        refresh.refresh_all(store, args.skills, _places(spark, args.places), args.thousands, args.full)
 
 
 def _positive(text: str) -> int:
@@ -98,19 +98,23 @@ def parser() -> argparse.ArgumentParser:
     load = commands.add_parser("load", help="append postings from a CSV file or folder")
     load.add_argument("csv")
     load.add_argument("--multiline", action="store_true", help="line breaks inside fields: each file is read by one task")
-    load.add_argument("--date-format", action="append", help=f"a pattern of dates, repeatable; default {ISO_DATE}")
+    load.add_argument("--date-format", action="append", help="a pattern of dates, repeatable; default: found from the dates")
+    load.add_argument("--rejects", help="folder for rows that do not fit the header; without it they refuse the load")
     commands.add_parser("seed", help="append the seed postings")
     skills = commands.add_parser("extract-skills", help="dictionary match of skills in posting text")
     salary = commands.add_parser("enrich-salary", help="parse salary text")
     places = commands.add_parser("enrich-locations", help="parse location text")
-    commands.add_parser("analytics-refresh", help="recompute the marts")
+    refreshed = commands.add_parser("analytics-refresh", help="bring the marts up to date")
     every = commands.add_parser("refresh-all", help="all enrichments, then the marts")
+    for command in (skills, salary, places, refreshed, every):
+        command.add_argument("--full", action="store_true", help="all months, not only those with new postings or changed inputs")
     for command in (skills, every):
         command.add_argument("--skills", help="CSV with a skill column; default: the built-in dictionary")
     for command in (salary, every):
         command.add_argument("--thousands", action="store_true", help="read a comma before three digits as grouping")
     for command in (places, every):
         command.add_argument("--places", help="Parquet table of place, lat, lon")
+    places.add_argument("--place-fallback", action="store_true", help="look places not found up by city and country, state and country, country")
     for name in (*RANKED, *WHOLE):
         report = commands.add_parser(name, help="report")
         report.add_argument("--out", required=name in WHOLE, help="folder to write the whole report to")

@@ -7,13 +7,20 @@ from pyspark.sql import Column, functions as F
 
 # Unicode white space as the inside of a character class.
 WS = r"\t-\r\x1c-\x1f\x85\p{Z}"
+# The same characters one after another.
+WS_CHARS = "".join(c for c in map(chr, range(0x10000)) if "\t" <= c <= "\r" or "\x1c" <= c <= "\x1f" or c == "\x85" or unicodedata.category(c)[0] == "Z")
 
 # A word is a run of letters, digits and underscores.  Words are one token where they are joined by ``&``
-# (``R&D``), by a hyphen beside a digit (``S3-compatible``), or by dots after single letters (``R.N.``, ``H.R``); a
-# token has up to ten such joins.  Every other visible character is a token of its own.
+# (``R&D``), by a hyphen beside a digit (``S3-compatible``), by a dot (``Node.js``; but not where a small letter ends
+# a sentence and a capital begins the next), or by dots after single letters (``R.N.``, ``H.R``); a token has up to ten
+# such joins.  A dot before a word belongs to it where nothing stands before the dot (``.NET``), and plus and number
+# signs after it do too (``C++``, ``C#``), but for a single plus between two words.  Every other visible
+# character is a token of its own.
 _WORD = r"[\p{L}\p{N}_]"
 _DOTTED = rf"\p{{L}}(?:\.\p{{L}}){{1,10}}(?:\.|{_WORD}*)"
-_JOINED = rf"{_WORD}+(?:(?:&|(?<=\p{{N}})-|-(?=\p{{N}})){_WORD}+){{0,10}}"
+_JOIN = r"(?:&|(?<=\p{N})-|-(?=\p{N})|(?<!\p{Ll})\.|\.(?!\p{Lu}))"
+_LEAD = r"(?<![\p{L}\p{N}_.)\]])\.(?=\p{L})"
+_JOINED = rf"(?:{_LEAD})?{_WORD}+(?:{_JOIN}{_WORD}+){{0,10}}(?:\+{{2,}}|\+(?!{_WORD})|#+)?"
 BARE_TOKEN = rf"(?:{_DOTTED}|{_JOINED}|[^{WS}\p{{L}}\p{{N}}_])"
 # The same with the white space in front of it.
 TOKEN = rf"[{WS}]*{BARE_TOKEN}"

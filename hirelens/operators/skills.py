@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import BARE_TOKEN, TOKEN, skill_name, squash_ws, strip
+from ..functions.text import BARE_TOKEN, TOKEN, WS_CHARS, skill_name, squash_ws, strip
 from .ids import dense_ids
 from .lookup import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_join
 from .staging import stage
@@ -15,8 +15,11 @@ EXTRACTOR_VERSION = "rule_v1"
 PREFILTER_TOKENS = 1000
 # Phrases of more tokens are found by their first so many tokens and then compared as a whole.
 LONG_TOKENS = 8
-# Up to this many phrases beyond the broadcast bound, runs are filtered by broadcast hashes before they are shuffled.
-HASHED_PHRASES = 4_000_000
+# Beyond the broadcast bound, runs are filtered by a bit set of phrase hashes before they are shuffled: 16 bits a
+# phrase and more, but never more than 128 MB.
+BITS_PER_PHRASE, MAX_BITS = 16, 1 << 30
+# Bits of one bitmap of Spark's bitmap functions, and of one word of it.
+_BITMAP_BITS, _WORD_BITS = 32_768, 64
 
 
 def skill_key(name: Column) -> Column:
@@ -57,10 +60,8 @@ def _runs(texts: DataFrame, id_col: str, lengths: list[int], firsts: list[str] |
     With ``firsts`` only runs that begin with one of these tokens are built; the
     others are NULL from their first token on and cost no string work.
     """
-    cut = texts.withColumns({
-        "_run1": F.regexp_extract_all("_text", F.lit(BARE_TOKEN), F.lit(0)),
-        "_tokens": F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0)),
-    })
+    cut = texts.withColumn("_tokens", F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0)))
+    cut = cut.withColumn("_run1", F.transform("_tokens", lambda t: F.ltrim(t, F.lit(WS_CHARS))))
     if firsts is not None:
         cut = cut.withColumn("_run1", F.transform("_run1", lambda t: F.when(F.lower(t).isin(firsts), t)))
     for n in range(2, max(lengths) + 1):
@@ -91,12 +92,43 @@ def _long_matches(texts: DataFrame, phrases: DataFrame, id_col: str) -> DataFram
     return met.select(id_col, whole.alias("surface"), "skill_key", "_name").filter(F.lower("surface") == F.col("skill_key")).distinct()
 
 
+def _bit(key: Column, bits: int) -> Column:
+    """The bit of a key, from 1 on, as the bitmap functions count."""
+    return F.pmod(F.xxhash64(key), F.lit(bits).cast("long")) + 1
+
+
+def phrase_bits(phrases: DataFrame, bits: int) -> DataFrame:
+    """``(bucket, words)``: a bit set of the hashes of all phrases, one row per bitmap that holds any.
+
+    Its size depends on ``bits`` alone.  A word is eight bytes of a bitmap, the first byte the highest.
+    """
+    bit = _bit(F.col("skill_key"), bits)
+    maps = phrases.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))
+    word = lambda i: F.conv(F.hex(F.substring("map", i * 8 + 1, 8)), 16, -10).cast("long")
+    return maps.select("bucket", F.transform(F.sequence(F.lit(0), F.lit(_BITMAP_BITS // _WORD_BITS - 1)), word).alias("words"))
+
+
+def maybe_phrases(runs: DataFrame, phrases: DataFrame, rows: int) -> DataFrame:
+    """Runs whose ``skill_key`` has its bit set: all phrases, and few others.  Nothing is shuffled."""
+    bits = min(MAX_BITS, max(_BITMAP_BITS, 1 << (rows * BITS_PER_PHRASE).bit_length()))
+    bit = _bit(F.col("skill_key"), bits)
+    at = F.bitmap_bit_position(bit)
+    placed = runs.withColumns({"bucket": F.bitmap_bucket_number(bit), "_at": at})
+    held = placed.join(F.broadcast(phrase_bits(phrases, bits)), "bucket")
+    word = F.get("words", F.floor(F.col("_at") / _WORD_BITS).cast("int"))
+    byte, inside = F.floor(F.col("_at") / 8) % 8, F.col("_at") % 8
+    shift = ((7 - byte) * 8 + inside).cast("int")
+    return held.filter(F.call_function("shiftrightunsigned", word, shift).bitwiseAND(F.lit(1)) == 1).select(*runs.columns)
+
+
 def extract_skills(
     df: DataFrame,
     gazetteer: DataFrame,
     id_col: str = "job_id",
     text_col: str = "description_raw",
     spread: int | None = None,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows ``(id, surface, skill_key)``: every dictionary phrase in every text.
 
@@ -104,8 +136,9 @@ def extract_skills(
     the spelling in the text, each once per posting.  The texts are cut into runs
     of one, two, ... tokens, only for phrase lengths that occur in the dictionary,
     and the runs are looked up by a join, so dictionary size does not add to the
-    work per text.  The dictionary is broadcast only when it is measured to be
-    small.  ``spread`` repartitions the texts first, for inputs of few large
+    work per text.  The dictionary is broadcast only when it is measured to have at most ``max_rows`` rows and
+    ``max_bytes`` bytes; beyond that a bit set of fixed size is, and only runs that are (almost all) phrases are
+    shuffled.  ``spread`` repartitions the texts first, for inputs of few large
     unsplittable files.
     """
     # Stored under one name with single blanks; differs from the key only for entries with odd white space.
@@ -117,7 +150,7 @@ def extract_skills(
         F.approx_count_distinct(_first_token()),
         F.count_if(F.col("_name") != F.col("skill_key")),
     ).first()
-    small = rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    small = rows <= max_rows and size <= max_bytes
 
     texts = df.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.col("_text") != "")
     if spread:
@@ -129,10 +162,8 @@ def extract_skills(
     surfaces = _runs(texts, id_col, lengths or [1], firsts)
     # Never NULL, so that the join adds no filter that would lower every run twice.
     keyed = surfaces.withColumn("skill_key", F.coalesce(F.lower("surface"), F.lit("")))
-    if not small and rows <= HASHED_PHRASES:
-        # Eight bytes a phrase instead of its text: only runs that are phrases (and rare collisions) travel.
-        hashes = phrases.select(F.xxhash64("skill_key").alias("_hash")).distinct()
-        keyed = keyed.join(F.broadcast(hashes), F.xxhash64("skill_key") == F.col("_hash"), "left_semi")
+    if not small:
+        keyed = maybe_phrases(keyed, phrases, rows)
     found = lookup_join(keyed, phrases.select("skill_key", "_name"), "skill_key", spread_by=[id_col], small=small)
     if len(lengths) < len(every_length):
         found = found.unionByName(_long_matches(texts, phrases.filter(F.col("n_tokens") > LONG_TOKENS), id_col))

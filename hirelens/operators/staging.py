@@ -13,16 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; where none is named, one below the warehouse folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    """The shared folder the session names; where none is named, one below the warehouse folder.
+
+    On a cluster a warehouse folder on the machine's own disk is refused: executors would not see one another's files.
+    """
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named:
+        return named
+    return below_warehouse(spark.conf.get("spark.sql.warehouse.dir"), sc.master)
+
+
+def below_warehouse(warehouse: str, master: str) -> str:
+    # Spark writes the scheme of a local folder with the setting; a path without one is of the default file system.
+    if warehouse.startswith("file:") and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_staged"
 
 
 # Each thread and context has its own open scope.
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system takes it."""
     sc = spark.sparkContext
     found = sc._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
@@ -31,7 +45,7 @@ def _hadoop(spark: SparkSession, path: str):
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder in the shared place, deleted with the open scope or else when the program ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    fs, folder = _hadoop(spark, path)
+    fs, folder = hadoop_path(spark, path)
     fs.mkdirs(folder)
     scope = _scope.get()
     if scope is not None:
@@ -49,7 +63,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, folder = _hadoop(spark, path)
+    fs, folder = hadoop_path(spark, path)
     fs.delete(folder, True)
 
 

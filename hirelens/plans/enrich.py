@@ -21,34 +21,52 @@ def spread_for(df: DataFrame) -> int | None:
     return 4 * cores if df.rdd.getNumPartitions() < 2 * cores else None
 
 
-def enrich_compensation(jobs: DataFrame, compensation: DataFrame, thousands: bool = False) -> DataFrame:
-    """The pay table after parsing the salary text of all postings that have one.
+def _texts(jobs: DataFrame, column: str, repeated_ids: bool) -> DataFrame:
+    """Postings with a text in ``column``, with their month where the table has one."""
+    kept = ["job_id", *(["month"] if "month" in jobs.columns else []), column]
+    texts = jobs.select(*kept).filter(F.col(column) != "")
+    return one_per_key(texts, ["job_id"], [F.col(column)]) if repeated_ids else texts
 
-    Of several rows of one posting the text that comes first in code-point order counts.
+
+def parsed_pay(jobs: DataFrame, thousands: bool = False, repeated_ids: bool = False) -> DataFrame:
+    """Pay rows of all postings that have a salary text.
+
+    Stored postings have one row each.  Where ids may repeat, say so: of several rows of one posting the text that
+    comes first in code-point order then counts, at the price of a shuffle.
     """
-    texts = jobs.select("job_id", "salary_raw").filter(F.col("salary_raw") != "")
-    once = one_per_key(texts, ["job_id"], [F.col("salary_raw")])
-    parsed = parse_salary(once, thousands=thousands).drop("salary_raw")
-    return upsert(compensation, parsed, ["job_id"])
+    return parse_salary(_texts(jobs, "salary_raw", repeated_ids), thousands=thousands).drop("salary_raw")
+
 
+def enrich_compensation(
+    jobs: DataFrame, compensation: DataFrame, thousands: bool = False, repeated_ids: bool = False
+) -> DataFrame:
+    """The pay table after parsing the salary text of all postings that have one; see ``parsed_pay``."""
+    return upsert(compensation, parsed_pay(jobs, thousands, repeated_ids), ["job_id"])
 
-def enrich_locations(jobs: DataFrame, locations: DataFrame, places: DataFrame | None = None) -> DataFrame:
-    """The place table after parsing the location text of all postings that have one.
+
+def parsed_places(
+    jobs: DataFrame, places: DataFrame | None = None, repeated_ids: bool = False, fallback: bool = False
+) -> DataFrame:
+    """Place rows of all postings that have a location text; ``repeated_ids`` as in ``parsed_pay``.
 
     With a place table the coordinates are looked up; a place found there brings
-    its own confidence, otherwise that of the parser is stored.  Of several rows of one
-    posting the text that comes first in code-point order counts.
+    its own confidence, otherwise that of the parser is stored; ``fallback`` as in ``geocode``.
     """
-    texts = jobs.select("job_id", "location_raw").filter(F.col("location_raw") != "")
-    once = one_per_key(texts, ["job_id"], [F.col("location_raw")])
-    parsed = parse_location(once).select("job_id", "city", "state", "country", "confidence")
+    texts = _texts(jobs, "location_raw", repeated_ids)
+    parsed = parse_location(texts).drop("location_raw", "is_remote")
     if places is None:
         none = F.lit(None).cast("double")
         located = parsed.withColumns({"lat": none, "lon": none, "geocode_confidence": none})
     else:
-        located = geocode(parsed, places)
-    stored = located.withColumn("geocode_confidence", F.coalesce("geocode_confidence", "confidence")).drop("confidence")
-    return upsert(locations, stored, ["job_id"])
+        located = geocode(parsed, places, fallback).drop("geocode_level")
+    return located.withColumn("geocode_confidence", F.coalesce("geocode_confidence", "confidence")).drop("confidence")
+
+
+def enrich_locations(
+    jobs: DataFrame, locations: DataFrame, places: DataFrame | None = None, repeated_ids: bool = False
+) -> DataFrame:
+    """The place table after parsing the location text of all postings that have one; see ``parsed_places``."""
+    return upsert(locations, parsed_places(jobs, places, repeated_ids), ["job_id"])
 
 
 def enrich_skills(

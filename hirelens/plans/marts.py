@@ -32,7 +32,7 @@ def annual() -> Column:
     return F.col("period").isNull() | (F.col("period") == "year")
 
 
-def _country() -> Column:
+def country_name() -> Column:
     return F.coalesce("country", F.lit(UNKNOWN)).alias("country")
 
 
@@ -55,16 +55,15 @@ def monthly_skill_counts(t: Tables) -> DataFrame:
 
 
 def skill_cooccurrence(t: Tables, min_count: int = 1) -> DataFrame:
-    """Per unordered pair of skills: postings that name both."""
+    """Per unordered pair of skills: postings that name both, at least ``min_count``."""
+    return named_pairs(pair_counts(t["jobs_skills"], t["skills"], min_count=min_count), t)
+
+
+def named_pairs(counts: DataFrame, t: Tables) -> DataFrame:
+    """Pair counts with the names of both skills."""
     a = _names(t).select(F.col("skill_id").alias("skill_id_a"), F.col("skill").alias("skill_a"))
     b = _names(t).select(F.col("skill_id").alias("skill_id_b"), F.col("skill").alias("skill_b"))
-    return (
-        pair_counts(t["jobs_skills"], t["skills"])
-        .filter(F.col("pair_count") >= min_count)
-        .join(a, "skill_id_a")
-        .join(b, "skill_id_b")
-        .select("skill_id_a", "skill_a", "skill_id_b", "skill_b", "pair_count")
-    )
+    return counts.join(a, "skill_id_a").join(b, "skill_id_b").select("skill_id_a", "skill_a", "skill_id_b", "skill_b", "pair_count")
 
 
 def pay_sums_by_skill_id(t: Tables, currency: str | None = None, period: str | None = None) -> DataFrame:
@@ -95,7 +94,7 @@ def salary_by_skill(t: Tables, currency: str | None = None, period: str | None =
 
 def jobs_by_country(t: Tables) -> DataFrame:
     """Location rows per country; postings without a location row are not counted."""
-    return t["locations"].groupBy(_country()).agg(F.count(F.lit(1)).alias("jobs"))
+    return t["locations"].groupBy(country_name()).agg(F.count(F.lit(1)).alias("jobs"))
 
 
 def monthly_salary_by_skill(t: Tables) -> DataFrame:
@@ -135,7 +134,7 @@ def monthly_jobs_by_country(t: Tables) -> DataFrame:
     months = t["jobs"].filter(F.col("post_date").isNotNull()).select("job_id", month_of(F.col("post_date")).alias("month"))
     return (
         months.join(t["locations"].select("job_id", "country"), "job_id", "left")
-        .groupBy("month", _country())
+        .groupBy("month", country_name())
         .agg(F.count(F.lit(1)).alias("job_count"))
     )
 

@@ -58,6 +58,63 @@ TABLES = {
     "locations": LOCATIONS,
 }
 
+# What the marts are rolled up from, per month of the posting.
+FACTS = {
+    "facts/skills": T.StructType([
+        T.StructField("skill_id", _L), T.StructField("month", T.DateType()), T.StructField("annual", T.BooleanType()),
+        T.StructField("n", _L), T.StructField("last_seen", T.DateType()), T.StructField("sum_min", _D),
+        T.StructField("sum_max", _D), T.StructField("n_pay", _L),
+    ]),
+    "facts/pairs": T.StructType([
+        T.StructField("month", T.DateType()), T.StructField("skill_id_a", _L), T.StructField("skill_id_b", _L),
+        T.StructField("pair_count", _L),
+    ]),
+    "facts/countries": T.StructType([
+        T.StructField("month", T.DateType()), T.StructField("country", _S), T.StructField("job_count", _L),
+        T.StructField("located", _L),
+    ]),
+}
+
+_MEANS = [T.StructField("avg_min", _D), T.StructField("avg_max", _D), T.StructField("n", _L)]
+MARTS = {
+    "marts/skill_counts": T.StructType([
+        T.StructField("skill_id", _L), T.StructField("skill", _S), T.StructField("job_count", _L),
+        T.StructField("last_seen", T.DateType()),
+    ]),
+    "marts/monthly_skill_counts": T.StructType([
+        T.StructField("skill_id", _L), T.StructField("skill", _S), T.StructField("month", T.DateType()),
+        T.StructField("job_count", _L),
+    ]),
+    "marts/skill_cooccurrence": T.StructType([
+        T.StructField("skill_id_a", _L), T.StructField("skill_a", _S), T.StructField("skill_id_b", _L),
+        T.StructField("skill_b", _S), T.StructField("pair_count", _L),
+    ]),
+    "marts/salary_by_skill": T.StructType([T.StructField("skill_id", _L), T.StructField("skill", _S), *_MEANS]),
+    "marts/jobs_by_country": T.StructType([T.StructField("country", _S), T.StructField("jobs", _L)]),
+    "marts/monthly_salary_by_skill": T.StructType([T.StructField("month", T.DateType()), T.StructField("skill", _S), *_MEANS]),
+    "marts/monthly_jobs_by_country": T.StructType([
+        T.StructField("month", T.DateType()), T.StructField("country", _S), T.StructField("job_count", _L),
+    ]),
+    "marts/skill_mom_growth": T.StructType([
+        T.StructField("skill", _S), T.StructField("month", T.DateType()), T.StructField("job_count", _L),
+        T.StructField("prev_job_count", _L), T.StructField("mom_growth_pct", _D),
+    ]),
+}
+
+# Which postings of a month a step has taken in, and when.
+REFRESHED = T.StructType([
+    T.StructField("step", _S), T.StructField("month", T.DateType()), T.StructField("postings", _L),
+    T.StructField("last_job", _L), T.StructField("at", T.TimestampType()),
+])
+
+STORED = {**TABLES, **FACTS, **MARTS, "refreshed": REFRESHED}
+
+# Stored in one partition per month of the posting; undated postings in one of their own.
+MONTHLY = {
+    "jobs", "jobs_skills", "compensation", "locations", *FACTS,
+    "marts/monthly_skill_counts", "marts/monthly_salary_by_skill", "marts/monthly_jobs_by_country",
+}
+
 PRIMARY_KEYS = {
     "jobs": ["job_id"],
     "skills": ["skill_id"],

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import ISO_DATE, parse_post_date
 from ..operators.skills import dedupe_gazetteer
@@ -70,23 +70,33 @@ SEED_POSTINGS = [
 POSITION = ("_file", "_file_start", "_file_row")
 
 
+# A line with more or fewer fields than the header, as it stands in the file.
+MALFORMED = "_malformed"
+
+
 def _read(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
-    """All columns as text, named by the header, and ``POSITION``.
+    """All columns as text, named by the header, ``POSITION``, and ``MALFORMED`` where a row does not fit the header.
 
     Every file must have the same header; one with other columns, or the same in another order, is an error.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("inferSchema", False)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    options = {"header": True, "escape": '"', "multiLine": multiline, "inferSchema": False}
+    header = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
+    # All fields are parsed, also those nobody selects: only then can Spark tell that a row has too few or too many.
+    strict = {"enforceSchema": False, "columnNameOfCorruptRecord": MALFORMED, "columnPruning": False}
+    raw = spark.read.options(**options, **strict).schema(schema).csv(path)
     place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
     return raw.select("*", *[c.alias(n) for c, n in zip(place, POSITION)])
 
 
+def well_formed(df: DataFrame) -> DataFrame:
+    """``df`` without ``MALFORMED``; a row that does not fit the header is an error that shows it."""
+    reason = F.concat(F.lit("a row that does not fit the header: "), F.substring(MALFORMED, 1, 200))
+    first = df.columns[0]
+    bad = F.col(MALFORMED).isNotNull()
+    return df.withColumn(first, F.when(bad, F.raise_error(reason)).otherwise(F.col(first))).drop(MALFORMED)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``df`` itself, or an error that lists the columns it lacks; runs no job."""
     missing = [c for c in columns if c not in df.columns]
@@ -95,28 +105,26 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def read_jobs_texts(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Postings from a CSV file or folder as text columns, dates too, NA texts as NULL; with ``POSITION`` and ``MALFORMED``."""
+    raw = require_columns(_read(spark, path, multiline), CSV_COLUMNS)
+    return raw.select(*[F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in CSV_COLUMNS], MALFORMED, *POSITION)
+
+
 def read_jobs_csv(
-    spark: SparkSession,
-    path: str,
-    multiline: bool = False,
-    formats: Sequence[str] = (ISO_DATE,),
-    position: bool = False,
+    spark: SparkSession, path: str, multiline: bool = False, formats: Sequence[str] = (ISO_DATE,)
 ) -> DataFrame:
     """Postings from a CSV file or folder: text columns, ``post_date`` as a date, NA texts as NULL.
 
     ``multiline`` allows line breaks inside quoted fields but reads each file in one
-    task; without it large files split.  With ``position`` the columns ``POSITION`` and the date
-    text ``_date_text`` are kept.
+    task; without it large files split.  A row with more or fewer fields than the header is an error.
     """
-    raw = require_columns(_read(spark, path, multiline), CSV_COLUMNS)
-    clean = raw.select(*[F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in CSV_COLUMNS], *POSITION)
-    parsed = parse_post_date(clean.withColumn("_date_text", F.col("post_date")), formats=formats)
-    return parsed if position else parsed.drop("_date_text", *POSITION)
+    return parse_post_date(well_formed(read_jobs_texts(spark, path, multiline)).drop(*POSITION), formats=formats)
 
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """Skill dictionary ``(skill, skill_key, n_tokens)`` from a CSV with a ``skill`` column."""
-    raw = require_columns(_read(spark, path, multiline=False), ["skill"])
+    raw = well_formed(require_columns(_read(spark, path, multiline=False), ["skill"]))
     return dedupe_gazetteer(raw.select("skill", F.struct(*POSITION).alias("pos")))
 
 

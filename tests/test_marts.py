@@ -84,6 +84,21 @@ def test_cooccurrence(store, t):
     assert as_set(marts.skill_cooccurrence(t, min_count=2), "skill_a", "skill_b") == {("Go", "Postgres")}
 
 
+def test_rare_skills_leave_before_pairs_are_built(spark):
+    links = spark.createDataFrame([(j, k) for j in range(6) for k in (1, 2, 10 + j, 20 + j)], "job_id long, skill_id long")
+    names = spark.range(1, 40).selectExpr("id AS skill_id")
+    assert as_set(pairs.pair_counts(links, names, min_count=5)) == {(1, 2, 6)}
+    assert as_set(pairs.pair_counts(links, names, wide_skills=3, block=2, min_count=5)) == {(1, 2, 6)}
+    assert pairs.by_posting(pairs.frequent(links, 5)).count() == 6 and pairs.by_posting(links).count() == 36
+
+
+def test_links_to_unknown_skills_make_no_pairs(spark):
+    links = spark.createDataFrame([(1, k) for k in (1, 2, 3, 3, 8, 9)], "job_id long, skill_id long")
+    names = spark.createDataFrame([(1,), (2,), (3,)], "skill_id long")
+    for wide in (2, 10):
+        assert as_set(pairs.pair_counts(links, names, wide_skills=wide, block=2)) == {(1, 2, 1), (1, 3, 1), (2, 3, 1)}
+
+
 def test_salary_by_skill(store, t):
     got = {r["skill"]: (round(r["avg_min"], 2), round(r["avg_max"], 2), r["n"]) for r in mart(store, "salary_by_skill").collect()}
     assert len(got) == 13

@@ -1,3 +1,4 @@
+import pytest
 from fixtures import as_set, rows
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def test_without_a_named_folder_the_warehouse_is_used():
 
     settings = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse/"}
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
-    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"))
     assert staging.checkpoint_dir(session) == "hdfs://shared/warehouse/_staged"
 
 
@@ -146,6 +147,28 @@ def broken(spark):
     }
 
 
+def test_geocode_by_parts_of_the_place(spark):
+    where = spark.createDataFrame(
+        [(1, "Ulm", "BW", "DE"), (2, "Bonn", "NW", "DE"), (3, "Kiel", "SH", "DE"), (4, "Oslo", None, "NO"), (5, "Rome", "LZ", "IT"),
+         (6, None, None, None), (7, "", "NW", "DE"), (8, "Ulm", None, None), (1, "Ulm", "BW", "DE")],
+        "job_id long, city string, state string, country string")
+    places = spark.createDataFrame(
+        [("Ulm, BW, DE", 1.0, 1.0), ("Ulm, DE", 9.0, 9.0), ("Bonn, DE", 2.0, None), ("Bonn, DE", 3.0, 0.0), ("NW, DE", 4.0, 4.0), ("DE", 5.0, 5.0),
+         ("NO", None, 6.0), (None, 7.0, 7.0)], "place string, lat double, lon double")
+    got = geocode(where, places, fallback=True).select("job_id", "lat", "lon", "geocode_confidence", "geocode_level").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        (1, 1.0, 1.0, 0.7, 0), (1, 1.0, 1.0, 0.7, 0), (2, 2.0, None, 0.7, 1), (3, 5.0, 5.0, 0.7, 3), (4, None, 6.0, 0.7, 3),
+        (5, None, None, None, None), (6, None, None, None, None), (7, 4.0, 4.0, 0.7, 0), (8, None, None, None, None)], key=str)
+
+
+def test_a_machine_local_folder_is_refused_on_a_cluster():
+    from hirelens.operators.staging import below_warehouse
+
+    assert below_warehouse("file:/w/", "local[4]") == "file:/w/_staged" and below_warehouse("hdfs://n/w", "yarn") == "hdfs://n/w/_staged"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        below_warehouse("file:/w", "yarn")
+
+
 def test_integrity_checks(spark):
     t = broken(spark)
     assert as_set(quality.pk_violations(t)) == {("jobs", "1", 2), ("jobs_skills", "1,1", 2)}

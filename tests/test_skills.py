@@ -26,7 +26,7 @@ def no_skills(spark):
 
 def test_gazetteer_keeps_first_spelling(spark):
     got = as_set(gazetteer(spark, [" The", "of the", "the ", "", "\t", "Of The", "scikit-learn", "C++"]))
-    assert got == {("The", "the", 1), ("of the", "of the", 2), ("scikit-learn", "scikit-learn", 3), ("C++", "c++", 3)}
+    assert got == {("The", "the", 1), ("of the", "of the", 2), ("scikit-learn", "scikit-learn", 3), ("C++", "c++", 1)}
 
 
 def test_ten_postings(spark):
@@ -61,9 +61,38 @@ def test_edges(spark, text, expected):
     assert as_set(found, "surface") == {(s,) for s in expected}
 
 
+PROGRAMMING = ["C", "C++", "C#", "D", ".NET", "NET", "R", "Node", "Node.js", "Go"]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("We use C++ and C#", {"C++", "C#"}),
+        ("C++, C# and C.", {"C++", "C#", "C"}),
+        ("C++17 or c#8", {"C++", "c#"}),
+        ("C+ or C+D", {"C", "D"}),
+        ("C#Go", {"C#", "Go"}),
+        (".NET, ASP.NET (.NET)", {".NET"}),
+        ("It ends.NET begins", {"NET"}),
+        ("You know R. Then Go.", {"R", "Go"}),
+        ("Node.js or Node", {"Node.js", "Node"}),
+        ("We like Node.Go on", {"Node", "Go"}),
+        ("D3.js, R&D, C/C++", {"C", "C++"}),
+        ("...NET", {"NET"}),
+    ],
+)
+def test_signs_that_belong_to_a_name(spark, text, expected):
+    found = extract_skills(texts(spark, [(1, text)]), gazetteer(spark, PROGRAMMING))
+    assert as_set(found, "surface") == {(s,) for s in expected}
+
+
 def token_spans(text):
     """Tokens by the written rule, character by character."""
-    word = lambda k: k < len(text) and (text[k].isalnum() or text[k] == "_")
+    at = lambda k: text[k] if 0 <= k < len(text) else " "
+    word = lambda k: at(k).isalnum() or at(k) == "_"
+    joins_words = lambda k: word(k + 1) and (
+        at(k) == "&" or at(k) == "-" and (at(k - 1).isdigit() or at(k + 1).isdigit())
+        or at(k) == "." and not (at(k - 1).islower() and at(k + 1).isupper()))
     spans, i = [], 0
     while i < len(text):
         end = i + 1
@@ -71,19 +100,26 @@ def token_spans(text):
             i = end
             continue
         dots = 0
-        while text[i].isalpha() and dots < 10 and end + 1 < len(text) and text[end] == "." and text[end + 1].isalpha():
+        while text[i].isalpha() and dots < 10 and at(end) == "." and at(end + 1).isalpha():
             end, dots = end + 2, dots + 1
-        if dots and end < len(text) and text[end] == ".":
+        lead = at(i) == "." and at(i + 1).isalpha() and not (word(i - 1) or at(i - 1) in ".)]")
+        if dots and at(end) == ".":
             end += 1
-        elif word(i):
+        elif dots:
+            while word(end):
+                end += 1
+        elif word(i) or lead:
             while word(end):
                 end += 1
             joins = 0
-            while not dots and joins < 10 and end < len(text) and word(end + 1) and (
-                    text[end] == "&" or text[end] == "-" and (text[end - 1].isdigit() or text[end + 1].isdigit())):
+            while joins < 10 and joins_words(end):
                 end, joins = end + 2, joins + 1
                 while word(end):
                     end += 1
+            signs = 0
+            while at(end + signs) == (at(end) if at(end) in "+#" else None):
+                signs += 1
+            end += 0 if signs == 1 and at(end) == "+" and word(end + 1) else signs
         spans.append((i, end))
         i = end
     return spans
@@ -105,7 +141,7 @@ def naive_scan(items, phrases):
 def random_case(seed):
     rng = random.Random(seed)
     words = ["a", "b", "Ab", "éa", "R", "c", "x_1", "7"]
-    gaps = [" ", " ", " ", " ", "  ", "\n", "-", "+", "++", "/", ".", "&", ""]
+    gaps = [" ", " ", " ", " ", "  ", "\n", "-", "+", "++", "#", "/", ".", " .", "&", ""]
     items = [(i, "".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(0, 25)))) for i in range(900)]
     return items, ["a", "a b", "a-b", "r", "éa c", "c++", "ab/a", "x_1", "a b", "a r c", "b a r"]
 
@@ -119,16 +155,23 @@ def test_equals_naive_scan_and_both_joins_agree(spark, monkeypatch):
     assert as_set(extract_skills(df, words)) == expected
     monkeypatch.setattr(skills, "PREFILTER_TOKENS", 2)
     assert as_set(extract_skills(df, words)) == expected
-    monkeypatch.setattr(skills, "BROADCAST_ROWS", 2)
-    # Only eight-byte hashes are broadcast, and runs that are no phrase never reach the salted join.
-    hashed = extract_skills(df, words, spread=3)
-    text = hashed._jdf.queryExecution().sparkPlan().toString()
-    assert "LeftSemi" in text and "_salt" in text
-    assert as_set(hashed) == expected
-    monkeypatch.setattr(skills, "HASHED_PHRASES", 2)
-    salted = extract_skills(df, words, spread=3)
-    assert "BroadcastHashJoin" not in salted._jdf.queryExecution().sparkPlan().toString()
-    assert as_set(salted) == expected
+    # Beyond the bound only a bit set is broadcast, and runs that are no phrase never reach the salted join.
+    beyond = extract_skills(df, words, spread=3, max_rows=2)
+    text = beyond._jdf.queryExecution().sparkPlan().toString()
+    assert "bitmap_construct_agg" in text and "_salt" in text
+    assert as_set(beyond) == expected
+
+
+def test_a_bit_set_of_phrases_lets_few_others_through(spark):
+    phrases = spark.range(3000).selectExpr("concat('phrase ', id) AS skill_key")
+    runs = spark.range(30_000).selectExpr("id", "concat('phrase ', id) AS skill_key")
+    through = skills.maybe_phrases(runs, phrases, 3000)
+    assert through.columns == runs.columns
+    assert through.filter("id < 3000").count() == 3000 and through.filter("id >= 3000").count() < 27_000 / 8
+    sizes = skills.phrase_bits(phrases, 1 << 16).selectExpr("count(*)", "max(size(words))").first()
+    assert tuple(sizes) == (2, 512)
+    plan = through._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
 @pytest.mark.parametrize("long_tokens", [1, 2])

@@ -9,7 +9,7 @@ from hirelens import __main__ as cli, schemas
 from hirelens.plans import refresh
 from hirelens.sources.csv import read_gazetteer, read_jobs_csv, seed_postings
 from hirelens.sources.default_skills import DEFAULT_SKILLS, default_gazetteer
-from hirelens.sources.tables import DONE, TableStore, append_jobs
+from hirelens.sources.tables import TableStore, append_jobs
 
 HEADER = "url,title_raw,description_raw,company,source,post_date,location_raw,salary_raw,extra\n"
 
@@ -41,6 +41,46 @@ def test_more_date_formats(spark, tmp_path):
     assert as_set(got, "post_date") == {(date(2025, 9, 28),), (date(2025, 9, 29),)}
 
 
+@pytest.mark.parametrize("line", ["u9,T,d,c,s,,l,1,x,more,fields", "u9,T"])
+def test_rows_that_do_not_fit_the_header(spark, tmp_path, line):
+    path = write(tmp_path / "a.csv", f"u1,T,d,c,s,,l,1,\n{line}\nu2,T,d,c,s,,l,1,\n")
+    with pytest.raises(Exception, match="does not fit the header: u9,T"):
+        read_jobs_csv(spark, path).collect()
+    store = TableStore(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="1 rows do not fit the header, the first in .*a.csv: u9,T"):
+        refresh.load_postings(spark, store, path)
+    assert store.read("jobs").count() == 0
+    done = refresh.load_postings(spark, store, path, rejects=str(tmp_path / "rejects"))
+    assert (done.postings, done.malformed) == (2, 1) and store.read("jobs").count() == 2
+    kept = spark.read.json(str(tmp_path / "rejects")).collect()
+    assert [r["_malformed"] for r in kept] == [line] and kept[0]["_file"].endswith("a.csv")
+
+
+@pytest.mark.parametrize("days, fmt, want", [
+    (["2024-02-03", "2024-12-31", "soon", ""], "yyyy-MM-dd", [date(2024, 2, 3), date(2024, 12, 31), None, None]),
+    (["03/02/2024", "31/12/2024", "30/12/2024", "12/31/2024"], "d/M/yyyy", [date(2024, 2, 3), date(2024, 12, 31), date(2024, 12, 30), None]),
+    (["2/3/2024", "12/31/2024", "1/13/2024"], "M/d/yyyy", [date(2024, 2, 3), date(2024, 12, 31), date(2024, 1, 13)]),
+    (["3 Feb 2024", "Feb 4, 2024", "5 Mar 2024"], "d MMM yyyy", [date(2024, 2, 3), None, date(2024, 3, 5)]),
+    (["05/05/2024", "06/06/2024"], "d/M/yyyy", [date(2024, 5, 5), date(2024, 6, 6)]),
+    (["soon"], "yyyy-MM-dd", [None]),
+])
+def test_the_date_format_is_found_from_all_rows(spark, tmp_path, days, fmt, want):
+    path = write(tmp_path / "a.csv", "".join(f'u{i},T,d,c,s,"{day}",l,1,\n' for i, day in enumerate(days)))
+    store = TableStore(spark, str(tmp_path / "t"))
+    done = refresh.load_postings(spark, store, path)
+    assert done.formats == (fmt,)
+    assert [r["post_date"] for r in store.read("jobs").orderBy("job_id").collect()] == want
+    assert done.unparsed_dates == sum(w is None and d != "" for d, w in zip(days, want))
+
+
+def test_dates_that_fit_two_formats_alike_are_refused(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "u1,T,d,c,s,03/02/2024,l,1,\nu2,T,d,c,s,04/04/2024,l,1,\n")
+    store = TableStore(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="d/M/yyyy and M/d/yyyy alike"):
+        refresh.load_postings(spark, store, path)
+    assert refresh.load_postings(spark, store, path, formats=["M/d/yyyy"]).unparsed_dates == 0
+
+
 def test_missing_columns_are_listed(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("title_raw,company,source,post_date,location_raw,url\nx,x,x,x,x,x\n")
@@ -74,26 +114,64 @@ def test_append_gives_consecutive_ids_and_never_merges(spark, tmp_path):
 
 def test_load_without_title_is_refused_as_a_whole(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
-    with pytest.raises(ValueError, match="1 rows for jobs without title_raw"):
+    with pytest.raises(ValueError, match="a row for jobs without title_raw"):
         append_jobs(store, read_jobs_csv(spark, write(tmp_path / "a.csv", "u,T,d,c,s,,l,1,\nu,,d,c,s,,l,1,\n")))
-    assert not store.versions("jobs")
+    assert store.read("jobs").count() == 0
+
 
+COUNTRIES = "country string, jobs long"
 
-def test_replace_keeps_the_previous_version_readable(spark, tmp_path):
+
+def test_marts_are_replaced_whole_also_by_nothing(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    mart = lambda *r: spark.createDataFrame(list(r), COUNTRIES)
+    assert as_set(store.overwrite("marts/jobs_by_country", mart(("A", 1), ("B", 2)))) == {("A", 1), ("B", 2)}
+    kept = store.read("marts/jobs_by_country").filter("jobs > 1")
+    assert as_set(store.overwrite("marts/jobs_by_country", kept)) == {("B", 2)}
+    assert store.overwrite("marts/jobs_by_country", mart()).count() == 0
+
+
+def files(root, name):
+    return {str(f.relative_to(root / name)) for f in (root / name).rglob("*.parquet")}
+
+
+def failing(df, column):
+    """``df`` with a last row that fails while it is written."""
+    return df.unionByName(df.limit(1).withColumn(column, F.raise_error(F.lit("torn")).cast(df.schema[column].dataType)))
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_a_load_that_fails_leaves_the_tables_as_they_were(spark, tmp_path, buckets):
+    store = TableStore(spark, str(tmp_path / "t"), buckets)
+    refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
+    refresh.refresh_all(store, write_skills_csv(tmp_path / "s.csv"))
+    before = {name: (files(tmp_path / "t", name), sorted(map(str, store.read(name).collect()))) for name in schemas.STORED}
+    with pytest.raises(Exception, match="torn"):
+        append_jobs(store, failing(seed_postings(spark).repartition(2), "title_raw"))
+    pay = store.read("compensation", with_month=True)
+    with pytest.raises(Exception, match="torn"):
+        store.merge("compensation", failing(pay, "currency"), list(store.partitions("compensation")))
+    with pytest.raises(Exception, match="torn"):
+        store.overwrite("marts/jobs_by_country", failing(refresh.load_mart(store, "jobs_by_country"), "country"))
+    after = {name: (files(tmp_path / "t", name), sorted(map(str, store.read(name).collect()))) for name in schemas.STORED}
+    assert after == before
+
+
+def test_another_session_finds_the_tables_by_their_folder(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
-    first = store.replace("marts/m", spark.range(3))
-    second = store.replace("marts/m", first.filter("id > 0"))
-    assert (first.count(), second.count()) == (3, 2)
-    store.replace("marts/m", spark.range(1))
-    assert store.versions("marts/m") == ["v000002", "v000003"]
+    refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
+    refresh.refresh_all(store, write_skills_csv(tmp_path / "s.csv"))
+    held = {name: as_set(store.read(name)) for name in schemas.STORED}
+    spark.sql(f"DROP DATABASE {store.database} CASCADE")  # the files stay: the tables are external
+    again = TableStore(spark, str(tmp_path / "t"))
+    assert {name: as_set(again.read(name)) for name in schemas.STORED} == held
 
 
-def test_unfinished_version_is_ignored(spark, tmp_path):
+def test_no_code_of_ours_marks_or_numbers_what_is_stored(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
-    store.replace("marts/m", spark.range(3))
-    (tmp_path / "t" / "marts" / "m" / "v000002" / "b000001").mkdir(parents=True)
-    assert store.read("marts/m").count() == 3
-    assert store.replace("marts/m", spark.range(4)).count() == 4
+    append_jobs(store, seed_postings(spark))
+    names = {f.name for f in (tmp_path / "t" / "jobs").iterdir() if not f.name.startswith((".", "_SUCCESS"))}
+    assert names == {"month=2025-09-01", "month=2025-10-01"}
 
 
 def test_empty_store_reads_as_declared(spark, tmp_path):
@@ -126,14 +204,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, monkeypatch):
     store = TableStore(spark, str(tmp_path / "t"), buckets=3)
     refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
     refresh.refresh_all(store, write_skills_csv(tmp_path / "s.csv"))
-    assert store.versions("jobs") == ["v000001-b3"] and store.versions("skills") == ["v000001"]
-    for name in ("jobs", "jobs_skills", "compensation"):
-        spark.sql(f"DROP TABLE {store._catalog_name(name, store.versions(name)[-1])}")
+    spark.sql(f"DROP DATABASE {store.database} CASCADE")
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)
     spark.conf.set(threshold, "-1")
     try:
-        facts = refresh.skill_facts(TableStore(spark, str(tmp_path / "t")).tables())
+        facts = refresh.skill_facts(TableStore(spark, str(tmp_path / "t"), buckets=3).tables())
         plan = facts._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") == 2
         assert plan.count("Exchange hashpartitioning") == 1
@@ -194,7 +270,7 @@ def test_reports_are_written_in_full(spark, tmp_path):
     """More countries than any printed table would show."""
     store = TableStore(spark, str(tmp_path / "t"))
     many = spark.range(3000).selectExpr("concat('c', id) AS country", "id AS jobs")
-    store.replace("marts/jobs_by_country", many)
+    store.overwrite("marts/jobs_by_country", many)
     args = cli.parser().parse_args(["--root", str(tmp_path / "t"), "jobs-by-country", "--out", str(tmp_path / "out")])
     cli.run(spark, args)
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 3000
@@ -204,7 +280,7 @@ def test_load_options_of_the_command_line(spark, tmp_path, capsys):
     root = ["--root", str(tmp_path / "t")]
     path = write(tmp_path / "a.csv", "u1,T,d,c,s,28.09.2025,l,\"$55,000-$75,000\",\nu2,T,d,c,s,soon,l,1,\nu3,T,d,c,s,,l,1,\n")
     cli.run(spark, cli.parser().parse_args(root + ["load", path, "--date-format", "yyyy-MM-dd", "--date-format", "dd.MM.yyyy"]))
-    assert "3 postings loaded, 1 with a date in none" in capsys.readouterr().out
+    assert "3 postings loaded, 1 with a date in none of the formats (yyyy-MM-dd, dd.MM.yyyy); 0 malformed" in capsys.readouterr().out
     cli.run(spark, cli.parser().parse_args(root + ["enrich-salary", "--thousands"]))
     pay = TableStore(spark, str(tmp_path / "t")).read("compensation")
     assert (1, 55000.0, 75000.0) in as_set(pay, "job_id", "min", "max")
@@ -249,43 +325,65 @@ def test_large_single_line_files_split(spark, tmp_path):
 @pytest.mark.parametrize("buckets", [None, 2])
 def test_repeated_and_missing_keys_are_refused(spark, tmp_path, buckets):
     store = TableStore(spark, str(tmp_path / "t"), buckets)
-    links = lambda *r: spark.createDataFrame(list(r), "job_id long, skill_id long")
+    links = lambda *r: spark.createDataFrame([(*x, date(2024, 1, 1)) for x in r], "job_id long, skill_id long, month date")
     store.append("jobs_skills", links((1, 1), (1, 2)))
-    for bad, what in ((links((1, 1)), "1,1"), (links((3, 3), (3, 3)), "3,3"), (links((None, 1)), "without job_id")):
+    for bad, what in ((links((1, 1)), "key 1,1 is stored"), (links((3, 3), (3, 3)), "key 3,3 stands twice"),
+                      (links((None, 1)), "without job_id"), (links((5, 5), (5, None)), "without skill_id")):
         with pytest.raises(ValueError, match=what):
             store.append("jobs_skills", bad)
-    with pytest.raises(ValueError, match="4,4"):
-        store.replace("jobs_skills", links((4, 4), (4, 4)))
+    with pytest.raises(ValueError, match="without skill_id"):
+        store.overwrite("jobs_skills", links((4, None)))
     store.append("jobs_skills", links((2, 1)))
     assert as_set(store.read("jobs_skills")) == {(1, 1), (1, 2), (2, 1)}
 
 
-def test_lost_marks_are_an_error_not_an_empty_table(spark, tmp_path):
+def snapshot(store):
+    named = {name: store.read(f"marts/{name}") for name in refresh.MARTS}
+    return {name: as_set(df) for name, df in {**named, "links": store.read("jobs_skills"), "pay": store.read("compensation")}.items()}
+
+
+def test_a_second_load_rewrites_only_its_months(spark, tmp_path):
+    """Dated postings, then three more: in a stored month, in a new month and without a date."""
+    root = tmp_path / "t"
+    store = TableStore(spark, str(root), buckets=2)
+    skills = write_skills_csv(tmp_path / "s.csv")
+    refresh.load_postings(spark, store, write_postings_csv(tmp_path / "p.csv"))
+    refresh.refresh_all(store, skills)
+    monthly = ["jobs", "jobs_skills", "compensation", "locations", *schemas.FACTS, "marts/monthly_skill_counts"]
+    before = {name: files(root, name) for name in monthly}
+    more = [("n1", "T", "Kafka and Go", "2024-03-30"), ("n2", "T", "Kafka and Go", "2025-01-05"), ("n3", "T", "Rust and Go", "")]
+    path = write(tmp_path / "more.csv", "".join(f"{u},{t},{d},c,s,{day},Lyon | France,€48k-€56k/year,\n" for u, t, d, day in more))
+    refresh.load_postings(spark, store, path)
+    touched = {date(2024, 3, 1), date(2025, 1, 1), None}
+    assert set(refresh.stale_months(store, "skills")) == touched == set(refresh.stale_months(store, "marts"))
+    assert all("month=2024-03" in f or "month=2025-01" in f or "HIVE_DEFAULT" in f for f in store.tables(list(touched))["jobs"].inputFiles())
+    refresh.refresh_all(store, skills)
+    assert refresh.stale_months(store, "marts") == []
+    for name in monthly:
+        new = files(root, name) - before[name]
+        gone = before[name] - files(root, name)
+        parts = {f.split("/")[0] for f in new | gone}
+        assert parts <= {"month=2024-03-01", "month=2025-01-01", "month=__HIVE_DEFAULT_PARTITION__"}, name
+        assert new, name
+    small = snapshot(store)
+    refresh.refresh_all(store, skills, full=True)
+    assert snapshot(store) == small
+
+
+def test_enriched_months_are_stale_for_the_marts(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
-    append_jobs(store, seed_postings(spark))
-    for mark in (tmp_path / "t" / "jobs").rglob(DONE):
-        mark.unlink()
-    with pytest.raises(ValueError, match="none is finished"):
-        store.read("jobs")
+    refresh.load_postings(spark, store, write(tmp_path / "a.csv", "u1,T,d,c,s,2024-01-05,l,\"$55,000-$75,000\",\nu2,T,d,c,s,2024-02-05,l,5k,\n"))
+    refresh.refresh_all(store, write_skills_csv(tmp_path / "s.csv"))
+    assert refresh.run_compensation(store) == [] == refresh.stale_months(store, "marts")
+    assert set(refresh.run_compensation(store, thousands=True, full=True)) == {date(2024, 1, 1), date(2024, 2, 1)} == set(refresh.stale_months(store, "marts"))
 
 
-@pytest.mark.parametrize("buckets", [None, 2])
-def test_failed_append_leaves_the_table_as_it_was(spark, tmp_path, buckets, monkeypatch):
-    store = TableStore(spark, str(tmp_path / "t"), buckets)
-    append_jobs(store, seed_postings(spark))
-    write_to, broken = TableStore._write, []
-
-    def fails(self, name, version, df, batch=1):
-        write_to(self, name, version, df, batch)
-        for mark in (tmp_path / "t" / name / version / f"b{batch:06d}").glob(DONE):
-            mark.unlink()  # as if the program had ended before the mark
-        broken.append(version)
-        raise OSError("lost")
-
-    monkeypatch.setattr(TableStore, "_write", fails)
-    with pytest.raises(OSError):
-        append_jobs(store, seed_postings(spark))
-    monkeypatch.undo()
-    assert broken and store.read("jobs").count() == 3
-    append_jobs(store, seed_postings(spark))
-    assert [r["job_id"] for r in store.read("jobs").orderBy("job_id").collect()] == [1, 2, 3, 4, 5, 6]
+def test_months_that_lose_their_rows_are_emptied(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    facts = lambda *r: spark.createDataFrame(list(r), schemas.FACTS["facts/pairs"])
+    jan, feb = date(2024, 1, 1), date(2024, 2, 1)
+    store.overwrite("facts/pairs", facts((jan, 1, 2, 5), (feb, 1, 2, 6), (None, 1, 2, 7)))
+    store.overwrite("facts/pairs", facts((jan, 1, 3, 1)), [jan, feb])
+    assert as_set(store.read("facts/pairs")) == {(jan, 1, 3, 1), (None, 1, 2, 7)}
+    store.overwrite("facts/pairs", facts(), [None])
+    assert as_set(store.read("facts/pairs", [jan, None])) == {(jan, 1, 3, 1)}
