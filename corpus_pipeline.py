@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelens.llm import decontaminate, mixing, packing, quality, simhash
-from hirelens.llm.common import read, stage
+from hirelens.llm.common import free_name, read
 from hirelens.llm.shipping import shipped
+from hirelens.operators.staging import scratch_path, staging_scope
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +25,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     model = quality.fit(docs, read(spark, sf_dir, "labels"), learn_from=~quality.in_hold_out())
     if model is None:
         return docs
-    scored = quality.scores(docs, model, threshold=0.7, score_col="_score", label_col="_accepted")
-    return scored.filter(F.col("_accepted") == 1).select(*docs.columns)
+    score, accepted = free_name("_score", docs.columns), free_name("_accepted", docs.columns)
+    scored = quality.scores(docs, model, threshold=0.7, score_col=score, label_col=accepted)
+    return scored.filter(F.col(accepted) == 1).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,5 +82,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = read(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "_").replace("/", ""))
+        path = f"{scratch_path(spark, name.replace(' ', '_').replace('/', ''))}/rows"
+        with staging_scope(spark):  # what a stage stages for itself goes once its result is written
+            made = function(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs

@@ -19,9 +19,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Only the named columns of ``docs``: extra columns cannot clash with what an operator adds."""
-    return docs.select(*[docs[c] for c in columns])
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, or with underscores before it until no column of ``taken`` has it, in any case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
+def byte_slices(texts: pa.Array, limit: int = STEP_BYTES, rows: int | None = None) -> Iterator[pa.Array]:
+    """Cut an array of texts into slices of about ``limit`` bytes (one text at least) and at most ``rows`` texts."""
+    table = pa.RecordBatch.from_arrays([texts], names=["text"])
+    for step in byte_steps(iter([table]), "text", limit):
+        for at in range(0, step.num_rows, rows or step.num_rows):
+            yield step.column("text").slice(at, rows or step.num_rows)
 
 
 def byte_steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

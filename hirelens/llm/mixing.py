@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hirelens.llm.common import running_total, stage, table_join
+from hirelens.llm.common import STEP_BYTES, byte_steps, free_name, running_total, stage, table_join
 from hirelens.operators.ids import dense_ids
 from hirelens.operators.lookup import fits_broadcast
 
@@ -273,7 +273,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), block
     """
     import re
 
-    row, spans = "_mix_row", "_mix_spans"
+    row, spans = free_name("_mix_row", docs.columns), free_name("_mix_spans", docs.columns)
     stored = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mixed_docs")
     narrow = stored.select(F.col(row).alias("row"), stored[id_col].alias("id"), stored[source_col].alias("source"),
                            word_count(stored[text_col]).alias("size"))
@@ -282,24 +282,33 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), block
     wanted = made.pieces.groupBy(F.col("row").alias(row)).agg(
         F.sort_array(F.collect_list(F.struct("pass", "from_word", "to_word"))).alias(spans)
     )
-    kept, find = docs.columns, re.compile(WORD).finditer
+    kept, find, limit = docs.columns, re.compile(WORD).finditer, STEP_BYTES
+
+    def rows_of(batch: pa.RecordBatch, takes: list[int], texts: list[str]) -> pa.RecordBatch:
+        """The taken rows with their new texts; the old texts are not copied."""
+        new = pa.array(texts, batch.column(text_col).type)
+        changed = {text_col: new}
+        if length_col in kept:
+            changed[length_col] = pc.utf8_length(new).cast(batch.column(length_col).type)
+        at = pa.array(takes, pa.int64())
+        return pa.RecordBatch.from_arrays([changed[c] if c in changed else batch.column(c).take(at) for c in kept], names=kept)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            takes, texts = [], []
-            for at, (text, own) in enumerate(zip(batch.column(text_col).to_pylist(), batch.column(spans).to_pylist())):
+        for batch in byte_steps(batches, text_col, limit):
+            takes, texts, held = [], [], 0
+            for at in range(batch.num_rows):
+                text, own = batch.column(text_col)[at].as_py(), batch.column(spans)[at].as_py()
                 bounds = [m.span() for m in find(text)]
                 for first, last in merged(own):
                     whole = first == 0 and last == len(bounds)
                     takes.append(at)
                     texts.append(text if whole else text[bounds[first][0] : bounds[last - 1][1]])
-            out = batch.select(kept).take(pa.array(takes, pa.int64()))
-            new = pa.array(texts, batch.column(text_col).type)
-            out = out.set_column(kept.index(text_col), text_col, new)
-            if length_col in kept:
-                lengths = pc.utf8_length(new).cast(batch.column(length_col).type)
-                out = out.set_column(kept.index(length_col), length_col, lengths)
-            yield out
+                    held += len(texts[-1])
+                    if held > limit:
+                        yield rows_of(batch, takes, texts)
+                        takes, texts, held = [], [], 0
+            if takes:
+                yield rows_of(batch, takes, texts)
 
     return stored.join(wanted, row).mapInArrow(cut, docs.schema)
 

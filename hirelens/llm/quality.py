@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelens.llm.common import byte_steps, stage, table_join
+from hirelens.llm.common import byte_slices, byte_steps, stage, table_join
 
 # ---- terms ----
 
@@ -172,8 +172,8 @@ def scores(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
     def voted(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in parts:
             made = [np.zeros(0)]
-            for at in range(0, len(texts), block):
-                step = [t or b"" for t in texts.slice(at, block).cast(pa.binary()).to_pylist()]
+            for part in byte_slices(texts, rows=block):
+                step = [t or b"" for t in part.cast(pa.binary()).to_pylist()]
                 made.append(vote(shared.value.project(step), shared.value))
             yield pa.array(np.concatenate(made), pa.float64())
 

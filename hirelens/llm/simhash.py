@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelens.llm.common import byte_steps, stage, table_join
+from hirelens.llm.common import byte_slices, byte_steps, free_name, stage, table_join
 from hirelens.llm.components import components
 from hirelens.operators.lookup import fits_broadcast
 
@@ -265,7 +265,7 @@ def _hex(fp: Column) -> Column:
 def _fingerprint_of(text: Column, shingle_words: int) -> Column:
     def hashed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in parts:
-            made = [fingerprint(t, shingle_words) for t in texts.cast(pa.binary()).to_pylist()]
+            made = [fingerprint(t, shingle_words) for part in byte_slices(texts) for t in part.cast(pa.binary()).to_pylist()]
             yield pa.array(np.array(made, np.uint64).view(np.int64))
 
     return _hex(F.arrow_udf(hashed, "bigint")(text))
@@ -296,9 +296,10 @@ def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_
     kept = table_join(kept, alike, [id_col], "left_anti").unionByName(once)
     if mixed.isEmpty():
         return kept
+    name = free_name("_fingerprint", docs.columns)
     firsts = table_join(marked.filter("first"), mixed, [id_col], "left_semi")
-    firsts = stage(firsts.select(id_col, F.col("fingerprint").alias("_fingerprint")).distinct(), "mixed_firsts")
+    firsts = stage(firsts.select(id_col, F.col("fingerprint").alias(name)).distinct(), "mixed_firsts")
     own = table_join(docs, mixed, [id_col], "left_semi")
-    own = own.withColumn("_fingerprint", _fingerprint_of(own[text_col], shingle_words))
-    own = table_join(own, firsts, [id_col, "_fingerprint"], "left_semi").dropDuplicates([id_col, "_fingerprint"])
+    own = own.withColumn(name, _fingerprint_of(own[text_col], shingle_words))
+    own = table_join(own, firsts, [id_col, name], "left_semi").dropDuplicates([id_col, name])
     return kept.unionByName(own.select(*docs.columns))

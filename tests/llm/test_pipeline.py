@@ -129,3 +129,33 @@ def test_odd_documents(spark, tmp_path):
         assert {d for r in packed for d in r.doc_ids} == left
         assert not left & {2, 4, 5} and not any(i is not None and i >= 130 for i in left)
         assert not given or left
+
+
+def test_columns_named_like_those_inside_come_back(spark):
+    """Extra columns with the names that stages use for themselves keep their values."""
+    from hirelens.llm import mixing, simhash
+    from hirelens.llm.common import free_name
+
+    assert free_name("_a", ["x"]) == "_a" and free_name("_a", ["_A", "__a"]) == "___a"
+    extra = "_mix_row int, _mix_spans string, _fingerprint string, _score double, _accepted int"
+    rows = [(i, f"text number {i} " * 9, "en", "s", 1, 7, "spans", "print", 0.5, 3) for i in (1, 2, 2, 3)] + [(2, "other words here", "en", "s", 1, 7, "spans", "print", 0.5, 3)]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}")
+    names = [c.split()[0] for c in extra.split(", ")]
+    mixed = mixing.mixed_documents(docs)
+    groups = simhash.simhash_groups(docs, shingle_words=4, distance=4, first_col="first")
+    deduped = simhash.keep_first(docs, groups, shingle_words=4, first_col="first")
+    scored = corpus_pipeline.quality_classifier(spark, docs, "/root/testdata/sf0.001")
+    for made in (mixed, deduped, scored):
+        assert made.columns == docs.columns
+        assert {tuple(r) for r in made.select(*names).collect()} <= {(7, "spans", "print", 0.5, 3)}
+    assert deduped.filter("doc_id = 2").count() == 2
+
+
+def test_long_stretches_are_written_in_steps(spark, monkeypatch):
+    from hirelens.llm import mixing
+
+    monkeypatch.setattr(mixing, "STEP_BYTES", 200)
+    docs = spark.createDataFrame([(i, "word " * 100, "en", "s", 500) for i in range(40)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    made = mixing.mixed_documents(docs)
+    assert made.selectExpr("sum(size(split(trim(text), ' ')))").first()[0] == 4000
+    assert made.filter("length(text) <> n_chars").count() == 0
