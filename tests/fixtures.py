@@ -1,40 +1,35 @@
-"""Ten postings and a dictionary with results worked out by hand."""
+"""Seven postings and a dictionary with results worked out by hand.
+
+One posting for each thing the parsers and marts must tell apart: a range per year, a range per hour, no pay at all, one
+number without a period, a posting without a date, pay in words, a posting without a place; countries given, missing
+and by one part alone; phrases that overlap, signs that belong to a name, several spellings, no phrase at all.
+"""
 
 from datetime import date
 
-# (title, description, date, location, salary); ids are 1..10 in this order.
+# (title, description, date, location, salary); ids are 1..7 in this order.
 POSTINGS = [
-    ("Backend developer", "Go services with Postgres and Kafka; Rust is a plus.", "2024-03-12", "Lyon | France",
-     "€48k-€56k/year"),
-    ("Site reliability", "Kafka on Kubernetes. Terraform, please!", "2024-04-02", "Remote / DE", "EUR 45-60/hour"),
-    ("Reporting", "Postgres, Metabase and Go; Excel helps.", "2024-03-28", "Wels, OO, Austria", "38k-46k"),
-    ("Search engineer", "You tune lucene all day.", "2024-02-17", "Graz, ST, Austria", "€52k-€61k/yr"),
-    ("Pipelines", "Flink, Go and Delta Lake.", "2024-01-09", "Turin, TO, Italy", "€41k-€49k/yr"),
-    ("Theory", "Proofs, and more proofs.", "2024-05-20", "Krems, NO, Austria", "£70k-£82k/yr"),
-    ("Dashboards", "Metabase, ElasticSearch, D3.js.", "2024-03-03", "Bari, BA, Italy", "€36k-€44k/yr"),
-    ("Platform", "Kafka plus CI/CD; Ansible.", "2024-02-25", "Steyr, OO, Austria", "€55k-€63k/yr"),
-    ("Finance data", "Postgres with Delta Lake.", "2024-01-30", "Como, CO, Italy", "€60k-€70k/yr"),
-    ("On call", "Nights and weekends.", "2024-03-19", "Enns, OO, Austria", "€40k-€50k/yr"),
+    ("Boilermaker", "Welding and brazing; forklift licence.", "2023-05-04", "Porto / Portugal", "€30k-€34k/year"),
+    ("Night shift", "Forklift work in cold storage.", "2023-05-20", "Braga, Portugal", "EUR 18-22/hour"),
+    ("Helper", "No tools needed.", "2023-07-02", "Graz", ""),
+    ("Machinist", "CNC milling, welding, C++.", "2023-07-11", "Linz, OO, Austria", "£40k"),
+    ("Driver", "Forklift; welding.", "", "Wien, W, Austria", "$25/hour"),
+    ("Jeweller", "Brazing & welding in R.", "2023-09-30", "Faro | Portugal", "€36k-€40k per year"),
+    ("Yard", "Forklift only.", "2023-09-12", "", "competitive"),
 ]
 
-SKILLS = ["Go", "Postgres", "Kafka", "Rust", "Kubernetes", "Terraform", "Metabase", "Excel", "Lucene", "Flink",
-          "Delta Lake", "Ansible", "Search", "ElasticSearch", "Elastic Search", "event-driven", "C", "D", "go", " "]
+SKILLS = ["Welding", "Brazing", "Forklift", "Cold Storage", "CNC", "CNC milling", "C", "C++", "R", "First Aid", "Docker", "welding", " "]
 
 SURFACES = {
-    1: ["Go", "Kafka", "Postgres", "Rust"],
-    2: ["Kafka", "Kubernetes", "Terraform"],
-    3: ["Excel", "Go", "Metabase", "Postgres"],
-    4: ["lucene"],
-    5: ["Delta Lake", "Flink", "Go"],
-    7: ["ElasticSearch", "Metabase"],
-    8: ["Ansible", "Kafka"],
-    9: ["Delta Lake", "Postgres"],
+    1: ["Welding", "brazing", "forklift"],
+    2: ["Forklift", "cold storage"],
+    4: ["C++", "CNC", "CNC milling", "welding"],
+    5: ["Forklift", "welding"],
+    6: ["Brazing", "R", "welding"],
+    7: ["Forklift"],
 }
 
-SKILL_IDS = {
-    1: "Go", 2: "Kafka", 3: "Postgres", 4: "Rust", 5: "Kubernetes", 6: "Terraform", 7: "Excel", 8: "Metabase",
-    9: "lucene", 10: "Delta Lake", 11: "Flink", 12: "ElasticSearch", 13: "Ansible",
-}
+SKILL_IDS = {1: "Welding", 2: "brazing", 3: "forklift", 4: "cold storage", 5: "C++", 6: "CNC", 7: "CNC milling", 8: "R"}
 
 
 def write_postings_csv(path) -> str:

@@ -31,28 +31,25 @@ def mart(store, name):
 
 def test_skill_counts(store):
     got = {r["skill"]: (r["job_count"], r["last_seen"]) for r in mart(store, "skill_counts").collect()}
-    assert len(got) == 13
-    assert got["Go"] == got["Postgres"] == (3, date(2024, 3, 28))
-    assert got["Kafka"] == (3, date(2024, 4, 2))
-    assert got["Metabase"] == (2, date(2024, 3, 28)) and got["Delta Lake"] == (2, date(2024, 1, 30))
-    assert sum(n for n, _ in got.values()) == 21
+    assert len(got) == 8
+    assert got["Welding"] == (4, date(2023, 9, 30)) and got["forklift"] == (4, date(2023, 9, 12))
+    assert got["brazing"] == (2, date(2023, 9, 30)) and got["cold storage"] == (1, date(2023, 5, 20))
+    assert sum(n for n, _ in got.values()) == 15
 
 
 def test_monthly_skill_counts(store):
     got = as_set(mart(store, "monthly_skill_counts"), "skill", "month", "job_count")
-    assert len(got) == 17
-    for skill in ("Go", "Postgres"):
-        assert {(skill, month("2024-01"), 1), (skill, month("2024-03"), 2)} <= got
-    assert {("Kafka", month(f"2024-0{m}"), 1) for m in (2, 3, 4)} <= got
-    assert {("Delta Lake", month("2024-01"), 2), ("Metabase", month("2024-03"), 2)} <= got
+    may, july, september = {("Welding", 1), ("brazing", 1), ("forklift", 2), ("cold storage", 1)}, {
+        ("C++", 1), ("CNC", 1), ("CNC milling", 1), ("Welding", 1)}, {("brazing", 1), ("Welding", 1), ("R", 1), ("forklift", 1)}
+    assert got == {(s, month(m), n) for m, of in (("2023-05", may), ("2023-07", july), ("2023-09", september)) for s, n in of}
 
 
 def test_growth(store):
     got = as_set(mart(store, "skill_mom_growth"), "skill", "month", "mom_growth_pct")
-    assert len(got) == 17
+    assert len(got) == 12
     assert {g for g in got if g[2] is not None} == {
-        ("Go", month("2024-03"), 100.0), ("Postgres", month("2024-03"), 100.0),
-        ("Kafka", month("2024-03"), 0.0), ("Kafka", month("2024-04"), 0.0),
+        ("Welding", month("2023-07"), 0.0), ("Welding", month("2023-09"), 0.0), ("brazing", month("2023-09"), 0.0),
+        ("forklift", month("2023-09"), -50.0),
     }
 
 
@@ -78,10 +75,10 @@ def test_growth_rounds_halves_away_from_zero_and_keeps_zero_base_empty(spark):
 
 def test_cooccurrence(store, t):
     got = as_set(mart(store, "skill_cooccurrence"))
-    assert len(got) == 20
+    assert len(got) == 12
     assert all(a < b for a, _, b, _, _ in got)
-    assert {(a, b, n) for _, a, _, b, n in got if n > 1} == {("Go", "Postgres", 2)}
-    assert as_set(marts.skill_cooccurrence(t, min_count=2), "skill_a", "skill_b") == {("Go", "Postgres")}
+    assert {(a, b, n) for _, a, _, b, n in got if n > 1} == {("Welding", "brazing", 2), ("Welding", "forklift", 2)}
+    assert as_set(marts.skill_cooccurrence(t, min_count=2), "skill_a", "skill_b") == {("Welding", "brazing"), ("Welding", "forklift")}
 
 
 def test_rare_skills_leave_before_pairs_are_built(spark):
@@ -101,30 +98,27 @@ def test_links_to_unknown_skills_make_no_pairs(spark):
 
 def test_salary_by_skill(store, t):
     got = {r["skill"]: (round(r["avg_min"], 2), round(r["avg_max"], 2), r["n"]) for r in mart(store, "salary_by_skill").collect()}
-    assert len(got) == 13
-    assert got["Go"] == (42333.33, 50333.33, 3)
-    assert got["Postgres"] == (48666.67, 57333.33, 3)
-    assert got["Kafka"] == (34348.33, 39686.67, 3)
-    assert got["Metabase"] == (37000.0, 45000.0, 2)
-    assert got["Kubernetes"] == (45.0, 60.0, 1)
+    assert len(got) == 8
+    assert got["Welding"] == (26506.25, 28506.25, 4)
+    assert got["forklift"] == (10014.33, 11349.0, 3)
+    assert got["brazing"] == (33000.0, 37000.0, 2)
+    assert got["C++"] == (40000.0, 40000.0, 1)
     hourly = as_set(marts.salary_by_skill(t, currency="EUR", period="hour"), "skill", "avg_min")
-    assert hourly == {("Kafka", 45.0), ("Kubernetes", 45.0), ("Terraform", 45.0)}
+    assert hourly == {("forklift", 18.0), ("cold storage", 18.0)}
 
 
 def test_monthly_salary_by_skill(store):
     got = as_set(mart(store, "monthly_salary_by_skill"))
-    assert len(got) == 14
-    assert {(month("2024-03"), s, 43000.0, 51000.0, 2) for s in ("Go", "Postgres")} <= got
-    assert (month("2024-01"), "Delta Lake", 50500.0, 59500.0, 2) in got
-    assert not any(g[0] == month("2024-04") for g in got)
+    pay = {"2023-05": (30000.0, 34000.0, ["Welding", "brazing", "forklift"]), "2023-07": (40000.0, 40000.0, ["C++", "CNC", "CNC milling", "Welding"]),
+           "2023-09": (36000.0, 40000.0, ["brazing", "Welding", "R"])}
+    assert got == {(month(m), skill, low, high, 1) for m, (low, high, skills) in pay.items() for skill in skills}
 
 
 def test_countries(store):
-    assert as_set(mart(store, "jobs_by_country")) == {("Austria", 5), ("Italy", 3), ("France", 1), ("Unknown", 1)}
+    assert as_set(mart(store, "jobs_by_country")) == {("Portugal", 3), ("Austria", 2), ("Unknown", 1)}
     assert as_set(mart(store, "monthly_jobs_by_country")) == {
-        (month("2024-01"), "Italy", 2), (month("2024-02"), "Austria", 2), (month("2024-03"), "Austria", 2),
-        (month("2024-03"), "Italy", 1), (month("2024-03"), "France", 1), (month("2024-04"), "Unknown", 1),
-        (month("2024-05"), "Austria", 1),
+        (month("2023-05"), "Portugal", 2), (month("2023-07"), "Unknown", 1), (month("2023-07"), "Austria", 1),
+        (month("2023-09"), "Portugal", 1), (month("2023-09"), "Unknown", 1),
     }
 
 
@@ -210,48 +204,45 @@ def test_pairs_count_postings_whatever_the_dictionary_size(spark, wide_skills):
 # ---- reports ----
 
 
-def test_reports_on_ten_postings(store, t):
+def test_reports_on_the_postings(store, t):
     top = rows(reports.report_top_skills(mart(store, "skill_counts"), 4))
-    assert [r[:2] for r in top] == [("Go", 3), ("Kafka", 3), ("Postgres", 3), ("Delta Lake", 2)]
+    assert [r[:2] for r in top] == [("Welding", 4), ("forklift", 4), ("brazing", 2), ("C++", 1)]
     trends = rows(reports.report_top_trends(mart(store, "monthly_skill_counts")))
-    assert trends[0] == ("2024-04", "Kafka", 1) and ("2024-03", "Go", 2) == trends[3] and len(trends) == 17
-    assert rows(reports.report_top_pairs(mart(store, "skill_cooccurrence"), 1)) == [("Go", "Postgres", 2)]
-    assert rows(reports.report_jobs_by_country(mart(store, "jobs_by_country"))) == [
-        ("Austria", 5), ("Italy", 3), ("France", 1), ("Unknown", 1)
-    ]
-    assert rows(reports.report_salary_by_skill(t, 2)) == [("Go", 42333.0, 50333.0, 3), ("Kafka", 34348.0, 39687.0, 3)]
+    assert trends[0] == ("2023-09", "R", 1) and ("2023-05", "forklift", 2) == trends[8] and len(trends) == 12
+    assert rows(reports.report_top_pairs(mart(store, "skill_cooccurrence"), 1)) == [("Welding", "brazing", 2)]
+    assert rows(reports.report_jobs_by_country(mart(store, "jobs_by_country"))) == [("Portugal", 3), ("Austria", 2), ("Unknown", 1)]
+    assert rows(reports.report_salary_by_skill(t, 2)) == [("Welding", 26506.0, 28506.0, 4), ("forklift", 10014.0, 11349.0, 3)]
     growth = mart(store, "skill_mom_growth")
-    assert [r[0] for r in rows(reports.report_top_risers(growth))] == ["Kafka", "Go", "Postgres", "Kafka"]
-    assert [r[0] for r in rows(reports.report_top_fallers(growth))] == ["Kafka", "Kafka", "Go", "Postgres"]
-    assert rows(reports.report_salary_trend(mart(store, "monthly_salary_by_skill"), 1)) == [
-        ("2024-03", "Go", 43000.0, 51000.0, 2)
-    ]
+    assert [r[0] for r in rows(reports.report_top_risers(growth))] == ["Welding", "brazing", "forklift", "Welding"]
+    assert [r[0] for r in rows(reports.report_top_fallers(growth))] == ["forklift", "Welding", "brazing", "Welding"]
+    assert rows(reports.report_salary_trend(mart(store, "monthly_salary_by_skill"), 1)) == [("2023-09", "R", 36000.0, 40000.0, 1)]
     assert rows(reports.report_country_trend(mart(store, "monthly_jobs_by_country"), 2)) == [
-        ("2024-05", "Austria", 1), ("2024-04", "Unknown", 1)
+        ("2023-09", "Portugal", 1), ("2023-09", "Unknown", 1)
     ]
-    assert rows(reports.jobs_count(t)) == [(10,)]
+    assert rows(reports.jobs_count(t)) == [(7,)]
 
 
 def test_dashboard_tables(store, t):
-    lo, hi = month("2024-01"), month("2024-03")
+    lo, hi, last = month("2023-05"), month("2023-07"), month("2023-09")
     countries = mart(store, "monthly_jobs_by_country")
-    assert rows(reports.country_snapshot(countries, lo, hi)) == [(hi, "Austria", 2), (hi, "France", 1), (hi, "Italy", 1)]
-    assert rows(reports.country_snapshot(countries, lo, month("2024-12"), ["Unknown"])) == [(month("2024-04"), "Unknown", 1)]
-    assert rows(reports.country_snapshot(countries, lo, hi, ["Unknown"])) == []
-    assert rows(reports.distinct_countries(countries, 5)) == [("Austria",), ("France",), ("Italy",), ("Unknown",)]
+    assert rows(reports.country_snapshot(countries, lo, hi)) == [(hi, "Austria", 1), (hi, "Unknown", 1)]
+    assert rows(reports.country_snapshot(countries, lo, hi, ["Portugal"])) == [(lo, "Portugal", 2)]
+    assert rows(reports.country_snapshot(countries, lo, hi, ["Norway"])) == []
+    assert rows(reports.distinct_countries(countries, 5)) == [("Austria",), ("Portugal",), ("Unknown",)]
     monthly = mart(store, "monthly_skill_counts")
-    assert rows(reports.trend_month_bounds(monthly)) == [(lo, month("2024-04"))]
-    assert rows(reports.skill_trend_selected(monthly, lo, hi, ["Go", "Kafka"])) == [
-        (lo, "Go", 1), (month("2024-02"), "Kafka", 1), (hi, "Go", 2), (hi, "Kafka", 1)
+    assert rows(reports.trend_month_bounds(monthly)) == [(lo, last)]
+    assert rows(reports.skill_trend_selected(monthly, lo, hi, ["forklift", "Welding"])) == [
+        (lo, "Welding", 1), (lo, "forklift", 2), (hi, "Welding", 1)
     ]
-    assert [r[0] for r in rows(reports.skill_ranking(mart(store, "skill_counts")).limit(5))][:3] == ["Go", "Kafka", "Postgres"]
+    assert [r[0] for r in rows(reports.skill_ranking(mart(store, "skill_counts")).limit(5))][:3] == ["Welding", "forklift", "brazing"]
     growth = mart(store, "skill_mom_growth")
-    assert [r[0] for r in rows(reports.top_risers(growth, lo, hi, 2))] == ["Go", "Postgres"]
-    assert [r[0] for r in rows(reports.top_fallers(growth, lo, hi, 1))] == ["Kafka"]
-    assert [r[0] for r in rows(reports.salary_by_skill_min_n(t, 3))] == ["Go", "Kafka", "Postgres"]
+    assert [r[0] for r in rows(reports.top_risers(growth, lo, last, 2))] == ["Welding", "brazing"]
+    assert [r[0] for r in rows(reports.top_fallers(growth, lo, last, 1))] == ["forklift"]
+    assert [r[0] for r in rows(reports.top_risers(growth, lo, hi, 2))] == ["Welding"]
+    assert [r[0] for r in rows(reports.salary_by_skill_min_n(t, 3))] == ["Welding", "forklift"]
     top = reports.salary_by_skill_top(t, 1, 2)
     assert [r[:3] for r in rows(reports.salary_bands_long(top))] == [
-        ("Go", 3, "avg_max"), ("Go", 3, "avg_min"), ("Kafka", 3, "avg_max"), ("Kafka", 3, "avg_min")
+        ("Welding", 4, "avg_max"), ("Welding", 4, "avg_min"), ("forklift", 3, "avg_max"), ("forklift", 3, "avg_min")
     ]
 
 
