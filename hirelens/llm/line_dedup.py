@@ -2,13 +2,18 @@
 
 Equal lines get equal numbers, in the order of their hashes.  The suffixes of all documents are ranked by prefix
 doubling: a rank for the first 2k lines comes from the ranks of the first k lines at the line and k lines
-on.  Neighbours in the resulting order are compared for their longest common prefix; stretches
-whose common prefix holds enough words are the repeated runs.  All steps are DataFrame operations.
+on.  Neighbours in the resulting order are compared for their longest common prefix, and stretches
+whose common prefix holds enough words are repeated runs.  All steps are DataFrame operations.
+
+A maximal run is found as the union of its shortest parts with enough words: each of its lines lies in the shortest
+part from some line on, or in the shortest part up to some line, that is within the run.  Both kinds are prefixes of
+suffixes, of at most as many lines as words are asked for, so ranks need not be taken any deeper, however long
+a run is.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hirelens.llm.common import running_total, stage, table_join
+from hirelens.llm.common import free_name, running_total, stage, table_join
 from hirelens.operators.ids import dense_ids
 from hirelens.operators.lookup import fits_broadcast
 
@@ -35,10 +40,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sequences(lines: DataFrame, min_words: int) -> DataFrame:
-    """Line-number sequences that can hold a repeated run: ``(doc, text_hash, piece, n, line_no, rank, need)``.
+    """Line-number sequences that can hold a repeated run: ``(doc, text_hash, piece, n, line_no, rank, least, most)``.
 
-    Only lines that occur again are kept, cut into pieces where a line is missing.  ``need`` is the number of lines
-    from here that hold ``min_words`` words, null if the rest of the piece holds fewer.
+    Only lines that occur again are kept, cut into pieces where a line is missing.  ``least`` is the number of lines
+    from here that hold ``min_words`` words, null if the rest of the piece holds fewer.  ``most`` is the number of lines
+    whose words after those of this line are fewer than ``min_words``: stretches of ``least`` to ``most`` lines are
+    the shortest up to their last lines.
     """
     again = lines.groupBy(*_LINE_HASHES).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     numbers = stage(dense_ids(again.select(*_LINE_HASHES), "rank", order_by=_LINE_HASHES), "line_numbers")
@@ -50,9 +57,12 @@ def _sequences(lines: DataFrame, min_words: int) -> DataFrame:
     counted = pieces.withColumn("before", before).withColumn("all_words", F.sum("words").over(of_piece))
     counted = counted.filter(F.col("all_words") >= min_words)
     # Every line holds a word, so the words before a line grow strictly: a range over them is a run of lines.
+    counted = counted.withColumn("through", F.col("before") + F.col("words"))
     run = F.count(F.lit(1)).over(of_piece.orderBy("before").rangeBetween(0, min_words - 1))
+    most = F.count(F.lit(1)).over(of_piece.orderBy("through").rangeBetween(0, min_words - 1))
     enough = F.col("all_words") - F.col("before") >= min_words
-    return counted.select(*_DOC, "piece", "n", "line_no", "rank", F.when(enough, run).alias("need"))
+    return counted.select(*_DOC, "piece", "n", "line_no", "rank", F.when(enough, run).alias("least"),
+                          F.when(enough, F.greatest(run, most)).alias("most"))
 
 
 def _ranked(sequences: DataFrame, depth: int) -> DataFrame:
@@ -70,87 +80,79 @@ def _ranked(sequences: DataFrame, depth: int) -> DataFrame:
 
 
 def _repeated(sequences: DataFrame, depth: int) -> DataFrame:
-    """The starts of later copies: ``(doc, text_hash, piece, n, need)``.
+    """The later copies: ``(doc, text_hash, n, size)``, the most lines from line ``n`` on that stand earlier too.
 
-    Suffixes of equal rank agree in ``depth`` lines, which cover ``need``; they are one entry of the suffix array.
+    Suffixes of equal rank agree in ``depth`` lines, which cover ``most``; they are one entry of the suffix array.
     """
     of_piece = Window.partitionBy(*_DOC, "piece").orderBy("n")
     prefix = F.collect_list("rank").over(of_piece.rowsBetween(0, depth - 1))
-    ranked = _ranked(sequences.withColumn("prefix", prefix), depth).filter("need IS NOT NULL")
-    ranked = stage(ranked.withColumn("prefix", F.slice("prefix", 1, F.col("need").cast("int"))), "suffixes")
+    ranked = _ranked(sequences.withColumn("prefix", prefix), depth).filter("least IS NOT NULL")
+    ranked = stage(ranked.withColumn("prefix", F.slice("prefix", 1, F.col("most").cast("int"))), "suffixes")
     place = F.struct(*_DOC, "line_no")
-    entries = ranked.groupBy("rank").agg(F.min(place).alias("first"), F.min("prefix").alias("prefix"))
+    # Equal lines have equal words: an entry has one ``least`` and one ``most``.
+    entries = ranked.groupBy("rank").agg(F.min(place).alias("first"), F.min("prefix").alias("prefix"),
+                                         F.min("least").alias("least"), F.min("most").alias("most"))
     array = stage(dense_ids(entries, "at", start=0, order_by=["rank"]), "suffix_array")
-    # Common prefix with the neighbour before; both prefixes hold the lines that make up enough words.
     before = array.select((F.col("at") + 1).alias("at"), F.col("prefix").alias("other"))
     compared = array.join(before, "at", "left")
     differs = F.array_position(F.zip_with("prefix", "other", lambda a, b: ~a.eqNullSafe(b)), F.lit(True))
     common = F.when(F.col("other").isNull(), 0).when(differs == 0, F.size("prefix")).otherwise(differs - 1)
-    # A new interval begins where the common prefix is too short.
-    opened = compared.withColumn("opens", (common < F.size("prefix")).cast("long"))
-    numbered = running_total(opened.select("at", "rank", "first", "opens"), [], "at", "opens", "opened")
-    numbered = numbered.select("rank", "first", (F.col("opened") + F.col("opens")).alias("interval"))
+    sizes = compared.select("at", "rank", "first", common.alias("common"), F.explode(F.sequence("least", "most")).alias("size"))
+    # Intervals of each size: a new one begins where the common prefix with the neighbour before is shorter.
+    opened = sizes.withColumn("opens", (F.col("common") < F.col("size")).cast("long")).drop("common")
+    numbered = running_total(opened, ["size"], "at", "opens", "opened")
+    numbered = numbered.select("rank", "first", "size", (F.col("opened") + F.col("opens")).alias("interval"))
     numbered = stage(numbered, "intervals")
-    firsts = numbered.groupBy("interval").agg(F.min("first").alias("kept"))
-    of_rank = table_join(numbered.select("rank", "interval"), firsts, ["interval"]).select("rank", "kept")
-    marked = table_join(ranked.select(*_DOC, "piece", "n", "line_no", "need", "rank"), of_rank, ["rank"])
-    return marked.filter(~place.eqNullSafe(F.col("kept"))).select(*_DOC, "piece", "n", "need")
+    firsts = numbered.groupBy("size", "interval").agg(F.min("first").alias("kept"))
+    of_rank = table_join(numbered, stage(firsts, "first_copies"), ["size", "interval"])
+    # Sizes of a rank, one row each; a larger size has no fewer lines in later copies.
+    kept = of_rank.groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("size", "kept")), asc=False).alias("sizes"))
+    marked = table_join(ranked.select(*_DOC, "n", "line_no", "rank"), stage(kept, "kept_copies"), ["rank"])
+    later = F.filter("sizes", lambda s: ~s["kept"].eqNullSafe(place))
+    return marked.select(*_DOC, "n", F.get(later, F.lit(0))["size"].alias("size")).filter("size IS NOT NULL")
 
 
-def _reached(sequences: DataFrame) -> DataFrame:
-    """``(doc, text_hash, line_no)``: the lines that a window with enough words, repeated from earlier, covers."""
-    depth = sequences.agg(F.coalesce(F.max("need"), F.lit(0))).first()[0]
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc, text_hash, deleted)``: the sorted numbers (from 0) of lines in later copies, per document with any."""
+    sequences = stage(_sequences(stage(_lines(docs, id_col, text_col), "lines"), min_words), "sequences")
+    depth = sequences.agg(F.coalesce(F.max("most"), F.lit(0))).first()[0]
     later = _repeated(sequences, max(1, depth))
     # A line goes if some later copy that starts at it or before it reaches it.
-    reach = later.withColumn("reach", F.col("n") + F.col("need")).select(*_DOC, "n", "reach")
+    reach = later.select(*_DOC, "n", (F.col("n") + F.col("size")).alias("reach"))
     same = [sequences[c].eqNullSafe(reach[c]) for c in [*_DOC, "n"]]
     joined = sequences.join(reach, same, "left").select(*[sequences[c] for c in [*_DOC, "piece", "n", "line_no"]], "reach")
     so_far = Window.partitionBy(*_DOC, "piece").orderBy("n")
-    return joined.withColumn("far", F.max("reach").over(so_far)).filter("far > n").select(*_DOC, "line_no")
-
-
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
-                   whole_runs: bool = False) -> DataFrame:
-    """``(doc, text_hash, deleted)``: the sorted numbers (from 0) of lines in later copies, per document with any."""
-    lines = stage(_lines(docs, id_col, text_col), "lines")
-    gone = _reached(stage(_sequences(lines, min_words), "sequences"))
-    if whole_runs:
-        # Every line of a run is in the shortest window from some line or up to some line that lies in the run.
-        upwards = lines.withColumn("n", -F.col("n"))
-        gone = gone.unionByName(_reached(stage(_sequences(upwards, min_words), "upward_sequences"))).distinct()
+    gone = joined.withColumn("far", F.max("reach").over(so_far)).filter("far > n")
     return gone.groupBy(*_DOC).agg(F.sort_array(F.collect_list("line_no")).alias("deleted"))
 
 
 def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
-                           deleted_col: str = "deleted_lines", whole_runs: bool = False) -> DataFrame:
+                           deleted_col: str = "deleted_lines") -> DataFrame:
     """``docs`` with the lines of later copies taken out of ``text_col``, and their numbers (from 0) in ``deleted_col``.
 
-    A run is the fewest neighbouring lines from a line on that hold ``min_words`` words together, so lines that close
-    a longer repeated stretch with fewer words stay; with ``whole_runs`` it is any number of neighbouring lines with
-    at least ``min_words`` words, and the closing lines go as well (twice the work).
+    A run is any number of neighbouring lines that hold at least ``min_words`` words together; of a run that stands in
+    several places all its lines go from all places but the first.
 
     Words are split at blanks, lines at line feeds; lines are equal if they are so without white space at their
     ends.  Lines without a word are not compared, do not interrupt a run, and stay.  The first copy is the one with
     the smallest id (null first), then text hash, then line; all copies in other places go, overlapping ones too.
 
     Null and empty texts lose nothing.  Rows with equal id and text are one document: none is a copy of the other,
-    and each comes back.  A column of the name of ``deleted_col`` is replaced; an empty table gives an empty result.
+    and each comes back.  A column of the name of ``deleted_col`` is replaced, others stay whatever their names; an
+    empty table gives an empty result.
     """
-    deleted = stage(repeated_lines(docs, min_words, id_col, text_col, whole_runs), "deleted_lines")
-    deleted = deleted.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("deleted").alias("_gone"))
     kept = [c for c in docs.columns if c != deleted_col]
-    keyed = docs.select(*kept).withColumn("_doc", docs[id_col]).withColumn("_hash", F.xxhash64(docs[text_col]))
-    joined = _null_safe_join(keyed, deleted)
+    doc, text_hash, gone = (free_name(c, docs.columns) for c in ("_doc", "_hash", "_gone"))
+    deleted = stage(repeated_lines(docs, min_words, id_col, text_col), "deleted_lines")
+    deleted = deleted.select(F.col("doc").alias(doc), F.col("text_hash").alias(text_hash), F.col("deleted").alias(gone))
+    keyed = docs.select(*kept, docs[id_col].alias(doc), F.xxhash64(docs[text_col]).alias(text_hash))
+    small = F.broadcast(deleted) if fits_broadcast(deleted) else deleted
+    same = keyed[doc].eqNullSafe(small[doc]) & (keyed[text_hash] == small[text_hash])
+    joined = keyed.join(small, same, "left").drop(small[doc], small[text_hash])
     # The array binds the split lines to a name, so that they are split once.
-    rest = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    rest = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     joined_lines = lambda lines: F.array_join(F.transform(rest(lines), lambda i: F.get(lines, i)), "\n")
     left = F.element_at(F.transform(F.array(_pieces(F.col(text_col))), joined_lines), 1)
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)
-    gone = F.coalesce("_gone", F.array().cast("array<int>"))
-    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in kept], gone.alias(deleted_col))
-
-
-def _null_safe_join(rows: DataFrame, table: DataFrame) -> DataFrame:
-    small = F.broadcast(table) if fits_broadcast(table) else table
-    same = rows["_doc"].eqNullSafe(small["_doc"]) & (rows["_hash"] == small["_hash"])
-    return rows.join(small, same, "left").drop(small["_doc"], small["_hash"])
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(left)
+    numbers = F.coalesce(gone, F.array().cast("array<int>"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in kept], numbers.alias(deleted_col))

@@ -119,21 +119,27 @@ QUERIES = {
     )
 }
 
-# A run of lines is told by its text; all but the first place of a run go.
+# A run of lines is told by its text; all but the first place of a run go.  A run with enough words is the union of
+# the shortest stretches with enough words from its lines on and up to its lines: these are compared.
 _OP3 = r"""
     WITH split AS (SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
                           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents),
     worded AS (SELECT *, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM split),
     counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
                        row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS n FROM worded WHERE line <> ''),
-    placed AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-                           AS before, sum(words) OVER (PARTITION BY doc_id) AS total FROM counted),
-    runs AS (SELECT *, string_agg(line, chr(10)) OVER run AS body, count(*) OVER run AS need FROM placed
-             WINDOW run AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 9 FOLLOWING)),
-    later AS (SELECT *, CASE WHEN total - before >= 10
-                               AND row_number() OVER (PARTITION BY total - before >= 10, body ORDER BY doc_id, n) > 1
-                             THEN n + need END AS reach FROM runs),
-    gone AS (SELECT *, coalesce(max(reach) OVER (PARTITION BY doc_id ORDER BY n) > n, false) AS deleted FROM later),
+    placed AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY n) AS through,
+                         sum(words) OVER (PARTITION BY doc_id ORDER BY n) - words AS before FROM counted),
+    onward AS (SELECT doc_id, n AS start, n + count(*) OVER run AS stop, string_agg(line, chr(10)) OVER run AS body,
+                      sum(words) OVER run AS held FROM placed
+               WINDOW run AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 9 FOLLOWING)),
+    upto AS (SELECT doc_id, n + 1 - count(*) OVER run AS start, n + 1 AS stop, string_agg(line, chr(10)) OVER run AS body,
+                    sum(words) OVER run AS held FROM placed
+             WINDOW run AS (PARTITION BY doc_id ORDER BY through RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)),
+    runs AS (SELECT DISTINCT * FROM (FROM onward UNION ALL FROM upto) WHERE held >= 10),
+    copies AS (SELECT doc_id, start, stop, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS copy FROM runs),
+    later AS (SELECT doc_id, start AS n, max(stop) AS reach FROM copies WHERE copy > 1 GROUP BY ALL),
+    gone AS (SELECT doc_id, line_no, coalesce(max(reach) OVER (PARTITION BY doc_id ORDER BY n) > n, false) AS deleted
+             FROM placed LEFT JOIN later USING (doc_id, n)),
     by_doc AS (SELECT s.doc_id, count(*) FILTER (deleted) AS n_deleted,
                       coalesce(string_agg(CAST(s.line_no AS VARCHAR), ',' ORDER BY s.line_no) FILTER (deleted), '') AS deleted_lines,
                       coalesce(string_agg(s.raw, chr(10) ORDER BY s.line_no) FILTER (NOT coalesce(deleted, false)), '') AS body

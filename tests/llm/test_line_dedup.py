@@ -12,21 +12,21 @@ def table(spark, rows):
 
 
 def plain(rows, min_words):
-    """``{(id, text): deleted line numbers}``: all runs compared as they stand."""
-    starts, docs = {}, sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
-    cut = {d: [(k, s) for k, x in enumerate(d[1].split("\n")) if (s := x.strip(" \t\x0b\f\r"))] for d in docs}
-    for at, d in enumerate(docs):
-        for n in range(len(cut[d])):
-            words = need = 0
-            while words < min_words and n + need < len(cut[d]):
-                words += len(cut[d][n + need][1].split())
-                need += 1
-            if words >= min_words:
-                starts.setdefault(tuple(s for _, s in cut[d][n : n + need]), []).append((at, n, need))
-    gone = {d: set() for d in docs}
-    for places in starts.values():
-        for at, n, need in sorted(places)[1:]:
-            gone[docs[at]] |= {k for k, _ in cut[docs[at]][n : n + need]}
+    """``{(id, text): deleted line numbers}``: every run of any length, from every line on, looked up among earlier ones."""
+    docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
+    seen, gone = {}, {d: set() for d in docs}
+    for d in docs:
+        cut = [(k, s) for k, x in enumerate(d[1].split("\n")) if (s := x.strip(" \t\x0b\f\r"))]
+        words = [len(s.split()) for _, s in cut]
+        for a in range(len(cut)):
+            run, held, longest = 0, 0, a
+            for b in range(a, len(cut)):
+                held += words[b]
+                again = (run, cut[b][1]) in seen
+                run = seen.setdefault((run, cut[b][1]), len(seen) + 1)
+                if again and held >= min_words:
+                    longest = b + 1
+            gone[d] |= {k for k, _ in cut[a:longest]}
     return {d: sorted(g) for d, g in gone.items()}
 
 
@@ -69,42 +69,29 @@ def test_odd_rows(spark):
     assert empty.count() == 0 and empty.columns[-1] == "deleted_lines"
 
 
-def plain_runs(rows, min_words):
-    """``{(id, text): deleted line numbers}``: every run of any length that has an earlier copy."""
-    docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
-    seen, gone = set(), {d: set() for d in docs}
-    for d in docs:
-        cut = [(k, s) for k, x in enumerate(d[1].split("\n")) if (s := x.strip(" \t\x0b\f\r"))]
-        for a in range(len(cut)):
-            for b in range(a + 1, len(cut) + 1):
-                run = tuple(s for _, s in cut[a:b])
-                if sum(len(s.split()) for s in run) >= min_words:
-                    if run in seen:
-                        gone[d] |= {k for k, _ in cut[a:b]}
-                    seen.add(run)
-    return {d: sorted(g) for d, g in gone.items()}
-
-
-def whole(spark, rows, min_words):
-    made = ld.without_repeated_lines(table(spark, rows), min_words, whole_runs=True)
-    return sorted(((r.doc_id, tuple(r.deleted_lines)) for r in made.collect()), key=str)
+def test_closing_lines_of_runs(spark):
+    a, b = "one two three four five six seven eight nine ten eleven twelve", "x y z"
+    rows = [(1, f"{a}\n{b}\nfirst"), (2, f"{a}\n{b}\nsecond"), (3, f"{b}\n{a}\n{b}"), (4, f"{b}\n{b}\n{a}")]
+    want = check(spark, rows, 10)
+    assert [want[r] for r in rows] == [[], [0, 1], [1, 2], [1, 2]]
 
 
-@pytest.mark.parametrize("seed,min_words", [(2, 5), (3, 12)])
-def test_whole_runs(spark, seed, min_words):
-    r = random.Random(seed)
-    vocabulary = [" ".join(r.choices("abcdef", k=r.randint(1, 6))) for _ in range(3)]
-    rows = [(i, "\n".join(r.choice(vocabulary + ["", f"own {i} {r.random()}"]) for _ in range(r.randint(0, 20)))) for i in range(40)]
-    want = plain_runs(rows, min_words)
-    assert whole(spark, rows, min_words) == sorted(((i, tuple(want[i, t])) for i, t in rows), key=str)
-    assert any(want.values())
+def test_short_first_copies_of_long_runs(spark):
+    """The second document holds the first copy of the longest run and a later copy of a shorter one."""
+    a, b, c, d = ("one two three four five six", "seven eight nine ten eleven", "p", "q r")
+    rows = [(1, f"{a}\n{b}\n{c}"), (2, f"{a}\n{b}\n{c}\n{d}"), (3, f"own\n{a}\n{b}\n{c}\n{d}"), (4, f"{b}\n{c}\n{d}")]
+    want = check(spark, rows, 10)
+    assert [want[r] for r in rows] == [[], [0, 1, 2], [1, 2, 3, 4], []]
 
 
-def test_closing_lines_of_whole_runs(spark):
-    a, b = "one two three four five six seven eight nine ten eleven twelve", "x y z"
-    rows = [(1, f"{a}\n{b}\nfirst"), (2, f"{a}\n{b}\nsecond"), (3, f"{b}\n{a}\n{b}")]
-    assert whole(spark, rows, 10) == [(1, ()), (2, (0, 1)), (3, (1, 2))]
-    assert check(spark, rows, 10)[rows[1]] == [0]
+def test_columns_of_inner_names_stay(spark):
+    names = ["_doc", "_hash", "_gone", "doc", "text_hash", "rank", "n", "size", "least", "most"]
+    text = "\n".join(["one two three four five six seven eight nine ten"] * 2)
+    rows = [(i, text, *range(len(names))) for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} int" for n in names))
+    made = ld.without_repeated_lines(docs).collect()
+    assert [tuple(r[n] for n in names) for r in made] == [tuple(range(len(names)))] * 2
+    assert sorted((r.doc_id, r.deleted_lines) for r in made) == [(1, [1]), (2, [0, 1])]
 
 
 def test_no_python_on_the_main_path(spark):
