@@ -173,22 +173,25 @@ _OP10 = f"""
            CASE WHEN page_id <> first THEN first END AS refers_to
     FROM r"""
 
-_OP6 = """
-    WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
-    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
-    said AS (SELECT t.conv_id, speaker, turn, role, text, role = speaker AS own,
-                    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role
+# A conversation is rendered in parts of 256 turns; names are roles with an underscore for white space inside.
+_OP6 = r"""
+    WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS text, regexp_replace(
+                 trim(coalesce(role, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', '_', 'g') AS role
+               FROM conversations),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1) // 256 AS part FROM t),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role NOT IN ('system', '')),
+    said AS (SELECT p.conv_id, speaker, part, turn, role, text, role = speaker AS own,
+                    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role WHEN role = '' THEN 'user'
                                            ELSE 'user name=' || role END || chr(10) AS head
-             FROM t JOIN speakers s ON s.conv_id = t.conv_id),
+             FROM placed p JOIN speakers s ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
     pieces AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS piece FROM said),
-    placed AS (SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY conv_id, speaker ORDER BY turn, role, text
+    set_at AS (SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, role, text
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM pieces)
-    SELECT conv_id, speaker, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS n_turns,
-           string_agg(piece, '' ORDER BY turn, role, text) AS rendered,
-           string_agg((pos + length(head)) || '-' || (pos + length(piece) - 1), ',' ORDER BY turn, role, text)
-             FILTER (own) AS loss_spans,
-           CAST(sum(length(piece) - length(head) - 1) FILTER (own) AS INTEGER) AS n_loss_chars
-    FROM placed GROUP BY 1, 2"""
+    SELECT conv_id, speaker, CAST(part AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS n_turns,
+           string_agg(piece, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
+           coalesce(string_agg((pos + length(head)) || '-' || (pos + length(piece) - 1), ',' ORDER BY pos) FILTER (own), '') AS loss_spans,
+           CAST(coalesce(sum(length(piece) - length(head) - 1) FILTER (own), 0) AS INTEGER) AS n_loss_chars
+    FROM set_at GROUP BY conv_id, speaker, part"""
 
 _OP11 = r"""
     WITH cut AS (SELECT row_number() OVER () AS r, doc_id,
