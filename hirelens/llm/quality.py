@@ -1,13 +1,16 @@
 """Quality scores by nearest-neighbour voting among labelled texts.
 
-A text is the bag of its character patterns (runs of three character classes) and of how often its words
-repeat.  Labelled texts are projected to a latent-semantic space (weighted term matrix, truncated
+A text is the bag of its character patterns (runs of three character classes), of its words, hashed to a fixed number
+of columns, and of how often its words repeat.  Labelled texts are projected to a latent-semantic space (weighted term matrix, truncated
 singular value decomposition); the labelled vectors are broadcast, every document is compared with
 all of them by blocked cosine products, and its nearest neighbours vote, weighted by similarity.
 """
 
+import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,12 @@ _MARKS = ".,!?|$%&*#-/:@()'\"<>=_;"
 _CLASSES = 32
 _OTHER = _CLASSES - 1
 _REPEATS = 10  # terms for the share of words that repeat the word before them
-N_TERMS = _CLASSES**3 + _REPEATS
+# Columns that words are hashed to, and their part of a text's weight beside the patterns.
+WORD_COLUMNS = 2048
+WORD_WEIGHT = 0.5
+_WORDS_FROM = _CLASSES**3 + _REPEATS
+N_TERMS = _WORDS_FROM + WORD_COLUMNS
+_WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 STEP_CHARS = 1 << 20
 
 
@@ -41,6 +49,20 @@ def _byte_classes() -> np.ndarray:
 _CLASS_OF = _byte_classes()
 
 
+def word_terms(text: bytes) -> Counter:
+    """How often each word column occurs: words in lower case; words beyond ASCII by pairs of characters, as scripts
+    without blanks need it."""
+    made: Counter = Counter()
+    for word, times in Counter(_WORD.findall(text.lower())).items():
+        if word.isascii():
+            made[zlib.crc32(word) % WORD_COLUMNS] += times
+        else:
+            letters = word.decode("utf-8", "replace")
+            for at in range(max(1, len(letters) - 1)):
+                made[zlib.crc32(letters[at : at + 2].encode()) % WORD_COLUMNS] += times
+    return made
+
+
 def term_counts(text: bytes, column_of: np.ndarray, n_columns: int) -> np.ndarray:
     """Weights of a text in ``n_columns`` columns; ``column_of`` maps terms to columns, the last one is dropped."""
     counts = np.zeros(n_columns + 1, np.float64)
@@ -55,6 +77,12 @@ def term_counts(text: bytes, column_of: np.ndarray, n_columns: int) -> np.ndarra
     if words:
         repeats = sum(map(bytes.__eq__, words, words[1:])) / len(words)
         counts[column_of[_CLASSES**3 + int(repeats * (_REPEATS - 1))]] += 0.3
+    found = word_terms(text)
+    if found:
+        at = np.fromiter(found.keys(), np.int64, len(found))
+        times = np.fromiter(found.values(), np.float64, len(found))
+        # Several unknown columns fall on the last one, which is dropped.
+        counts[column_of[_WORDS_FROM + at]] = WORD_WEIGHT * np.sqrt(times / times.sum())
     return counts[:n_columns]
 
 
@@ -111,6 +139,18 @@ def _sample(docs: DataFrame, labels: DataFrame, learn_from: Column, max_labelled
     return made.orderBy(F.xxhash64("id"), "id", "terms").limit(max_labelled).collect()
 
 
+def _axes(weighted: np.ndarray, dimensions: int) -> np.ndarray:
+    """The first right singular vectors, from the square matrix of rows or of columns, whichever are fewer."""
+    rows, columns = weighted.shape
+    if columns <= rows:
+        _, vectors = np.linalg.eigh(weighted.T @ weighted)
+        return np.ascontiguousarray(vectors[:, ::-1][:, :dimensions])
+    squares, vectors = np.linalg.eigh(weighted @ weighted.T)
+    squares, vectors = squares[::-1][:dimensions], vectors[:, ::-1][:, :dimensions]
+    some = squares > 1e-12 * max(squares[0], 1e-300)
+    return np.ascontiguousarray(weighted.T @ (vectors[:, some] / np.sqrt(squares[some])))
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, max_labelled: int = 4096,
         dimensions: int = 32, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on at most ``max_labelled`` labelled texts; None if there is none with any term.
@@ -131,10 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, ma
     for i, (at, s) in enumerate(zip(seen, sparse)):
         terms[i, column_of[at]] = s[1]
     weights = np.log((1 + len(rows)) / (1 + (terms > 0).sum(0))) + 1
-    # The right singular vectors come from the small square matrix of the columns.
-    weighted = terms * weights
-    _, vectors = np.linalg.eigh(weighted.T @ weighted)
-    axes = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions])
+    axes = _axes(weighted := terms * weights, dimensions)
     made = weighted @ axes
     lengths = np.linalg.norm(made, axis=1)
     some = lengths > 1e-12
