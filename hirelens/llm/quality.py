@@ -8,7 +8,6 @@ all of them by blocked cosine products, and its nearest neighbours vote, weighte
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,18 +48,19 @@ def _byte_classes() -> np.ndarray:
 _CLASS_OF = _byte_classes()
 
 
-def word_terms(text: bytes) -> Counter:
+def word_terms(text: bytes) -> np.ndarray:
     """How often each word column occurs: words in lower case; words beyond ASCII by pairs of characters, as scripts
     without blanks need it."""
-    made: Counter = Counter()
-    for word, times in Counter(_WORD.findall(text.lower())).items():
-        if word.isascii():
-            made[zlib.crc32(word) % WORD_COLUMNS] += times
-        else:
-            letters = word.decode("utf-8", "replace")
-            for at in range(max(1, len(letters) - 1)):
-                made[zlib.crc32(letters[at : at + 2].encode()) % WORD_COLUMNS] += times
-    return made
+    words = _WORD.findall(text.lower())
+    if not text.isascii():
+        words = [part for word in words for part in ((word,) if word.isascii() else _pairs(word))]
+    hashes = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+    return np.bincount(hashes % WORD_COLUMNS, minlength=WORD_COLUMNS)
+
+
+def _pairs(word: bytes) -> list[bytes]:
+    letters = word.decode("utf-8", "replace")
+    return [letters[at : at + 2].encode() for at in range(max(1, len(letters) - 1))]
 
 
 def term_counts(text: bytes, column_of: np.ndarray, n_columns: int) -> np.ndarray:
@@ -77,12 +77,11 @@ def term_counts(text: bytes, column_of: np.ndarray, n_columns: int) -> np.ndarra
     if words:
         repeats = sum(map(bytes.__eq__, words, words[1:])) / len(words)
         counts[column_of[_CLASSES**3 + int(repeats * (_REPEATS - 1))]] += 0.3
-    found = word_terms(text)
-    if found:
-        at = np.fromiter(found.keys(), np.int64, len(found))
-        times = np.fromiter(found.values(), np.float64, len(found))
+    times = word_terms(text)
+    at = np.flatnonzero(times)
+    if len(at):
         # Several unknown columns fall on the last one, which is dropped.
-        counts[column_of[_WORDS_FROM + at]] = WORD_WEIGHT * np.sqrt(times / times.sum())
+        counts[column_of[_WORDS_FROM + at]] = WORD_WEIGHT * np.sqrt(times[at] / times.sum())
     return counts[:n_columns]
 
 
@@ -102,8 +101,8 @@ class Model:
     def project(self, texts: list[bytes]) -> np.ndarray:
         """Unit vectors of the texts; zero for texts without any known term."""
         n = len(self.weights)
-        terms = np.stack([term_counts(t, self.column_of, n) for t in texts]) * self.weights
-        made = terms @ self.axes
+        terms = np.stack([term_counts(t, self.column_of, n) for t in texts])
+        made = terms @ (self.weights[:, None] * self.axes)
         lengths = np.linalg.norm(made, axis=1, keepdims=True)
         return np.divide(made, lengths, out=np.zeros_like(made), where=lengths > 1e-12)
 
