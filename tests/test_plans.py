@@ -115,3 +115,14 @@ def test_hot_key_is_split_by_the_salt(spark):
     joined = lookup_join(facts, table, "name", spread_by=["id"], small=False, salts=16)
     assert "name#" in plan(joined) and "_salt" in plan(joined)
     assert joined.count() == 10000
+
+
+def test_a_repeated_table_is_never_broadcast(spark):
+    from hirelens.operators.lookup import lookup_join
+
+    facts = spark.range(100).select("id", F.concat(F.lit("p"), F.col("id") % 7).alias("name"))
+    table = spark.createDataFrame([(f"p{i}", i) for i in range(5)], "name string, v int")
+    joined = lookup_join(facts, table, "name", "left", spread_by=["id"], small=False)
+    got = {(r["id"], r["v"]) for r in joined.collect()}
+    assert "Broadcast" not in plan(joined)
+    assert got == {(i, i % 7 if i % 7 < 5 else None) for i in range(100)}
