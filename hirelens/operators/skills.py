@@ -180,6 +180,16 @@ def skill_keys(skills: DataFrame) -> DataFrame:
     return skills.groupBy(skill_key(skill_name()).alias("skill_key")).agg(F.min("skill_id").alias("skill_id"))
 
 
+def first_matches(matches: DataFrame, id_col: str = "job_id") -> DataFrame:
+    """``(skill_key, id, surface)``: of every key the match with the lowest posting id (a NULL first), then spelling.
+
+    Spellings are few: their lowest ids are gathered by hash, without sorting the matches, before spellings are compared.
+    """
+    lowest = F.when(F.bool_or(F.col(id_col).isNull()), None).otherwise(F.min(id_col)).alias(id_col)
+    spelled = matches.groupBy("skill_key", "surface").agg(lowest)
+    return spelled.groupBy("skill_key").agg(F.min(F.struct(id_col, "surface")).alias("_first")).select("skill_key", "_first.*")
+
+
 def new_skills(matches: DataFrame, skills: DataFrame, id_col: str = "job_id") -> DataFrame:
     """Rows for skills not stored yet, in the shape of the skills table.
 
@@ -187,8 +197,9 @@ def new_skills(matches: DataFrame, skills: DataFrame, id_col: str = "job_id") ->
     posting id, then by spelling in code-point order.  The first spelling names
     the skill.
     """
-    first = matches.groupBy("skill_key").agg(F.min(F.struct(id_col, "surface")).alias("_first"))
-    unknown = first.join(skill_keys(skills), "skill_key", "left_anti").select("_first.*")
+    # Staged, or Spark would take the anti-join below the grouping and shuffle every match, and once more to sample the order.
+    first = stage(first_matches(matches, id_col), "first_matches")
+    unknown = first.join(skill_keys(skills), "skill_key", "left_anti").select(id_col, "surface")
     last_id = skills.agg(F.coalesce(F.max("skill_id"), F.lit(0))).first()[0]
     return dense_ids(unknown, "skill_id", last_id + 1, order_by=[id_col, "surface"]).select(
         "skill_id",

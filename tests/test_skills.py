@@ -6,6 +6,7 @@ from fixtures import POSTINGS, SKILL_IDS, SKILLS, SURFACES, as_set, rows
 from hirelens import schemas
 from hirelens.operators import lookup, skills
 from hirelens.operators.skills import dedupe_gazetteer, extract_skills, new_links, new_skills
+from hirelens.operators.staging import stage as staged_rows
 
 
 # What the cases below are about: case, white space, tokens, joined and separate spellings.
@@ -250,3 +251,18 @@ def test_broadcast_bound_is_measured(spark):
     assert not lookup.fits_broadcast(df, max_rows=9)
     assert not lookup.fits_broadcast(df, max_bytes=1000)
     assert lookup.fits_broadcast(df.limit(0))
+
+
+def test_new_skills_group_the_matches_before_they_meet_the_stored_ones(spark, monkeypatch):
+    found = [(2, "Go", "go"), (1, "GO", "go"), (1, "Go", "go"), (3, "Rust", "rust"), (None, "rust", "rust"), (0, "C", "c"), (0, "C", "c")]
+    matches = spark.createDataFrame(found, "job_id long, surface string, skill_key string")
+    staged = []
+    monkeypatch.setattr(skills, "stage", lambda df, label: staged.append((label, df)) or staged_rows(df, label))
+    stored = spark.createDataFrame([(7, "C", None)], "skill_id long, skill_raw string, skill_norm string")
+    made = new_skills(matches, stored)
+    assert as_set(made, "skill_id", "skill_raw") == {(8, "rust"), (9, "GO")}
+    label, grouped = staged[0]
+    assert label == "first_matches" and as_set(grouped) == {("go", 1, "GO"), ("rust", None, "rust"), ("c", 0, "C")}
+    # Matches are grouped by hash on their way into the shuffle, not sorted.
+    text = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(job_id" in text and text.rindex("HashAggregate") > text.rindex("SortAggregate")
