@@ -2,9 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from ..operators.lookup import fits_broadcast
+from ..operators.lookup import deal_by_key, fits_broadcast
 from ..operators.staging import stage
 
 # A posting with more skills than this is wide: it is cut into blocks instead of gathered in one array.
@@ -33,12 +33,17 @@ def pair_counts(
     if known.limit(wide_skills + 1).count() <= wide_skills:
         return _counted(by_posting(links, by), by, min_count)
     sizes = links.groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
+    seen = Observation()
+    sizes = sizes.observe(seen, F.sum("n").alias("links"))
     wide = stage(sizes.filter(F.col("n") > wide_skills).select("job_id"), "wide_postings")
     if wide.isEmpty():
         return _counted(by_posting(links, by), by, min_count)
-    hint = F.broadcast(wide) if fits_broadcast(wide) else wide
-    return _counted(by_posting(links.join(hint, "job_id", "left_anti"), by).unionByName(
-        by_blocks(links.join(hint, "job_id", "left_semi"), block, by)
+    if fits_broadcast(wide):
+        wide = F.broadcast(wide)
+    else:
+        links = deal_by_key(links, seen.get["links"], "job_id")
+    return _counted(by_posting(links.join(wide, "job_id", "left_anti"), by).unionByName(
+        by_blocks(links.join(wide, "job_id", "left_semi"), block, by)
     ), by, min_count)
 
 
@@ -71,10 +76,12 @@ def by_blocks(links: DataFrame, block: int = BLOCK_SKILLS, by: Sequence[str] = (
 
     A posting with n skills gets k = ceil(n / block) buckets per side and k * k join
     keys, so one task sees about block * block of its pairs.  Pairs go straight into the partial count.
+    The distinct links are staged: both sides and the widths read them.
     """
-    once = links.dropDuplicates(["job_id", "skill_id"])
-    widths = once.groupBy("job_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("k"))
-    cut = once.join(widths, "job_id").withColumn("own", F.pmod(F.xxhash64("skill_id"), F.col("k")))
+    once = stage(links.dropDuplicates(["job_id", "skill_id"]), "wide_links")
+    dealt = deal_by_key(once, once.count(), "job_id")
+    widths = dealt.groupBy("job_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("k"))
+    cut = dealt.join(widths, "job_id").withColumn("own", F.pmod(F.xxhash64("skill_id"), F.col("k")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("k").cast("long") - 1))
     left = cut.select("job_id", *by, F.col("skill_id").alias("skill_id_a"), F.col("own").alias("row"), every.alias("col"))
     right = cut.select("job_id", F.col("skill_id").alias("skill_id_b"), F.col("own").alias("col"), every.alias("row"))

@@ -148,3 +148,22 @@ def test_tables_are_dealt_by_their_rows(spark, monkeypatch):
     assert lookup.deal_by_key(rows, 10, "id").rdd.getNumPartitions() == 3
     assert lookup.deal_by_key(rows, 400, "id").rdd.getNumPartitions() == 40
     assert lookup.deal_by_key(rows, 11, "id").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_links_of_wide_postings_are_made_distinct_once(spark, monkeypatch):
+    from hirelens.operators import lookup
+
+    monkeypatch.setattr(lookup, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(pairs, "fits_broadcast", lambda df: False)
+    links = [(job, skill) for job in range(40) for skill in range(1 + job % 7)] * 2
+    got = pairs.pair_counts(
+        spark.createDataFrame(links, "job_id long, skill_id long"), spark.range(7).withColumnRenamed("id", "skill_id"), wide_skills=3, block=2
+    )
+    text = plan(got)
+    assert text.count("wide_links-") >= 2 and "REPARTITION_BY_NUM" in text
+    want = {}
+    for job in range(40):
+        for a in range(1 + job % 7):
+            for b in range(a + 1, 1 + job % 7):
+                want[a, b] = want.get((a, b), 0) + 1
+    assert {(r["skill_id_a"], r["skill_id_b"]): r["pair_count"] for r in got.collect()} == want
