@@ -1,7 +1,8 @@
 """Token counts of whole texts, without keeping any token.
 
 Texts are encoded in Arrow batches inside ``mapInArrow``; only lengths come back.
-Batches are balanced by bytes, and long texts are cut where no token can span the cut.
+Batches are balanced by bytes.  Where no token can span white space, texts are cut into words, and a worker encodes
+a word once for as long as it remembers it.
 """
 
 import os
@@ -18,6 +19,8 @@ from hirelens.llm.common import byte_steps
 # Longest piece of a text and largest batch that are encoded at once, in characters.
 PIECE_CHARS = 32_768
 BATCH_CHARS = 262_144
+# Words that a worker remembers, and the longest of them, in characters; longer ones are encoded each time.
+WORDS, WORD_CHARS = 500_000, 48
 
 # One blank or line end between two ASCII letters or digits: the vocabulary drops white space, normal forms
 # never join characters across it, and no special string holds one.
@@ -59,8 +62,47 @@ def split_safely(text: str, most: int = PIECE_CHARS) -> list[str]:
     return [*pieces, text[start:]]
 
 
+@lru_cache(maxsize=4)
+def _known_words(path: str) -> dict[str, int]:
+    """Tokens of the words met so far, kept per Python worker."""
+    return {}
+
+
+def _encode_words(words: list[str], path: str) -> dict[str, int]:
+    """Tokens of each word, encoded in batches balanced by size."""
+    encode, found, batch, held = _encoder(path), {}, [], 0
+    for word in words:
+        if batch and held + len(word) > BATCH_CHARS:
+            found.update(zip(batch, encode(batch)))
+            batch, held = [], 0
+        batch.append(word)
+        held += len(word)
+    found.update(zip(batch, encode(batch)))
+    return found
+
+
+def count_words(text: str, path: str) -> int:
+    """Tokens of a text as the sum over its words, cut at blanks and line ends."""
+    known, total = _known_words(path), 0
+    for piece in split_safely(text):
+        words = piece.replace("\n", " ").split(" ")
+        new = set(words).difference(known)
+        if len(known) + len(new) > WORDS:
+            known.clear()
+            new = set(words)
+        if new:
+            known.update(_encode_words(list(new), path))
+        total += sum(map(known.__getitem__, words))
+        for word in new:
+            if len(word) > WORD_CHARS:
+                del known[word]
+    return total
+
+
 def count_texts(texts: list[str], path: str, splittable: bool) -> list[int]:
-    """Tokens of each text; pieces of all texts are encoded together, in batches balanced by size."""
+    """Tokens of each text; whole texts are encoded together, in batches balanced by size."""
+    if splittable:
+        return [count_words(text, path) for text in texts]
     encode, counts, owners, batch, held = _encoder(path), [0] * len(texts), [], [], 0
 
     def flush() -> None:
@@ -70,13 +112,12 @@ def count_texts(texts: list[str], path: str, splittable: bool) -> list[int]:
         batch.clear()
 
     for i, text in enumerate(texts):
-        for piece in split_safely(text) if splittable else [text]:
-            if batch and held + len(piece) > BATCH_CHARS:
-                flush()
-                held = 0
-            owners.append(i)
-            batch.append(piece)
-            held += len(piece)
+        if batch and held + len(text) > BATCH_CHARS:
+            flush()
+            held = 0
+        owners.append(i)
+        batch.append(text)
+        held += len(text)
     if batch:
         flush()
     return counts
@@ -87,7 +128,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
     """``(id, n_bytes, n_tokens, over_limit)`` of every row, repeated rows included.
 
     A null text counts as empty (0 bytes, 0 tokens); a null id stays null; other columns are ignored.
-    An empty table gives an empty result.  Long texts are cut only for tokenizers that drop white
+    An empty table gives an empty result.  Texts are cut into words only for tokenizers that drop white
     space (``.json`` word vocabularies); others encode each text whole.
     """
     splittable = tokenizer_path.endswith(".json") and _drops_white_space(tokenizer_path)
@@ -110,6 +151,13 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
 
 @lru_cache(maxsize=4)
 def _drops_white_space(path: str) -> bool:
-    """Whether cutting at a blank between two words leaves the tokens as they are, tried on a sample."""
-    count = _encoder(path)
-    return count(["one two 3 four"])[0] == sum(count(["one", "two", "3", "four"])) and count([" "])[0] == 0
+    """Whether cutting at blanks and line ends leaves the tokens as they are, tried on a sample."""
+    from tokenizers import Tokenizer
+
+    if any(" " in t.content or "\n" in t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()):
+        return False
+    encode = _encoder(path)
+    return encode([" ", "\n"]) == [0, 0] and all(
+        encode([text])[0] == sum(encode(re.split("[ \n]", text)))
+        for text in ("one two 3 four", "It 's, (so)  I'll go.\n\n12 3.4 !! ?", "e \u0301 \u0301x \u3042 \u65e5\u672c \u03a3 \u03b1\u03a3 ", " a\tb \r\nc")
+    )

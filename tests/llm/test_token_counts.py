@@ -48,3 +48,28 @@ def test_whole_table_matches_the_library(spark):
     got = tc.token_counts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), PATH).toPandas()
     merged = got.set_index("doc_id").n_tokens
     assert [merged[i] for i in docs.doc_id] == [len(e) for e in encoded]
+
+def test_a_word_is_encoded_once_and_few_are_remembered(monkeypatch):
+    encoded, encode = [], tc._encoder(PATH)
+    monkeypatch.setattr(tc, "_encoder", lambda path: lambda texts: encoded.extend(texts) or encode(texts))
+    monkeypatch.setattr(tc, "WORDS", 9)
+    tc._known_words(PATH).clear()
+    text = "plain words, plain words,\nplain " * 50
+    assert tc.count_texts([text, text], PATH, True) == [expected(text)] * 2
+    assert sorted(encoded) == ["", "plain", "words,"]
+    many = " ".join(f"w{i} {'x' * 60}{i} <|endoftext|>ς ́y" for i in range(200))
+    assert tc.count_texts([many, text], PATH, True) == [expected(many), expected(text)]
+    assert len(tc._known_words(PATH)) <= 9 and max(map(len, tc._known_words(PATH))) <= tc.WORD_CHARS
+
+def test_random_texts_match_the_library():
+    import random
+
+    pick = random.Random(4)
+    parts = [" ", " ", " ", "\n", "\t", "\r\n", " ", " ", "\u0085", "\x1c", "​", "a", "Be", "'", "'s", "12", "́", "̧", "é", "Σ", "İ",
+             "<|endoftext|>", "<|startoftext|>", "<|", "!?", "日本", "\U0001f600", "하", "ᆫ", "_"]
+    texts = ["".join(pick.choices(parts, k=pick.randint(0, 30))) for _ in range(3000)]
+    assert tc._drops_white_space(PATH)
+    assert tc.count_texts(texts, PATH, True) == [expected_many(t) for t in texts]
+
+def expected_many(text, library=Tokenizer.from_file(PATH)):
+    return len(library.encode(text, add_special_tokens=False).ids)
