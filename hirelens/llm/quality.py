@@ -31,6 +31,10 @@ _WORDS_FROM = _CLASSES**3 + _REPEATS
 N_TERMS = _WORDS_FROM + WORD_COLUMNS
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 STEP_CHARS = 1 << 20
+# Cells of the matrix of labelled texts that are dense at a time.
+BLOCK_CELLS = 1 << 21
+# Square matrices up to this size are decomposed whole; larger ones in so many cycles at most, of bases of so many blocks.
+WHOLE, CYCLES, DEPTH = 1024, 100, 8
 
 
 def _byte_classes() -> np.ndarray:
@@ -138,16 +142,86 @@ def _sample(docs: DataFrame, labels: DataFrame, learn_from: Column, max_labelled
     return made.orderBy(F.xxhash64("id"), "id", "terms").limit(max_labelled).collect()
 
 
-def _axes(weighted: np.ndarray, dimensions: int) -> np.ndarray:
+class SparseRows:
+    """A matrix by the columns and values of its rows; a slice of it is dense."""
+
+    def __init__(self, ends: np.ndarray, at: np.ndarray, values: np.ndarray, columns: int):
+        self.ends, self.at, self.values = ends, at, values  # row i holds the entries from ends[i] to ends[i + 1]
+        self.shape = len(ends) - 1, columns
+
+    def __getitem__(self, rows: slice) -> np.ndarray:
+        start, stop, _ = rows.indices(self.shape[0])
+        made, inside = np.zeros((stop - start, self.shape[1])), slice(self.ends[start], self.ends[stop])
+        made[np.repeat(np.arange(stop - start), np.diff(self.ends[start : stop + 1])), self.at[inside]] = self.values[inside]
+        return made
+
+    @property
+    def T(self) -> "SparseRows":  # noqa: N802  (as arrays name it)
+        order = np.argsort(self.at, kind="stable")
+        owner = np.repeat(np.arange(self.shape[0], dtype=np.int32), np.diff(self.ends))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(self.at, minlength=self.shape[1]))])
+        return SparseRows(ends, owner[order], self.values[order], self.shape[0])
+
+
+def _blocks(matrix: np.ndarray | SparseRows) -> Iterator[np.ndarray]:
+    """The rows of a matrix, about ``BLOCK_CELLS`` cells of it at a time."""
+    step = max(1, BLOCK_CELLS // matrix.shape[1])
+    for at in range(0, matrix.shape[0], step):
+        yield matrix[at : at + step]
+
+
+def _squares(matrix: np.ndarray | SparseRows) -> np.ndarray:
+    """``matrix.T @ matrix``; beside it only blocks are held."""
+    n = matrix.shape[1]
+    made, step = np.zeros((n, n)), max(1, BLOCK_CELLS // n)
+    for block in _blocks(matrix):
+        for at in range(0, n, step):
+            made[at : at + step, : at + step] += block[:, at : at + step].T @ block[:, : at + step]
+    for at in range(0, n, step):
+        made[:at, at : at + step] = made[at : at + step, :at].T
+    return made
+
+
+def _leading(square: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest eigenvalues of a symmetric matrix without negative ones, largest first, and their vectors.
+
+    The whole decomposition of a large matrix takes five times its memory.  There a basis of powers of the matrix is
+    built from a block of vectors, the best vectors in it begin the next one, until they are exact to rounding.
+    """
+    n = len(square)
+    if n > max(WHOLE, 2 * DEPTH * k):
+        block = np.linalg.qr(np.random.default_rng(0).standard_normal((n, 2 * k)))[0]
+        for _ in range(CYCLES):
+            basis, images = block, square @ block
+            for _ in range(DEPTH - 1):
+                block = images[:, -2 * k :]
+                for _ in range(3):  # rounding errors of one pass go with the next
+                    block = np.linalg.qr(block - basis @ (basis.T @ block))[0]
+                basis, images = np.hstack([basis, block]), np.hstack([images, square @ block])
+            inner = basis.T @ images
+            values, turned = np.linalg.eigh((inner + inner.T) / 2)
+            values, turned = values[::-1], turned[:, ::-1][:, : 2 * k]
+            block = basis @ turned
+            if np.linalg.norm(images @ turned[:, :k] - block[:, :k] * values[:k], axis=0).max() <= 1e-13 * values[0]:
+                return values[:k], block[:, :k]
+            block = np.linalg.qr(block)[0]
+    values, vectors = np.linalg.eigh(square)
+    return values[::-1][:k], vectors[:, ::-1][:, :k]
+
+
+def _axes(weighted: np.ndarray | SparseRows, dimensions: int) -> np.ndarray:
     """The first right singular vectors, from the square matrix of rows or of columns, whichever are fewer."""
     rows, columns = weighted.shape
     if columns <= rows:
-        _, vectors = np.linalg.eigh(weighted.T @ weighted)
-        return np.ascontiguousarray(vectors[:, ::-1][:, :dimensions])
-    squares, vectors = np.linalg.eigh(weighted @ weighted.T)
-    squares, vectors = squares[::-1][:dimensions], vectors[:, ::-1][:, :dimensions]
+        return np.ascontiguousarray(_leading(_squares(weighted), dimensions)[1])
+    turned = weighted.T
+    squares, vectors = _leading(_squares(turned), dimensions)
     some = squares > 1e-12 * max(squares[0], 1e-300)
-    return np.ascontiguousarray(weighted.T @ (vectors[:, some] / np.sqrt(squares[some])))
+    return _product(turned, vectors[:, some] / np.sqrt(squares[some]))
+
+
+def _product(matrix: np.ndarray | SparseRows, right: np.ndarray) -> np.ndarray:
+    return np.concatenate([block @ right for block in _blocks(matrix)])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, max_labelled: int = 4096,
@@ -160,18 +234,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, ma
     learn_from = F.lit(True) if learn_from is None else learn_from
     rows = _sample(docs, labels, learn_from, max_labelled, id_col, text_col, label_col)
     sparse = [np.frombuffer(r.terms, np.float32).reshape(2, -1) for r in rows]
-    seen = [s[0].astype(np.int64) for s in sparse]
-    used = np.unique(np.concatenate(seen)) if rows else np.zeros(0, np.int64)
+    seen = np.concatenate([s[0] for s in sparse]).astype(np.int32) if rows else np.zeros(0, np.int32)
+    used, texts = np.unique(seen, return_counts=True)  # a text names a term once
     if not len(used):
         return None
     column_of = np.full(N_TERMS, len(used), np.int64)
     column_of[used] = np.arange(len(used))
-    terms = np.zeros((len(rows), len(used)))
-    for i, (at, s) in enumerate(zip(seen, sparse)):
-        terms[i, column_of[at]] = s[1]
-    weights = np.log((1 + len(rows)) / (1 + (terms > 0).sum(0))) + 1
-    axes = _axes(weighted := terms * weights, dimensions)
-    made = weighted @ axes
+    weights = np.log((1 + len(rows)) / (1 + texts)) + 1
+    at = column_of[seen].astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum([s.shape[1] for s in sparse])])
+    weighted = SparseRows(ends, at, np.concatenate([s[1] for s in sparse]) * weights[at], len(used))
+    axes = _axes(weighted, dimensions)
+    made = _product(weighted, axes)
     lengths = np.linalg.norm(made, axis=1)
     some = lengths > 1e-12
     unit = made[some] / lengths[some, None]

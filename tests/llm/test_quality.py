@@ -1,11 +1,12 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from hirelens.llm import quality
 
@@ -191,3 +192,35 @@ def test_fewer_rows_than_columns():
         want = np.linalg.svd(made, full_matrices=False)[2][:5].T
         assert np.allclose(np.abs(axes.T @ want), np.eye(5), atol=1e-8)
     assert quality._axes(np.ones((3, 9)), 5).shape == (9, 1)
+
+
+def test_leading_vectors_of_a_large_matrix(monkeypatch):
+    monkeypatch.setattr(quality, "WHOLE", 10)
+    monkeypatch.setattr(quality, "DEPTH", 3)
+    monkeypatch.setattr(quality, "BLOCK_CELLS", 700)
+    r = np.random.default_rng(6)
+    for made in (r.random((90, 300)), r.random((300, 90)), r.random((120, 4)) @ r.random((4, 90)), np.eye(80), np.repeat(np.eye(50), 3, axis=0)):
+        at, columns = np.nonzero(made)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(made)))])
+        sparse = quality.SparseRows(ends, columns, made[at, columns], made.shape[1])
+        assert (sparse[:] == made).all() and (sparse.T[:] == made.T).all()
+        for matrix in (made, sparse):
+            axes, want = quality._axes(matrix, 5), np.linalg.svd(made, compute_uv=False)[:5]
+            assert np.allclose(axes.T @ axes, np.eye(5), atol=1e-8)
+            assert np.allclose(np.linalg.norm(made @ axes, axis=0), want, atol=1e-6)
+
+
+def test_memory_of_the_fit_follows_its_entries(monkeypatch):
+    """1,200 texts of 40 terms each out of 20,000: 200 MB as a dense matrix, and more than one was held."""
+    r, rows = np.random.default_rng(7), []
+    for i in range(1200):
+        at = np.unique(r.integers(0, 20_000, 40)).astype(np.float32)
+        rows.append(Row(terms=np.concatenate([at, np.ones(len(at), np.float32)]).tobytes(), label=float(i % 2)))
+    monkeypatch.setattr(quality, "_sample", lambda *_: rows)
+    tracemalloc.start()
+    try:
+        model = quality.fit(None, None, learn_from=F)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.vectors.shape == (1200, 32) and peak < 128 << 20
