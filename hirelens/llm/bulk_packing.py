@@ -50,6 +50,17 @@ _STRETCH = re.compile(_LETTERS + rb"(?![\x80-\xff])|[^\x20\x09-\x0d]+")
 _SPECIAL = "<|"
 
 
+def bytes_of(texts: pa.StringArray) -> list[bytes]:
+    """The bytes of every text, none of them null; cut out of the array's own, as ``to_pylist`` makes an object more of each."""
+    _, ends, data = texts.buffers()
+    if not len(texts) or data is None:
+        return [b""] * len(texts)
+    cuts = np.frombuffer(ends, np.int32, len(texts) + 1, 4 * texts.offset)
+    raw = data.slice(cuts[0], cuts[-1] - cuts[0]).to_pybytes()
+    cuts = (cuts - cuts[0]).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 class WordEncoder:
     """Token ids of texts (little-endian unsigned 32-bit) for a lower-casing word vocabulary, word by word.
 
@@ -102,18 +113,18 @@ class WordEncoder:
         if len(self.kept) > CACHED_WORDS:
             self.kept, self.before = {}, self.kept
         kept, before = self.kept, self.before
-        made, late = [], []
-        for i, chunk in enumerate(chunks):
-            ids = kept.get(chunk)
+        made, late = list(map(kept.get, chunks)), []
+        for i in [i for i, ids in enumerate(made) if ids is None]:
+            ids = before.get(chunks[i])
             if ids is None:
-                ids = before.get(chunk)
-                if ids is None:
-                    late.append(i)
-                else:
-                    kept[chunk] = ids
-            made.append(ids)
+                late.append(i)
+            else:
+                made[i] = kept[chunks[i]] = ids
         cut = {i: _STRETCH.findall(chunks[i]) for i in late if not chunks[i].isalpha()}
-        new = self._learn({s for parts in cut.values() for s in parts if s not in kept}.union(chunks[i] for i in late if i not in cut))
+        parts = {s for parts in cut.values() for s in parts}.difference(kept)
+        again = {s: before[s] for s in parts if s in before}
+        kept.update(again)
+        new = self._learn(parts.difference(again).union(chunks[i] for i in late if i not in cut))
         kept.update(new)
         for i in late:
             made[i] = b"".join([kept[s] for s in cut[i]]) if i in cut else kept[chunks[i]]
@@ -124,10 +135,10 @@ class WordEncoder:
 
     def encode(self, texts: pa.StringArray) -> list[bytes]:
         """Ids of every text.  White space is cut and equal stretches are found by Arrow, only different ones are looked up."""
-        special = pc.match_substring(texts, _SPECIAL).to_pylist()
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
+        special = pc.match_substring(texts, _SPECIAL)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, "", texts)))
         coded = lists.flatten().dictionary_encode()
-        ids = self._ids_of(coded.dictionary.cast(pa.binary()).to_pylist())
+        ids = self._ids_of(bytes_of(coded.dictionary))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         at = coded.indices.to_numpy()
         ends = np.concatenate([[0], np.cumsum(sizes[at])])
@@ -136,9 +147,8 @@ class WordEncoder:
         raw = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
         cuts = (4 * ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]).tolist()
         made = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-        for i, found in enumerate(special):
-            if found:
-                made[i] = self._whole([texts[i].as_py()])[0]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            made[i] = self._whole([texts[i].as_py()])[0]
         return made
 
 
@@ -291,7 +301,7 @@ def _round(gaps: DataFrame, pieces: DataFrame, capacity: int, finish: Callable[[
 def _places(runs: DataFrame, capacity: int) -> DataFrame:
     """All ``put`` runs for the runs of pieces, band by band."""
     spark = runs.sparkSession
-    gaps, puts, sequence = spark.createDataFrame([], RUNS), [], 0
+    gaps, puts, sequence = runs.filter("kind = 'gap'"), [], 0  # none yet
     for band in range(1, BANDS + 1):
         above = capacity // (band + 1) if band < BANDS else 0
         inside = runs.filter((F.col("size") > above) & (F.col("size") <= capacity // band))

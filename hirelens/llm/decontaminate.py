@@ -10,6 +10,7 @@ Long items are looked for as a whole and in overlapping parts, so a copied part
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -289,7 +290,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN_THRESHOL
     spark = docs.sparkSession
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind, item_type = texts.schema["id"].dataType.simpleString(), benchmark.schema[item_col].dataType
-    made = spark.createDataFrame([], f"id {kind}, item {item_type.simpleString()}, score double, first bigint, last bigint")
+    made = []
     for rows in item_blocks(benchmark, item_col, item_text_col, block_bytes):
         items = prepare(rows)
         if not items.ids:
@@ -299,10 +300,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN_THRESHOL
         # One row per n-gram of the block: as bounded as the block.
         counts = found.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
         seeds = rare_seeds(items, {r.seed: r.n for r in counts.collect()})
-        made = made.unionByName(_scored(found, shared, spark.sparkContext.broadcast(seeds), threshold, item_type))
+        made.append(_scored(found, shared, spark.sparkContext.broadcast(seeds), threshold, item_type))
+    # An empty local table is read by Python workers of its own: only where there is nothing else.
+    none = f"id {kind}, item {item_type.simpleString()}, score double, first bigint, last bigint"
+    scored = reduce(DataFrame.unionByName, made) if made else spark.createDataFrame([], none)
     first_best = F.struct("score", (-F.col("first")).alias("first"), (-F.col("last")).alias("last"))
     best = F.max(first_best).alias("best")
-    return made.groupBy("id", "item").agg(best).select(
+    return scored.groupBy("id", "item").agg(best).select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), F.round("best.score", 6).alias("score"),
         (-F.col("best.first")).alias("first_word"), (-F.col("best.last")).alias("last_word"),
     )

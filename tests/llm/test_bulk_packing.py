@@ -37,6 +37,23 @@ def test_words_have_the_ids_of_the_library(library, monkeypatch):
         assert [np.frombuffer(m, "<u4").tolist() + [1] for m in made] == [ids(library, t) for t in texts[at : at + 500]]
 
 
+def test_words_of_before_are_not_learnt_again(library, monkeypatch):
+    monkeypatch.setattr(bp, "CACHED_WORDS", 2)
+    encoder, learnt = bp.WordEncoder(PATH), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda stretches: learnt.append(set(stretches)) or learn(stretches))
+    texts = ["some words kept", "others", "(some) words, kept. new"]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(pa.array([text]))[0], "<u4").tolist() + [1] == ids(library, text)
+    assert learnt[0] == {b"some", b"words", b"kept"} and b"new" in learnt[2] and not learnt[2] & learnt[0]
+
+
+def test_bytes_of_slices():
+    texts = ["", "é", "two words", "", "日本", ""]
+    for array in (pa.array(texts), pa.array(texts).slice(1, 4), pa.array(texts).slice(3, 1), pa.array(["", ""]), pa.array([], pa.string())):
+        assert bp.bytes_of(array) == [t.encode() for t in array.to_pylist()]
+
+
 def check(rows, capacity):
     """Sequences are full from 0 on without gaps, and hold at most ``capacity``; their number."""
     by_sequence = {}

@@ -172,3 +172,8 @@ def test_given_tables(spark):
              if " ".join(dc.words_of(b)) in " ".join(dc.words_of(t))}
     found = dc.leaks(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet"))
     assert {(r.doc_id, r.item_id) for r in found.collect() if r.score == 1} == whole != set()
+
+
+def test_no_local_table_beside_the_search(spark, capsys):
+    dc.leaks(docs_of(spark, [(1, "a b c d e f")]), items_of(spark, [(1, "a b c d e f")])).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
