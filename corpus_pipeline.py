@@ -7,15 +7,30 @@ In every stage nulls may stand in any column, texts may be empty or very long, r
 ``documents`` are carried along whatever their names, and an empty table gives an empty result.
 """
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelens.llm import decontaminate, mixing, packing, quality, simhash
-from hirelens.llm.common import free_name, read
+from hirelens.llm.common import bound_batches, free_name, read
 from hirelens.llm.shipping import shipped
 from hirelens.operators.staging import scratch_path, staging_scope
 
 
+def in_bounded_batches(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``function``, a stage, in a session that bounds Python's batches: stages share the workers of an executor, which keep
+    what memory they once took."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return function(spark, docs, sf_dir)
+
+    return run
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score 0.7 or more).
 
@@ -67,11 +82,11 @@ def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality classifier", shipped(quality_classifier)),
-    ("SimHash near-dedup", shipped(simhash_near_dedup)),
-    ("benchmark decontamination", shipped(benchmark_decontamination)),
-    ("mixing sources to target weights", shipped(source_mixing)),
-    ("token-ID / binary output", shipped(token_packing)),
+    ("quality classifier", shipped(in_bounded_batches(quality_classifier))),
+    ("SimHash near-dedup", shipped(in_bounded_batches(simhash_near_dedup))),
+    ("benchmark decontamination", shipped(in_bounded_batches(benchmark_decontamination))),
+    ("mixing sources to target weights", shipped(in_bounded_batches(source_mixing))),
+    ("token-ID / binary output", shipped(in_bounded_batches(token_packing))),
 ]
 
 # Nearest-neighbour scores, XXH64 fingerprints, alignments and tokens are beyond SQL.

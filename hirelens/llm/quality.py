@@ -33,6 +33,8 @@ _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 STEP_CHARS = 1 << 20
 # Cells of the matrix of labelled texts that are dense at a time.
 BLOCK_CELLS = 1 << 21
+# Cells of texts by columns, and of texts by labelled texts, that a worker holds at a time: 4 MB.
+SCORE_CELLS = 1 << 19
 # Square matrices up to this size are decomposed whole; larger ones in so many cycles at most, of bases of so many blocks.
 WHOLE, CYCLES, DEPTH = 1024, 100, 8
 
@@ -104,9 +106,14 @@ class Model:
 
     def project(self, texts: list[bytes]) -> np.ndarray:
         """Unit vectors of the texts; zero for texts without any known term."""
-        n = len(self.weights)
-        terms = np.stack([term_counts(t, self.column_of, n) for t in texts])
-        made = terms @ (self.weights[:, None] * self.axes)
+        n, axes = len(self.weights), self.weights[:, None] * self.axes
+        made, step = np.zeros((len(texts), axes.shape[1])), max(1, SCORE_CELLS // n)
+        terms = np.zeros((min(step, len(texts)), n))
+        for at in range(0, len(texts), step):
+            own = texts[at : at + step]
+            for row, text in zip(terms, own):
+                row[:] = term_counts(text, self.column_of, n)
+            made[at : at + step] = terms[: len(own)] @ axes
         lengths = np.linalg.norm(made, axis=1, keepdims=True)
         return np.divide(made, lengths, out=np.zeros_like(made), where=lengths > 1e-12)
 
@@ -255,6 +262,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, ma
 def vote(vectors: np.ndarray, model: Model, neighbours: int = 15, power: float = 8.0) -> np.ndarray:
     """Mean label of the ``neighbours`` most similar labelled texts (all that tie with the last one), weighted by
     similarity to ``power``; 0 for zero vectors."""
+    step = max(1, SCORE_CELLS // len(model.vectors))
+    if len(vectors) > step:
+        parts = [vectors[at : at + step] for at in range(0, len(vectors), step)]
+        return np.concatenate([vote(part, model, neighbours, power) for part in parts])
     similar = vectors @ model.vectors.T
     k = min(neighbours, similar.shape[1])
     last = np.partition(similar, -k, axis=1)[:, -k][:, None]

@@ -3,12 +3,14 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 
 import corpus_pipeline
 from hirelens.llm import decontaminate, packing, quality
-from hirelens.llm.common import read
+from hirelens.llm.common import ARROW_BYTES, STEP_BYTES, read
 from test_decontaminate import plain_leaks
 from test_mixing import plain_targets
 from test_simhash import plain_components, plain_fingerprint, within
@@ -159,3 +161,24 @@ def test_long_stretches_are_written_in_steps(spark, monkeypatch):
     made = mixing.mixed_documents(docs)
     assert made.selectExpr("sum(size(split(trim(text), ' ')))").first()[0] == 4000
     assert made.filter("length(text) <> n_chars").count() == 0
+
+
+def test_stages_hand_bounded_batches_to_python(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("abcd "), 500).alias("text"))
+    long = spark.range(0, 3, 1, 1).select(F.repeat(F.lit("abcd "), 1 << 20).alias("text"))
+    for _, function in corpus_pipeline.STAGES:
+        spark.conf.unset(ARROW_BYTES)
+        function(spark, read(spark, SF, "documents"), SF)
+        got = texts.mapInArrow(sizes, "n bigint, size bigint").collect()
+        assert sum(r.n for r in got) == 6000 and max(r.size for r in got) < STEP_BYTES * 1.1
+        assert [r.n for r in long.mapInArrow(sizes, "n bigint, size bigint").collect()] == [1, 1, 1]
+    try:  # a bound that the user has set stays
+        spark.conf.set(ARROW_BYTES, "1m")
+        corpus_pipeline.STAGES[0][1](spark, read(spark, SF, "documents"), SF)
+        assert spark.conf.get(ARROW_BYTES) in ("1m", "1048576b")
+    finally:
+        spark.conf.unset(ARROW_BYTES)

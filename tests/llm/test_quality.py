@@ -224,3 +224,23 @@ def test_memory_of_the_fit_follows_its_entries(monkeypatch):
     finally:
         tracemalloc.stop()
     assert model.vectors.shape == (1200, 32) and peak < 128 << 20
+
+
+def test_memory_of_scoring_does_not_follow_the_texts():
+    r = np.random.default_rng(5)
+    columns = 12_000
+    column_of = np.full(quality.N_TERMS, columns, np.int64)
+    column_of[r.permutation(quality.N_TERMS)[:columns]] = np.arange(columns)
+    known = r.normal(size=(4096, 32))
+    known /= np.linalg.norm(known, axis=1, keepdims=True)
+    model = quality.Model(column_of, r.random(columns), r.normal(size=(columns, 32)), known, r.random(4096))
+    texts = [(GOOD + BAD * (i % 7)).encode() for i in range(511)] + [b""]
+    tracemalloc.start()
+    vectors = model.project(texts)
+    scores = quality.vote(vectors, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20  # all texts at once: 49 MB of terms twice, 17 MB of similarities twice
+    alone = [quality.vote(model.project([t]), model)[0] for t in texts[:20] + texts[-1:]]
+    assert np.allclose([*scores[:20], scores[-1]], alone, atol=2e-6) and scores[-1] == 0
+    assert model.project([]).shape == (0, 32)
